@@ -9,6 +9,7 @@ are never rewritten: damaged lines are repaired while they are read.
 from __future__ import annotations
 
 import logging
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -174,6 +175,11 @@ def _report(files: DataFrame, message: str) -> None:
         raise ValueError(f"{message}\n{listed}")
 
 
+def _literal_path(path: str) -> str:
+    """The path with glob characters escaped."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def core_layouts(
     spark: SparkSession, root: str, always_clean: bool = False
 ) -> list[tuple[CsvLayout, list[str]]]:
@@ -200,7 +206,8 @@ def core_layouts(
     finally:
         files.unpersist()
     return [
-        (CsvLayout(g.DELIMITER, g.WIDTH, g.WRAPPED, g.QUOTED_NEWLINES), sorted(g.PATHS))
+        (CsvLayout(g.DELIMITER, g.WIDTH, g.WRAPPED, g.QUOTED_NEWLINES),
+         [_literal_path(path) for path in sorted(g.PATHS)])
         for g in groups
     ]
 

@@ -8,6 +8,7 @@ columns come out as rows with ERROR set, so that nothing is skipped unseen.
 from __future__ import annotations
 
 import datetime
+import functools
 import io
 import re
 import zipfile
@@ -23,22 +24,34 @@ from covermonth import schemas as S
 _BATCH_ROWS = 10_000
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+_VALUE, _INLINE, _TEXT, _RUN = f"{_MAIN}v", f"{_MAIN}is", f"{_MAIN}t", f"{_MAIN}r"
+_ROW, _SHEET_DATA = f"{_MAIN}row", f"{_MAIN}sheetData"
 # Number formats of the workbook standard that show dates.
 _DATE_FORMAT_IDS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 _OUTPUT_COLUMNS = [*S.CLAIMS_COLUMNS, "FILE", "SHEET", "ERROR"]
 
 
-def _column_number(reference: str) -> int:
+@functools.lru_cache(maxsize=1024)
+def _column_of(letters: str) -> int:
     number = 0
-    for letter in reference.rstrip("0123456789"):
+    for letter in letters:
         number = number * 26 + ord(letter) - ord("A") + 1
     return number - 1
 
 
+def _column_number(reference: str) -> int:
+    return _column_of(reference.rstrip("0123456789"))
+
+
 def _text(element: ElementTree.Element) -> str:
     """All text runs below an element, without phonetic hints."""
-    runs = element.findall(f"{_MAIN}t") + element.findall(f"{_MAIN}r/{_MAIN}t")
-    return "".join(run.text or "" for run in runs)
+    runs = []
+    for part in element:
+        if part.tag == _TEXT:
+            runs.append(part.text or "")
+        elif part.tag == _RUN:
+            runs.append(part.findtext(_TEXT) or "")
+    return "".join(runs)
 
 
 class _Workbook:
@@ -84,35 +97,39 @@ class _Workbook:
         formats = [] if cells is None else [int(x.get("numFmtId", 0)) for x in cells]
         return {i for i, form in enumerate(formats) if form in date_ids}
 
-    def _cell(self, cell: ElementTree.Element) -> str | None:
-        kind = cell.get("t", "n")
-        if kind == "inlineStr":
-            inline = cell.find(f"{_MAIN}is")
-            return None if inline is None else _text(inline)
-        value = cell.findtext(f"{_MAIN}v")
-        if value is None or kind == "e":
-            return None
+    def _value(self, kind: str, style: str | None, value: str) -> str | None:
+        """Text of a cell with a value of the given type."""
         if kind == "s":
             return self._strings[int(value)]
         if kind == "b":
             return "true" if value == "1" else "false"
+        if kind == "e":
+            return None
         if kind != "n":
             return value
         number = float(value)
-        if int(cell.get("s", 0)) in self._date_styles:
-            moment = self._epoch + datetime.timedelta(days=number)
-            return (moment + datetime.timedelta(microseconds=500_000)).strftime("%Y-%m-%d %H:%M:%S")
+        if style is not None and int(style) in self._date_styles:
+            moment = self._epoch + datetime.timedelta(days=number, milliseconds=500)
+            return moment.strftime("%Y-%m-%d %H:%M:%S")
         return str(int(number)) if number.is_integer() else value
 
+    def _cell(self, cell: ElementTree.Element) -> str | None:
+        for part in cell:
+            if part.tag == _VALUE and part.text is not None:
+                return self._value(cell.get("t", "n"), cell.get("s"), part.text)
+            if part.tag == _INLINE:
+                return _text(part)
+        return None
+
     def rows(self, part: str) -> Iterator[dict[int, str | None]]:
         with self._zip.open(part) as stream:
             data = None
             for event, element in ElementTree.iterparse(stream, events=("start", "end")):
-                if event == "start" and element.tag == f"{_MAIN}sheetData":
-                    data = element
-                elif event == "end" and element.tag == f"{_MAIN}row":
+                if event == "start":
+                    data = element if element.tag == _SHEET_DATA else data
+                elif element.tag == _ROW:
                     row = {}
-                    for position, cell in enumerate(element.iter(f"{_MAIN}c")):
+                    for position, cell in enumerate(element):
                         reference = cell.get("r")
                         index = _column_number(reference) if reference else position
                         row[index] = self._cell(cell)

@@ -54,6 +54,7 @@ def write_core_folders(df: DataFrame, root: str, options: list[dict]) -> None:
 
 # --- workbooks -----------------------------------------------------------
 
+_ROWS_PER_WORKBOOK = 25_000
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _OFFICE = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
@@ -89,7 +90,8 @@ def write_workbook(path: str, sheets: dict[str, Iterator[list[str | None]]]) ->
 
 
 def write_claims_workbooks(df: DataFrame, folder: str) -> None:
-    """One workbook per partition: the claims, a sheet of notes, an empty sheet."""
+    """Workbooks with a sheet of claims, a sheet of notes and an empty sheet."""
+    workbooks = df.count() // _ROWS_PER_WORKBOOK + 1
     folder = folder.removeprefix("file:")
     os.makedirs(folder, exist_ok=True)
     columns = S.CLAIMS_COLUMNS
@@ -112,4 +114,4 @@ def write_claims_workbooks(df: DataFrame, folder: str) -> None:
             "Vacia": iter([]),
         })
 
-    df.select(*columns).foreachPartition(write_partition)
+    df.select(*columns).repartition(workbooks).foreachPartition(write_partition)

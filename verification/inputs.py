@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from covermonth.plans.barrier import stage_barrier
+
 RUN_DATE = "2024-01-01"
 
 CORE_RAW_SQL = """
@@ -96,20 +98,27 @@ FROM t
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables.
+
+    A table smaller than a few splits is scanned by fewer tasks than there
+    are cores, but expands to many rows per row: only then is it spread first.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def core_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CORE_RAW_SQL, orders=table(spark, sf_dir, "orders"))
+    return stage_barrier(spark.sql(CORE_RAW_SQL, orders=table(spark, sf_dir, "orders")))
 
 
 def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(
+    return stage_barrier(spark.sql(
         CLAIMS_RAW_SQL,
         lineitem=table(spark, sf_dir, "lineitem"),
         orders=table(spark, sf_dir, "orders"),
-    )
+    ))
 
 
 def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(DATE_TEXTS_SQL, orders=table(spark, sf_dir, "orders"))
+    return stage_barrier(spark.sql(DATE_TEXTS_SQL, orders=table(spark, sf_dir, "orders")))
