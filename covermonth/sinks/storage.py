@@ -57,10 +57,13 @@ def publish(spark: SparkSession, staged: str, target: str) -> None:
     replaces = fs.exists(old)
     if replaces and not fs.rename(old, aside):
         raise OSError(f"cannot replace {target}")
-    if not fs.rename(new, old):
+    try:
+        if not fs.rename(new, old):
+            raise OSError(f"cannot move {staged} to {target}")
+    except Exception:
         if replaces:
             fs.rename(aside, old)
-        raise OSError(f"cannot move {staged} to {target}")
+        raise
     discard(spark, staged)
 
 
