@@ -24,6 +24,8 @@ log = logging.getLogger(__name__)
 
 # Separator that no line contains, so that a line is read as one field.
 _NO_SEPARATOR = "\x01\x02"
+# A quote that opens a field and is not closed before the end of the line.
+_OPEN_QUOTE = r'(?:^|[,;\t|])"(?!(?:[^"]++|"")*+"(?:[,;\t|]|$))'
 _LISTED_FILES = 20
 
 
@@ -31,13 +33,15 @@ _LISTED_FILES = 20
 class CsvLayout:
     """How the files of one group are to be read.
 
-    ``wrapped``: each line stands in outer quotes and needs cleaning.
+    ``utf8``: all lines are known to be valid UTF-8; else they are checked one
+    by one. ``wrapped``: each line stands in outer quotes and needs cleaning.
     ``quoted_newlines``: quoted fields contain line breaks, so that a file
     cannot be split and is read as a whole by one task.
     """
 
     delimiter: str = ","
     width: int = len(S.CORE_COLUMNS)
+    utf8: bool = False
     wrapped: bool = False
     quoted_newlines: bool = False
 
@@ -68,8 +72,9 @@ def clean_line(line: Column, delimiter: str = ",", simple: bool = False) -> Colu
     if simple:
         return F.replace(line, F.lit('""'), F.lit('"'))
     d = "\\" + delimiter if delimiter == "|" else delimiter
-    line = F.regexp_replace(line, f'(^|{d})""(.+?)""(?={d}|$)', '$1"$2"')
-    return F.regexp_replace(line, f'(?<=[^"{delimiter}])"(?=[^"{delimiter}])', "'")
+    repaired = F.regexp_replace(line, f'(^|{d})""(.+?)""(?={d}|$)', '$1"$2"')
+    repaired = F.regexp_replace(repaired, f'(?<=[^"{delimiter}])"(?=[^"{delimiter}])', "'")
+    return F.when(line.contains('"'), repaired).otherwise(line)
 
 
 def raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -86,17 +91,18 @@ def raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.select(_decode_latin(F.col("LINE")).alias("LINE"), *_lineage())
 
 
-def _file_path() -> Column:
-    """Path of the current file; Spark gives it in URI notation."""
-    uri = F.col("_metadata.file_path")
-    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+def _decode_uri(uri: Column) -> Column:
+    """Spark gives file paths in URI notation."""
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.when(uri.contains("%"), decoded).otherwise(uri)
 
 
-def _lineage() -> list[Column]:
-    def part(position: int) -> Column:
-        return F.substring_index(F.substring_index(_file_path(), "/", position), "/", 1)
-
-    return [part(-1).alias("FILE"), part(-2).alias("FOLDER")]
+def _lineage(path: Column | None = None) -> list[Column]:
+    """Names of the file and its folder."""
+    path = F.col("_metadata.file_path") if path is None else path
+    file = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return [_decode_uri(file).alias("FILE"), _decode_uri(folder).alias("FOLDER")]
 
 
 # --- audit ---------------------------------------------------------------
@@ -120,34 +126,32 @@ def audit_csv_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     One pass over the lines. Line numbers within a file are not known, but
     ids grow by one from line to line of a split: the first two lines of a
     file are the first even and the first odd one of its first split. Only
-    that is shuffled, one row per file and task.
+    the result is shuffled, one row per file and task.
     """
     lines = spark.read.text(paths).select(
         "value",
-        _file_path().alias("PATH"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("id"),
-        ).alias("place"),
-        *_lineage(),
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
     )
-    value, place = F.col("value"), F.col("place")
-    line = F.struct(place.alias("place"), value.alias("value"))
+    value = F.col("value")
 
     def first_with_parity(parity: int) -> Column:
-        return F.min_by(line, F.when(place["id"] % 2 == parity, place))
+        candidate = (F.col("block") == 0) & (F.col("id") % 2 == parity)
+        return F.min_by(F.struct("id", "value"), F.when(candidate, F.col("id")))
 
     quotes = F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
-    per_file = lines.groupBy("PATH", "FILE", "FOLDER").agg(
+    per_file = lines.groupBy("uri").agg(
         first_with_parity(0).alias("even"),
         first_with_parity(1).alias("odd"),
         F.count_if(F.trim(value) != "").alias("LINES"),
         # A set, because aggregation of sets is hashed: the lines need no sort.
         F.collect_set(F.is_valid_utf8(value)).alias("utf8"),
-        F.count_if(quotes % 2 == 1).alias("OPEN_QUOTE_LINES"),
+        F.count_if((quotes % 2 == 1) & value.rlike(_OPEN_QUOTE)).alias("OPEN_QUOTE_LINES"),
     )
     per_file = per_file.select(
-        "PATH", "FILE", "FOLDER", "LINES", "OPEN_QUOTE_LINES",
+        _decode_uri(F.col("uri")).alias("PATH"), *_lineage(F.col("uri")),
+        "LINES", "OPEN_QUOTE_LINES",
         (~F.array_contains("utf8", False)).alias("IS_UTF8"),
         F.array_sort(F.array_compact(F.array("even", "odd"))).alias("first"),
     )
@@ -199,14 +203,14 @@ def core_layouts(
         )
         wrapped = F.lit(True) if always_clean else F.col("WRAPPED")
         groups = files.groupBy(
-            F.col("DELIMITER"), F.col("WIDTH"), wrapped.alias("WRAPPED"),
+            F.col("DELIMITER"), F.col("WIDTH"), F.col("IS_UTF8"), wrapped.alias("WRAPPED"),
             (~wrapped & (F.col("OPEN_QUOTE_LINES") > 0)).alias("QUOTED_NEWLINES"),
         ).agg(F.collect_list("PATH").alias("PATHS")).collect()
         _warn_of_empty_folders(spark, root, files)
     finally:
         files.unpersist()
     return [
-        (CsvLayout(g.DELIMITER, g.WIDTH, g.WRAPPED, g.QUOTED_NEWLINES),
+        (CsvLayout(g.DELIMITER, g.WIDTH, g.IS_UTF8, g.WRAPPED, g.QUOTED_NEWLINES),
          [_literal_path(path) for path in sorted(g.PATHS)])
         for g in groups
     ]
@@ -241,19 +245,30 @@ def parse_lines(
     return lines.select(F.inline(F.array(F.from_csv("LINE", ddl, options))), *others)
 
 
+def _read_clean(
+    spark: SparkSession, paths: list[str], layout: CsvLayout, columns: list[str], fail_fast: bool
+) -> DataFrame:
+    """Read files whose lines need no repair; the encoding may differ by field."""
+    df = (
+        spark.read.schema(S.all_strings(columns))
+        .options(
+            header=True, sep=layout.delimiter, escape='"', multiLine=layout.quoted_newlines,
+            encoding="UTF-8" if layout.utf8 else "ISO-8859-1",
+            mode="FAILFAST" if fail_fast else "PERMISSIVE",
+        )
+        .csv(paths)
+    )
+    fields = [F.col(c) if layout.utf8 else _decode_latin(F.col(c)).alias(c) for c in columns]
+    return df.select(*fields, *_lineage())
+
+
 def read_layout(
     spark: SparkSession, paths: list[str], layout: CsvLayout, fail_fast: bool = False
 ) -> DataFrame:
     """Policy rows of files with one layout, as strings, with FILE and FOLDER."""
     columns = S.CORE_COLUMNS[: layout.width]
-    if layout.quoted_newlines:
-        df = (
-            spark.read.schema(S.all_strings(columns))
-            .options(header=True, multiLine=True, sep=layout.delimiter, escape='"',
-                     encoding="ISO-8859-1", mode="FAILFAST" if fail_fast else "PERMISSIVE")
-            .csv(paths)
-        )
-        df = df.select(*[_decode_latin(F.col(c)).alias(c) for c in columns], *_lineage())
+    if layout.quoted_newlines or (layout.utf8 and not layout.wrapped):
+        df = _read_clean(spark, paths, layout, columns, fail_fast)
     else:
         lines = raw_lines(spark, paths)
         if layout.wrapped:

@@ -87,6 +87,24 @@ def test_audit(spark, tmp_path):
     assert audit["3.csv"].SECOND_LINE is None
 
 
+def test_open_quotes(spark, tmp_path):
+    """Only fields that go on in the next line keep a file from being split."""
+    closed = [line(1, '"ANA, ""X"""'), line(2, 'O"HARA'), line(3, '"A ""B"" C"'), line(4, '""'),
+              line(5, '5" 6'), line(6, '"5"" 6"')]
+    opened = [line(1, '"ANA\nX"'), line(2, '"A ""B\nC"" D"'), line(3, '"\n"')]
+    write(tmp_path, "a", "closed.csv", lines_of(*closed))
+    write(tmp_path, "a", "open.csv", lines_of(*opened))
+    audit = {r.FILE: r for r in audit_csv_files(spark, [core_pattern(str(tmp_path))]).collect()}
+    assert audit["closed.csv"].OPEN_QUOTE_LINES == 0
+    assert audit["open.csv"].OPEN_QUOTE_LINES > 0
+    found = read_core(spark, str(tmp_path))
+    assert names(found.where("FILE = 'closed.csv'")) == {
+        "1": 'ANA, "X"', "2": 'O"HARA', "3": 'A "B" C', "4": names(found)["4"], "5": '5" 6',
+        "6": '5" 6'}
+    assert sorted(r.ASEGURADO for r in found.where("FILE = 'open.csv'").collect()) == [
+        "\n", 'A "B\nC" D', "ANA\nX"]
+
+
 def test_audit_of_split_files(spark, tmp_path):
     """First lines are found whatever the number and the packing of splits."""
     for n in range(6):
