@@ -35,6 +35,8 @@ CORE, CLAIMS = "core", "claims"
 ALL_LAYERS = (BRONZE, SILVER, GOLD)
 ALL_SOURCES = (CORE, CLAIMS)
 
+# Number of a row within its Parquet file, while rows are put in order.
+_ROW = "_row"
 _BASES = {CORE: S.BASE_CORE, CLAIMS: S.BASE_CLAIMS}
 
 
@@ -107,16 +109,15 @@ def export_gold(
     run_date: datetime.date | str, drop_optional: bool = False, single_file: bool = False,
 ) -> int:
     """Report of the silver table of ``source``, in document order."""
-    df = load_layer(spark, lake, SILVER, source)
+    df = load_layer(spark, lake, SILVER, source).withColumn(_ROW, F.col("_metadata.row_index"))
     df = _in_document_order(df, 1 if single_file else None)
     path = f"{reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
     return write_report(df, path, drop_optional, single_file=single_file, is_sorted=True)
 
 
-def _in_document_order(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Document order of rows read from Parquet, runs of copies included."""
-    df = df.withColumn("_row", F.col("_metadata.row_index"))
-    return order_by_document(df, partitions, F.col("_row")).drop("_row")
+def _in_document_order(numbered: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Document order of numbered rows, runs of copies spread as well."""
+    return order_by_document(numbered, partitions, F.col(_ROW)).drop(_ROW)
 
 
 def run_layers(
@@ -222,6 +223,6 @@ def sort_reports(
     spark: SparkSession, reports: str, target: str, partitions: int | None = None
 ) -> int:
     """All consolidated reports as one, in document order."""
-    df = _in_document_order(read_reports(spark, reports), partitions)
+    df = _in_document_order(read_reports(spark, reports, row_number=_ROW), partitions)
     path = f"{target.rstrip('/')}/{SORTED_REPORT_NAME}"
     return write_report(df, path, row_group_rows=S.ROW_GROUP_ROWS_SORTED, is_sorted=True)

@@ -34,7 +34,9 @@ def list_names(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return sorted(n for n in names if n.endswith(suffix) and not n.startswith(("_", ".")))
 
 
-def require_path(spark: SparkSession, path: str, what: str) -> None:
+def require_path(spark: SparkSession, path: str | None, what: str) -> None:
+    if not path:
+        raise ValueError(f"no {what} given")
     if not path_exists(spark, path):
         raise FileNotFoundError(f"{what} does not exist: {path}")
 

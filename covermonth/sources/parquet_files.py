@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.sinks.storage import list_names, require_path
@@ -17,9 +20,17 @@ def report_paths(spark: SparkSession, folder: str) -> list[str]:
     return [f"{folder.rstrip('/')}/{name}" for name in names]
 
 
-def read_reports(spark: SparkSession, folder: str) -> DataFrame:
-    """All reports together; columns that some of them lack become NULL."""
-    return spark.read.option("mergeSchema", True).parquet(*report_paths(spark, folder))
+def read_reports(spark: SparkSession, folder: str, row_number: str | None = None) -> DataFrame:
+    """All reports together; columns that some of them lack become NULL.
+
+    Reports are few and each has one schema, so they are united by name
+    instead of merging the schemas of all their files. ``row_number`` names a
+    column to add with the number of each row within its file.
+    """
+    parts = [spark.read.parquet(path) for path in report_paths(spark, folder)]
+    if row_number is not None:
+        parts = [p.withColumn(row_number, F.col("_metadata.row_index")) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def check_report(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from covermonth import schemas as S
+from covermonth.__main__ import main
 from covermonth.operators.core import consolidate_core
 from covermonth.plans import layers
 from covermonth.plans.layers import Paths
@@ -131,6 +132,8 @@ def test_missing_folders_are_errors(spark, sources, tmp_path):
         layers.run_layers(spark, Paths(f"{tmp_path}/no", lake=f"{tmp_path}/lake"), sources=("core",))
     with pytest.raises(FileNotFoundError, match="report folder"):
         layers.run_direct(spark, Paths(f"{sources}/core", reports=f"{tmp_path}/no"), ("core",))
+    with pytest.raises(ValueError, match="no claims folder given"):
+        layers.run_layers(spark, Paths(lake=f"{tmp_path}/lake"), sources=("claims",))
     with pytest.raises(ValueError, match="choose from"):
         layers.run_layers(spark, Paths(), ("copper",))
     with pytest.raises(FileNotFoundError, match="no Parquet reports"):
@@ -189,3 +192,25 @@ def test_report_checks(spark, tmp_path):
     spark.range(0).write.parquet(f"{tmp_path}/b.parquet")
     with pytest.raises(ValueError, match="no rows"):
         check_report(spark, f"{tmp_path}/b.parquet", ["id"])
+
+
+def test_command_line(spark, sources, reports, tmp_path):
+    main(["direct", "--core", f"{sources}/core", "--reports", str(tmp_path),
+          "--sources", "core", "--run-date", RUN_DATE])
+    name = report_name(S.BASE_CORE, RUN_DATE)
+    assert same_rows(spark.read.parquet(f"{tmp_path}/{name}"),
+                     spark.read.parquet(f"{reports}/{name}"))
+    main(["sort", "--reports", str(tmp_path), "--target", f"{tmp_path}/sorted"])
+    assert len(report_paths(spark, f"{tmp_path}/sorted")) == 1
+    with pytest.raises(SystemExit):
+        main(["layers", "--sources", "core"])
+
+
+def test_sort_of_reports_with_and_without_optional_columns(spark, reports, tmp_path):
+    source = read_consolidated(spark, str(reports))
+    core, claims = (source.where(f"BASE = '{base}'") for base in (S.BASE_CORE, S.BASE_CLAIMS))
+    write_report(core, f"{tmp_path}/in/a.parquet")
+    write_report(claims, f"{tmp_path}/in/b.parquet", drop_optional=True)
+    layers.sort_reports(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    (path,) = report_paths(spark, f"{tmp_path}/out")
+    assert same_rows(spark.read.parquet(path), source)

@@ -116,7 +116,7 @@ def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_barrier(spark.sql(
         CLAIMS_RAW_SQL,
         lineitem=table(spark, sf_dir, "lineitem"),
-        orders=table(spark, sf_dir, "orders"),
+        orders=spark.read.parquet(f"{sf_dir}/orders.parquet"),
     ))
 
 
