@@ -29,10 +29,10 @@ def registration_date(run_date: datetime.date | str | None) -> Column:
     return F.current_date() if run_date is None else F.lit(str(run_date)).cast("date")
 
 
-def clean_core(df: DataFrame) -> DataFrame:
+def clean_core(df: DataFrame, blank_ruc_is_null: bool = False) -> DataFrame:
     """Raw policy rows with fields repaired and documents resolved."""
     df = strip_all(df.drop(*S.CORE_UNUSED_COLUMNS))
-    df = resolve_documents(pad_documents(shift_repair(df)))
+    df = resolve_documents(pad_documents(shift_repair(df, blank_ruc_is_null)))
     extra = [c for c in df.columns if c not in S.CORE_COLUMNS + _DOCUMENT_STAGE_COLUMNS]
     return stage_barrier(df.select(*_DOCUMENT_STAGE_COLUMNS, *extra))
 
@@ -43,6 +43,7 @@ def consolidate_core(
     date_mode: str = "lenient",
     year_pivot: int = DEFAULT_YEAR_PIVOT,
     folder: str | None = None,
+    blank_ruc_is_null: bool = False,
 ) -> DataFrame:
     """Consolidated monthly rows from raw policy rows.
 
@@ -50,7 +51,7 @@ def consolidate_core(
     beyond the 20 raw ones are ignored, except ``folder`` (see parse_dates).
     """
     raw = [*S.CORE_COLUMNS, *([folder] if folder else [])]
-    df = quality_filter(clean_core(df.select(*raw)))
+    df = quality_filter(clean_core(df.select(*raw), blank_ruc_is_null))
     df = parse_dates(df, mode=date_mode, year_pivot=year_pivot, folder=folder)
     df = date_range_filter(stage_barrier(clear_placeholder_ends(df)))
     df = expand_months(add_coverage_bounds(df))

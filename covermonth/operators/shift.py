@@ -14,10 +14,11 @@ def strip_all(df: DataFrame) -> DataFrame:
     return df.select(*[strip(F.col(name)).alias(name) for name in df.columns])
 
 
-def _shift_flags() -> tuple[Column, Column]:
+def _shift_flags(blank_ruc_is_null: bool) -> tuple[Column, Column]:
     """One extra name part (shift by one) and two of them (shift by two)."""
     dni, ruc = F.col("DNI_ASEGURADO"), F.col("RUC_ASEGURADO")
-    by_one = is_text_only(dni) & (ruc.isNull() | is_integer(ruc) | ruc.contains("CE"))
+    no_ruc = ruc.isNull() | (ruc == "") if blank_ruc_is_null else ruc.isNull()
+    by_one = is_text_only(dni) & (no_ruc | is_integer(ruc) | ruc.contains("CE"))
     by_two = is_text_only(dni) & is_text_only(ruc)
     return by_one, by_two
 
@@ -54,12 +55,13 @@ _SHIFT_BY_TWO_EXCEPTIONS = {
 }
 
 
-def shift_repair(df: DataFrame) -> DataFrame:
+def shift_repair(df: DataFrame, blank_ruc_is_null: bool = False) -> DataFrame:
     """Move slid fields back to their columns; other rows pass unchanged.
 
     Expects stripped text: a white-space-only id would count as a name.
+    ``blank_ruc_is_null`` also shifts rows whose tax id is blank.
     """
-    by_one, by_two = _shift_flags()
+    by_one, by_two = _shift_flags(blank_ruc_is_null)
     df = df.withColumn("_shift", F.when(by_one, 1).when(by_two, 2).otherwise(0))
 
     def repaired(name: str) -> Column:

@@ -14,10 +14,11 @@ from covermonth import schemas as S
 from covermonth.operators.claims import consolidate_claims
 from covermonth.operators.core import consolidate_core
 from covermonth.operators.reports import add_last_digit, order_by_document
-from covermonth.sinks.storage import require_path
+from covermonth.sinks.storage import require_path, stored_bytes
 from covermonth.sinks.tables import (
     SORTED_REPORT_NAME,
     layer_exists,
+    layer_path,
     load_layer,
     report_name,
     reprocessed_name,
@@ -35,6 +36,8 @@ CORE, CLAIMS = "core", "claims"
 ALL_LAYERS = (BRONZE, SILVER, GOLD)
 ALL_SOURCES = (CORE, CLAIMS)
 
+# Compressed size of the files of a sorted report.
+_SORTED_FILE_BYTES = 128 * 1024 * 1024
 # Number of a row within its Parquet file, while rows are put in order.
 _ROW = "_row"
 _BASES = {CORE: S.BASE_CORE, CLAIMS: S.BASE_CLAIMS}
@@ -110,12 +113,23 @@ def export_gold(
 ) -> int:
     """Report of the silver table of ``source``, in document order."""
     df = load_layer(spark, lake, SILVER, source).withColumn(_ROW, F.col("_metadata.row_index"))
-    df = _in_document_order(df, 1 if single_file else None)
+    partitions = 1 if single_file else _sort_ranges(spark, [layer_path(lake, SILVER, source)])
+    df = _in_document_order(df, partitions)
     path = f"{reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
     return write_report(df, path, drop_optional, single_file=single_file, is_sorted=True)
 
 
-def _in_document_order(numbered: DataFrame, partitions: int | None = None) -> DataFrame:
+def _sort_ranges(spark: SparkSession, paths: list[str]) -> int:
+    """Number of ranges for sorting the given Parquet data.
+
+    It follows from the data and not from the session's shuffle partitions,
+    which adaptive execution can merge but not divide.
+    """
+    size = sum(stored_bytes(spark, path) for path in paths)
+    return size // _SORTED_FILE_BYTES + 1
+
+
+def _in_document_order(numbered: DataFrame, partitions: int) -> DataFrame:
     """Document order of numbered rows, runs of copies spread as well."""
     return order_by_document(numbered, partitions, F.col(_ROW)).drop(_ROW)
 
@@ -222,7 +236,13 @@ def reprocess_reports(spark: SparkSession, reports: str, target: str) -> int:
 def sort_reports(
     spark: SparkSession, reports: str, target: str, partitions: int | None = None
 ) -> int:
-    """All consolidated reports as one, in document order."""
+    """All consolidated reports as one, in document order.
+
+    ``partitions`` is the number of files; by default it follows from the
+    size of the reports.
+    """
+    if partitions is None:
+        partitions = _sort_ranges(spark, report_paths(spark, reports))
     df = _in_document_order(read_reports(spark, reports, row_number=_ROW), partitions)
     path = f"{target.rstrip('/')}/{SORTED_REPORT_NAME}"
     return write_report(df, path, row_group_rows=S.ROW_GROUP_ROWS_SORTED, is_sorted=True)

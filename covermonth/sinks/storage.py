@@ -34,6 +34,25 @@ def list_names(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return sorted(n for n in names if n.endswith(suffix) and not n.startswith(("_", ".")))
 
 
+def _matching(spark: SparkSession, pattern: str):
+    """Files that match a glob pattern."""
+    return _file_system(spark, pattern).globStatus(_path(spark, pattern)) or []
+
+
+def count_files(spark: SparkSession, pattern: str) -> int:
+    return len(_matching(spark, pattern))
+
+
+def empty_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files of length zero, which Spark leaves out when it lists its input."""
+    return sorted(s.getPath().toString() for s in _matching(spark, pattern) if s.getLen() == 0)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below ``path``."""
+    return _file_system(spark, path).getContentSummary(_path(spark, path)).getLength()
+
+
 def require_path(spark: SparkSession, path: str | None, what: str) -> None:
     if not path:
         raise ValueError(f"no {what} given")

@@ -85,6 +85,7 @@ def _write_and_publish(
 ) -> int:
     spark = df.sparkSession
     staged = staging_path(path)
+    log.info("%s: %s", path, df.schema.simpleString())
     try:
         rows = _write_counted(df, staged, fmt, options)
         if rows == 0:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.plans.barrier import stage_barrier
-from covermonth.sinks.storage import list_folders
+from covermonth.sinks.storage import count_files, empty_files, list_folders
 
 log = logging.getLogger(__name__)
 
@@ -189,31 +189,39 @@ def core_layouts(
 ) -> list[tuple[CsvLayout, list[str]]]:
     """The layouts under ``root`` and the files of each.
 
-    Fails if a file has no data row or a width other than 18 or 20. The
-    driver receives one path per file, no more than its file index holds.
+    Fails if a file has no data row or a width other than 18 or 20. A single
+    layout stands for all files. Otherwise the driver receives one path per
+    file, no more than its file index holds.
     """
-    files = audit_csv_files(spark, [core_pattern(root)]).cache()
+    audit = audit_csv_files(spark, [core_pattern(root)]).cache()
     try:
-        _report(files.where("LINES < 2").select("PATH"), "CSV files without data rows:")
+        if audit.count() != count_files(spark, core_pattern(root)):
+            # A file without a single byte has no line to be audited.
+            empty = empty_files(spark, core_pattern(root))
+            raise ValueError("empty CSV files:\n" + "\n".join(empty[:_LISTED_FILES]))
+        _report(audit.where("LINES < 2").select("PATH"), "CSV files without data rows:")
         full = len(S.CORE_COLUMNS)
         allowed = [full - len(S.CORE_OPTIONAL_COLUMNS), full]
         _report(
-            files.where(~F.col("WIDTH").isin(allowed)).select("PATH", "WIDTH", "HEADER"),
+            audit.where(~F.col("WIDTH").isin(allowed)).select("PATH", "WIDTH", "HEADER"),
             f"CSV files without {allowed} columns (expected {S.CORE_COLUMNS}):",
         )
+        _warn_of_empty_folders(spark, root, audit)
         wrapped = F.lit(True) if always_clean else F.col("WRAPPED")
-        groups = files.groupBy(
-            F.col("DELIMITER"), F.col("WIDTH"), F.col("IS_UTF8"), wrapped.alias("WRAPPED"),
+        layout = F.struct(
+            "DELIMITER", "WIDTH", "IS_UTF8", wrapped.alias("WRAPPED"),
             (~wrapped & (F.col("OPEN_QUOTE_LINES") > 0)).alias("QUOTED_NEWLINES"),
-        ).agg(F.collect_list("PATH").alias("PATHS")).collect()
-        _warn_of_empty_folders(spark, root, files)
+        )
+        files = audit.select(layout.alias("layout"), "PATH")
+        layouts = [CsvLayout(*row.layout) for row in files.select("layout").distinct().collect()]
+        if len(layouts) == 1:
+            return [(layouts[0], [core_pattern(root)])]
+        paths = {layout: [] for layout in layouts}
+        for row in files.toLocalIterator():
+            paths[CsvLayout(*row.layout)].append(_literal_path(row.PATH))
+        return list(paths.items())
     finally:
-        files.unpersist()
-    return [
-        (CsvLayout(g.DELIMITER, g.WIDTH, g.IS_UTF8, g.WRAPPED, g.QUOTED_NEWLINES),
-         [_literal_path(path) for path in sorted(g.PATHS)])
-        for g in groups
-    ]
+        audit.unpersist()
 
 
 def _warn_of_empty_folders(spark: SparkSession, root: str, files: DataFrame) -> None:
@@ -226,8 +234,8 @@ def _warn_of_empty_folders(spark: SparkSession, root: str, files: DataFrame) ->
 # --- reading -------------------------------------------------------------
 
 def core_pattern(root: str) -> str:
-    """CSV files in the subfolders of ``root``."""
-    return f"{root.rstrip('/')}/*/*.csv"
+    """CSV files in the subfolders of ``root``, but for hidden ones."""
+    return f"{_literal_path(root.rstrip('/'))}/*/[^._]*.csv"
 
 
 def parse_lines(
@@ -294,7 +302,5 @@ def read_core(
     if layout is not None:
         return read_layout(spark, [core_pattern(root)], layout, fail_fast)
     layouts = core_layouts(spark, root, always_clean)
-    if len(layouts) == 1:
-        return read_layout(spark, [core_pattern(root)], layouts[0][0], fail_fast)
     parts = [read_layout(spark, paths, layout, fail_fast) for layout, paths in layouts]
     return reduce(DataFrame.unionByName, parts)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
+from covermonth.sinks.storage import empty_files
 
 _BATCH_ROWS = 10_000
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -189,8 +190,11 @@ def read_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """Claims rows of all workbooks in ``folder``, and rows for skipped sheets.
 
     Columns: the six claims columns, FILE, SHEET and ERROR. ERROR is NULL for
-    claims rows.
+    claims rows. A file without a single byte is an error.
     """
+    empty = empty_files(spark, f"{folder.rstrip('/')}/*.{{xlsx,xls}}")
+    if empty:
+        raise ValueError(f"empty workbooks: {empty}")
     books = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.{xlsx,xls}")

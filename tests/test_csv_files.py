@@ -141,6 +141,13 @@ def test_files_without_rows_are_rejected(spark, tmp_path):
         read_core(spark, str(tmp_path))
 
 
+def test_files_without_a_byte_are_rejected(spark, tmp_path):
+    write(tmp_path, "a", "1.csv", lines_of(line(1)))
+    write(tmp_path, "a", "nothing.csv", "")
+    with pytest.raises(ValueError, match="(?s)empty CSV files.*nothing.csv"):
+        read_core(spark, str(tmp_path))
+
+
 def test_no_files_is_an_error(spark, tmp_path):
     (tmp_path / "a").mkdir()
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
@@ -150,7 +157,9 @@ def test_no_files_is_an_error(spark, tmp_path):
 def test_empty_folder_is_skipped_with_a_warning(spark, tmp_path, caplog):
     write(tmp_path, "a", "1.csv", lines_of(line(1)))
     write(tmp_path, "b", "notes.txt", "x")
-    write(tmp_path, "a/deep", "no.csv", lines_of(line(2))) if (tmp_path / "a/deep").mkdir() else None
+    write(tmp_path / "a", "deep", "no.csv", lines_of(line(2)))
+    (tmp_path / "no.csv").write_text(lines_of(line(3)))
+    write(tmp_path, "a", "_hidden.csv", lines_of(line(4)))
     with caplog.at_level(logging.WARNING):
         assert names(read_core(spark, str(tmp_path))) == {"1": "ANA"}
     assert "folder b" in caplog.text

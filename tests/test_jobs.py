@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.__main__ import main
@@ -176,7 +177,7 @@ def test_sort(spark, reports, tmp_path):
 def test_sort_of_one_row_copied_many_times(spark, tmp_path):
     """Copies of one row are told apart by their row number, so they spread."""
     row = consolidate_core(core_raw(spark, SF_DIR), RUN_DATE).limit(1)
-    copies = row.crossJoin(spark.range(20_000).select()).select(*row.columns)
+    copies = row.select("*", F.explode(F.sequence(F.lit(1), F.lit(20_000)))).drop("col")
     write_report(copies, f"{tmp_path}/in/r.parquet", single_file=True)
     assert layers.sort_reports(spark, f"{tmp_path}/in", f"{tmp_path}/out", 4) == 20_000
     sizes = [pq.ParquetFile(f).metadata.num_rows

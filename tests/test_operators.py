@@ -65,6 +65,11 @@ def test_no_shift(spark):
         assert (row.DNI_ASEGURADO, row.RUC_ASEGURADO, row.FI) == (dni, ruc, "fi")
 
 
+def test_blank_tax_id_may_count_as_missing(spark):
+    df = policies(spark, {"DNI_ASEGURADO": "PEREZ", "RUC_ASEGURADO": ""})
+    assert shift_repair(df, blank_ruc_is_null=True).first().ASEGURADO == "asegurado PEREZ"
+
+
 def test_joined_names_are_null_if_a_part_is(spark):
     row = shift_repair(policies(spark, {"DNI_ASEGURADO": "PEREZ", "ASEGURADO": None})).first()
     assert row.ASEGURADO is None
