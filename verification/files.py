@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,9 +70,24 @@ def _row_xml(values: list[str | None]) -> str:
     return f"<row>{cells}</row>"
 
 
+def _write_bytes(path: str, content: bytes) -> None:
+    """Write a file from a task, to a mounted folder or a file system by URI."""
+    path = path.removeprefix("file://").removeprefix("file:")
+    if "://" not in path:
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as file:
+            file.write(content)
+        return
+    system, name = pa_fs.FileSystem.from_uri(path)
+    system.create_dir(name.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(name) as stream:
+        stream.write(content)
+
+
 def write_workbook(path: str, sheets: dict[str, Iterator[list[str | None]]]) -> None:
     """A minimal workbook with text cells."""
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as book:
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as book:
         names = list(sheets)
         entries = "".join(
             f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(names, 1))
@@ -87,13 +104,12 @@ def write_workbook(path: str, sheets: dict[str, Iterator[list[str | None]]]) ->
                 for values in sheets[name]:
                     sheet.write(_row_xml(values).encode())
                 sheet.write(b"</sheetData></worksheet>")
+    _write_bytes(path, content.getvalue())
 
 
 def write_claims_workbooks(df: DataFrame, folder: str) -> None:
     """Workbooks with a sheet of claims, a sheet of notes and an empty sheet."""
     workbooks = df.count() // _ROWS_PER_WORKBOOK + 1
-    folder = folder.removeprefix("file:")
-    os.makedirs(folder, exist_ok=True)
     columns = S.CLAIMS_COLUMNS
 
     def write_partition(rows: Iterator[Row]) -> None:
