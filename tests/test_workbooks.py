@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import logging
+import subprocess
+import sys
 import zipfile
+from pathlib import Path
 
 import pytest
 
@@ -12,6 +15,7 @@ from covermonth.plans.layers import CLAIMS, BRONZE, ingest_claims
 from covermonth.sinks.tables import layer_exists, load_layer
 from covermonth.sources.workbooks import claims_rows, read_workbooks, skipped_sheets
 from verification.files import write_workbook
+from conftest import SF_DIR
 
 CLAIM = ["12345678", "1", "P1", "C1", "ANA", "2020-01-31"]
 
@@ -94,3 +98,19 @@ def test_workbook_without_claims_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError, match="tres.xlsx"):
         ingest_claims(spark, str(source), str(tmp_path / "lake"))
     assert not layer_exists(spark, str(tmp_path / "lake"), BRONZE, CLAIMS)
+
+
+def test_registered_queries_run_from_any_folder(tmp_path):
+    """Tasks carry their code: workers need not find the repository."""
+    script = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from pyspark.sql import SparkSession\n"
+        "from __spark_entry__ import queries\n"
+        "spark = SparkSession.builder.master('local[2]')"
+        ".config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('rows', queries()['xlsx_claims_read'](spark, sys.argv[2]).count())\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", script, str(Path(__file__).resolve().parents[1]), SF_DIR],
+        cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows 6000" in done.stdout
