@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covermonth.llm.minhash import near_duplicates
 from covermonth.llm.sharding import kd_shards
 
 
@@ -14,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), 3, Fraction(85, 100))
+
+
 def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_shards(table(spark, sf_dir, "documents"), shards=16)
     return placed.select(
@@ -22,6 +28,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bbit_minhash": op1_bbit_minhash,
     "op10_kd_sharding": op10_kd_sharding,
 }
 
