@@ -8,6 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covermonth.llm.decontaminate import contamination
 from covermonth.llm.minhash import near_duplicates
 from covermonth.llm.sharding import kd_shards
 
@@ -20,6 +21,10 @@ def op1_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 3, Fraction(85, 100))
 
 
+def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_shards(table(spark, sf_dir, "documents"), shards=16)
     return placed.select(
@@ -29,6 +34,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
+    "op9_spaced_seeds": op9_spaced_seeds,
     "op10_kd_sharding": op10_kd_sharding,
 }
 
