@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth.llm.decontaminate import contamination
 from covermonth.llm.minhash import near_duplicates
+from covermonth.llm.quality import BASE_POLICY, apply_policy, ledger
+from covermonth.llm.secrets import find_secrets
 from covermonth.llm.sharding import kd_shards
 
 
@@ -21,6 +23,35 @@ def op1_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 3, Fraction(85, 100))
 
 
+QUALITY_POLICY = "prose-2"
+
+
+def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = apply_policy(ledger(table(spark, sf_dir, "documents")), BASE_POLICY, "base_kept")
+    rows = apply_policy(rows, QUALITY_POLICY)
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~F.col("base_kept")).alias("base_failed"), "kept", "failed_bits")
+
+
+def op8_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = table(spark, sf_dir, "documents").select(
+        F.col("doc_id"), find_secrets(F.col("text")).alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(chosen: Column) -> Column:
+        return F.array_join(F.transform(chosen, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return spans.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+        count("hex").alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"), count("guess").alias("n_guess"))
+
+
 def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +65,8 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
+    "op2_rule_ledger": op2_rule_ledger,
+    "op8_guess_cost": op8_guess_cost,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_kd_sharding": op10_kd_sharding,
 }
