@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth.llm.decontaminate import contamination
+from covermonth.llm.langid import predict, train
 from covermonth.llm.minhash import near_duplicates
 from covermonth.llm.quality import BASE_POLICY, apply_policy, ledger
 from covermonth.llm.secrets import find_secrets
@@ -34,6 +35,20 @@ def op2_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~F.col("base_kept")).alias("base_failed"), "kept", "failed_bits")
 
 
+def crc_of_id(modulus: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_of_id(4) == 2, F.lit(False))
+    model = train(docs.where(~held_out).select("text", "lang"))
+    found = docs.select("doc_id", held_out.alias("held_out"),
+                        predict(F.col("text"), model, spark).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"),
+                        F.col("p.score").alias("score"), F.col("p.mixture").alias("mixture"))
+
+
 def op8_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = table(spark, sf_dir, "documents").select(
         F.col("doc_id"), find_secrets(F.col("text")).alias("spans"))
@@ -66,6 +81,7 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_rule_ledger": op2_rule_ledger,
+    "op3_language_mixture": op3_language_mixture,
     "op8_guess_cost": op8_guess_cost,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_kd_sharding": op10_kd_sharding,
