@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from covermonth.llm.decontaminate import contamination
 from covermonth.llm.langid import predict, train
 from covermonth.llm.minhash import near_duplicates
+from covermonth.llm.packing import pack
 from covermonth.llm.quality import BASE_POLICY, apply_policy, ledger
 from covermonth.llm.secrets import find_secrets
 from covermonth.llm.sharding import kd_shards
+from covermonth.llm.warc import round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +51,21 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("p.score").alias("score"), F.col("p.mixture").alias("mixture"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_exact_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = table(spark, sf_dir, "documents").select(
         F.col("doc_id"), find_secrets(F.col("text")).alias("spans"))
@@ -82,9 +99,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_rule_ledger": op2_rule_ledger,
     "op3_language_mixture": op3_language_mixture,
+    "op6_exact_complement": op6_exact_complement,
+    "op7_warc": op7_warc,
     "op8_guess_cost": op8_guess_cost,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_kd_sharding": op10_kd_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+# Five hexadecimal digits of the checksum are four characters of its base32 form.
+ORACLE: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (
+            SELECT page_id, COALESCE(html, '') AS html, sha1(COALESCE(html, '')) AS h FROM pages
+        ), d AS (
+            SELECT page_id, h, octet_length(encode(html)) AS payload_bytes,
+                array_to_string(list_transform(range(0, 8), lambda i: array_to_string(
+                    list_transform(range(0, 4), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                        1 + (((CAST('0x' || substr(h, CAST(5 * i + 1 AS INT), 5) AS INT)
+                            >> CAST(15 - 5 * j AS INT)) & 31)), 1)), '')), '') AS payload_digest
+            FROM p
+        ), o AS (SELECT h, MAX(page_id) AS original FROM d GROUP BY h)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> original THEN original END AS refers_to
+        FROM d JOIN o USING (h)
+    """,
+}
