@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth.llm.decontaminate import contamination
+from covermonth.llm.html_text import main_text
 from covermonth.llm.langid import predict, train
 from covermonth.llm.minhash import near_duplicates
 from covermonth.llm.packing import pack
@@ -51,6 +52,12 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("p.score").alias("score"), F.col("p.mixture").alias("mixture"))
 
 
+def op5_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages").select(
+        "page_id", "url", main_text(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -99,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_rule_ledger": op2_rule_ledger,
     "op3_language_mixture": op3_language_mixture,
+    "op5_html_blocks": op5_html_blocks,
     "op6_exact_complement": op6_exact_complement,
     "op7_warc": op7_warc,
     "op8_guess_cost": op8_guess_cost,
