@@ -8,6 +8,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covermonth.llm.brown import score
 from covermonth.llm.decontaminate import contamination
 from covermonth.llm.html_text import main_text
 from covermonth.llm.langid import predict, train
@@ -52,6 +53,11 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("p.score").alias("score"), F.col("p.mixture").alias("mixture"))
 
 
+def op4_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_of_id(10) == 0, F.lit(False))
+    return score(table(spark, sf_dir, "documents"), held_out)
+
+
 def op5_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = table(spark, sf_dir, "pages").select(
         "page_id", "url", main_text(F.col("html")).alias("text"))
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_rule_ledger": op2_rule_ledger,
     "op3_language_mixture": op3_language_mixture,
+    "op4_brown_classes": op4_brown_classes,
     "op5_html_blocks": op5_html_blocks,
     "op6_exact_complement": op6_exact_complement,
     "op7_warc": op7_warc,
