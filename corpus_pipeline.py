@@ -1,6 +1,7 @@
 """Stages from raw documents to packed training sequences.
 
-Stages are added as their operators are.
+Each stage is one operator, with its decisions applied to the documents; all but the last
+return documents with the columns they came with.
 """
 
 from __future__ import annotations
@@ -8,12 +9,67 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from covermonth.llm import langid
+from covermonth.llm.decontaminate import clean_documents
+from covermonth.llm.minhash import near_duplicates
+from covermonth.llm.packing import pack
+from covermonth.llm.queries import table, tokenizer_path
 from covermonth.llm.scratch import Scratch
+from covermonth.llm.secrets import mask_secrets
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+LEAST_SHARE = 0.5  # of a document's words in its main language
 
-# Language ID, signatures and packing have no SQL form.
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents whose words are mostly of one known language.
+
+    The model is trained on the documents that state a language. Documents without
+    letters go; without any stated language all others stay.
+    """
+    model = langid.train(docs.select("text", "lang"))
+    found = langid.predict(F.col("text"), model, spark)
+    kept = (found["score"] >= LEAST_SHARE) if model.languages else F.col("text").rlike(r"\p{L}")
+    return docs.where(kept)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the smallest doc_id.
+
+    Rows that repeat a doc_id are one document if their texts are linked; one of them stays. Rows
+    without doc_id stay.
+    """
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    known = docs.where(F.col("doc_id").isNotNull())
+    found = known.join(kept, known["doc_id"].cast("long") == kept["kept_id"], "left_semi")
+    return found.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold benchmark passages."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced."""
+    return mask_secrets(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in training sequences."""
+    return pack(docs, tokenizer_path())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", identify_language),
+    ("near-duplicates", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("secrets", hide_secrets),
+    ("packing", pack_sequences),
+]
+
+# Language likelihoods, signatures and tokenizers have no SQL form.
 ORACLE_SQL = None
 
 
