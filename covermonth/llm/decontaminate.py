@@ -59,7 +59,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         tests.select("item_id", F.explode(F.arrays_zip("place", "seed")).alias("z"))
         .select("item_id", F.col("z.place").alias("item_place"), F.col("z.seed").alias("seed")),
         "seeds")
-    known = spark.sparkContext.broadcast(bitmap(seeds, "seed"))
+    known = spark.sparkContext.broadcast(bitmap(seeds, "seed", probes=3))
     hits = scratch.save(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .mapInArrow(lambda batches: _document_seeds(batches, known),
@@ -163,7 +163,7 @@ def _document_seeds(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.Rec
                 tokens = _tokens(text, memory)
                 kept = []
                 for places, seeds in _seeds(tokens):
-                    likely = possible(bits, seeds)
+                    likely = possible(bits, seeds, probes=3)
                     if likely.any():
                         kept.append((places[likely], seeds[likely]))
                 if kept:
