@@ -175,7 +175,7 @@ def measures(text: str) -> tuple[int, ...]:
         alphabetic = sum(map(str.isalpha, decoded))
         with_letter += n * (alphabetic > 0)
         letters += n * alphabetic
-        upper += n * sum(map(str.isupper, decoded))
+        upper += n * sum(c.isupper() and c.isalpha() for c in decoded)
         longest = max(longest, len(decoded))
     return (
         len(words),

@@ -123,6 +123,91 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # Five hexadecimal digits of the checksum are four characters of its base32 form.
 ORACLE: dict[str, str] = {
+    "op1_bbit_minhash": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1),
+                                    lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g
+            FROM d
+        ), n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id
+        ), c AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS k
+            FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+        ), l AS (
+            SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * k >= 85 * (x.n + y.n - k)
+        ), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l
+        ), r AS (
+            SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+        ), m AS (SELECT a, MIN(b) AS b FROM r GROUP BY a)
+        SELECT d.doc_id, CAST(COALESCE(n.n, 0) AS BIGINT) AS n_shingles,
+            LEAST(d.doc_id, COALESCE(m.b, d.doc_id)) AS component_id,
+            d.doc_id <= COALESCE(m.b, d.doc_id) AS kept
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = d.doc_id
+    """,
+    "op2_rule_ledger": r"""
+        WITH d AS (
+            SELECT doc_id, COALESCE(text, '') AS t,
+                regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), u AS (
+            SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM d
+        ), g AS (
+            SELECT doc_id, i, w AS a, LEAD(w) OVER p AS b, LEAD(w, 2) OVER p AS c FROM u
+            WINDOW p AS (PARTITION BY doc_id ORDER BY i)
+        ), h AS (
+            SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, a, b, c) AS k
+            FROM g WHERE c IS NOT NULL
+        ), v AS (
+            SELECT doc_id, COUNT(DISTINCT i + o) AS n_repeat_words
+            FROM h, range(0, 3) r(o) WHERE k > 1 GROUP BY doc_id
+        ), top AS (
+            SELECT doc_id, MAX(k) AS n_top_word, MAX(len) AS longest FROM (
+                SELECT doc_id, COUNT(*) AS k, MAX(length(w)) AS len FROM u GROUP BY doc_id, w)
+            GROUP BY doc_id
+        ), lines AS (
+            SELECT doc_id, CAST(SUM(k) AS BIGINT) AS n_lines,
+                CAST(SUM(k - 1) AS BIGINT) AS n_dup_lines FROM (
+                SELECT doc_id, line, COUNT(*) AS k FROM (
+                    SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+                WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL)
+            GROUP BY doc_id
+        ), f AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                COALESCE(n_dup_lines, 0) AS n_dup_lines,
+                COALESCE(n_repeat_words, 0) AS n_repeat_words,
+                COALESCE(n_lines, 0) AS n_lines, COALESCE(n_top_word, 0) AS n_top_word,
+                COALESCE(longest, 0) AS longest,
+                len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) AS n_letter_words,
+                length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS n_letters,
+                length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS n_upper,
+                length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclaims
+            FROM d LEFT JOIN v USING (doc_id) LEFT JOIN top USING (doc_id)
+                LEFT JOIN lines USING (doc_id)
+        ), b AS (
+            SELECT *, (n_words < 50)::BIGINT
+                + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+                + 4 * (100 * n_symbols > 10 * n_words)::BIGINT
+                + 8 * (100 * n_dup_lines > 50 * n_lines)::BIGINT
+                + 16 * (100 * n_letter_words < 60 * n_words)::BIGINT
+                + 32 * (10 * word_chars < 25 * n_words)::BIGINT
+                + 64 * (word_chars > 12 * n_words)::BIGINT
+                + 128 * (100 * n_top_word > 30 * n_words)::BIGINT
+                + 256 * (100 * n_upper > 50 * n_letters)::BIGINT
+                + 512 * (100 * n_exclaims > 20 * n_words)::BIGINT
+                + 1024 * (longest > 1000)::BIGINT AS failed_bits
+            FROM f
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            (failed_bits & 3) <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b
+    """,
     "op7_warc": """
         WITH p AS (
             SELECT page_id, COALESCE(html, '') AS html, sha1(COALESCE(html, '')) AS h FROM pages
