@@ -28,7 +28,7 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--drop-optional", action="store_true")
         else:
             job.add_argument("--date-mode", default="lenient",
-                             choices=("lenient", "strict", "auto"))
+                             choices=("lenient", "strict"))
             job.add_argument("--always-clean", action="store_true")
     for name in ("reprocess", "sort"):
         job = jobs.add_parser(name)

@@ -42,17 +42,15 @@ def consolidate_core(
     run_date: datetime.date | str | None = None,
     date_mode: str = "lenient",
     year_pivot: int = DEFAULT_YEAR_PIVOT,
-    folder: str | None = None,
     blank_ruc_is_null: bool = False,
 ) -> DataFrame:
     """Consolidated monthly rows from raw policy rows.
 
     Needs no shuffle: every step works within the scan's partitions. Columns
-    beyond the 20 raw ones are ignored, except ``folder`` (see parse_dates).
+    beyond the 20 raw ones are ignored.
     """
-    raw = [*S.CORE_COLUMNS, *([folder] if folder else [])]
-    df = quality_filter(clean_core(df.select(*raw), blank_ruc_is_null))
-    df = parse_dates(df, mode=date_mode, year_pivot=year_pivot, folder=folder)
+    df = quality_filter(clean_core(df.select(*S.CORE_COLUMNS), blank_ruc_is_null))
+    df = parse_dates(df, mode=date_mode, year_pivot=year_pivot)
     df = date_range_filter(stage_barrier(clear_placeholder_ends(df)))
     df = expand_months(add_coverage_bounds(df))
     df = df.withColumns({

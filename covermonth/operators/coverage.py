@@ -22,20 +22,12 @@ def parse_dates(
     columns: list[str] = S.CORE_DATE_COLUMNS,
     mode: str = "lenient",
     year_pivot: int = DEFAULT_YEAR_PIVOT,
-    folder: str | None = None,
-    strict_from_rows: int = S.STRICT_DATES_FROM_ROWS,
 ) -> DataFrame:
-    """Turn date texts into dates.
+    """Turn date texts into dates, alike at any number of rows.
 
     ``lenient`` accepts eight formats and gives NULL otherwise; ``strict``
-    accepts d/m/Y and fails otherwise. ``auto`` counts the rows, once, and is
-    strict for large inputs: per value of the column ``folder`` if given, else
-    over all rows.
+    accepts d/m/Y and fails otherwise.
     """
-    if mode == "auto":
-        if folder is not None:
-            return _parse_dates_by_folder(df, columns, year_pivot, folder, strict_from_rows)
-        mode = "strict" if df.count() >= strict_from_rows else "lenient"
     if mode == "lenient":
         return with_parsed_dates(df, columns, year_pivot)
     if mode == "strict":
@@ -43,21 +35,6 @@ def parse_dates(
     raise ValueError(f"unknown date mode: {mode}")
 
 
-def _parse_dates_by_folder(
-    df: DataFrame, columns: list[str], year_pivot: int, folder: str, strict_from_rows: int
-) -> DataFrame:
-    """Strict in the folders with many rows, lenient in the others."""
-    sizes = df.groupBy(folder).count().where(F.col("count") >= strict_from_rows)
-    # At most one short name per ``strict_from_rows`` rows.
-    large = [row[0] for row in sizes.select(folder).toLocalIterator()]
-    if not large:
-        return with_parsed_dates(df, columns, year_pivot)
-    is_strict = F.coalesce(F.col(folder).isin(large), F.lit(False))
-    strict = df.where(is_strict)
-    strict = strict.withColumns({c: parse_date_strict(F.col(c)) for c in columns})
-    return strict.unionByName(with_parsed_dates(df.where(~is_strict), columns, year_pivot))
-
-
 def clear_placeholder_ends(df: DataFrame) -> DataFrame:
     """Far-future placeholder end dates become NULL."""
     end = F.col("F_FIN_COBERT")

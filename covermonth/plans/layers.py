@@ -14,7 +14,7 @@ from covermonth import schemas as S
 from covermonth.operators.claims import consolidate_claims
 from covermonth.operators.core import consolidate_core
 from covermonth.operators.reports import add_last_digit, order_by_document
-from covermonth.sinks.storage import require_path, stored_bytes
+from covermonth.sinks.storage import require_path
 from covermonth.sinks.tables import (
     SORTED_REPORT_NAME,
     layer_exists,
@@ -36,8 +36,9 @@ CORE, CLAIMS = "core", "claims"
 ALL_LAYERS = (BRONZE, SILVER, GOLD)
 ALL_SOURCES = (CORE, CLAIMS)
 
-# Compressed size of the files of a sorted report.
-_SORTED_FILE_BYTES = 128 * 1024 * 1024
+# Rows of a sort task before compression, and the size of one in memory.
+_RANGE_BYTES = 1024 * 1024 * 1024
+_RAW_ROW_BYTES = 300
 # Number of a row within its Parquet file, while rows are put in order.
 _ROW = "_row"
 _BASES = {CORE: S.BASE_CORE, CLAIMS: S.BASE_CLAIMS}
@@ -109,24 +110,25 @@ def build_silver(
 
 def export_gold(
     spark: SparkSession, lake: str, reports: str, source: str,
-    run_date: datetime.date | str, drop_optional: bool = False, single_file: bool = False,
+    run_date: datetime.date | str, drop_optional: bool = False,
 ) -> int:
     """Report of the silver table of ``source``, in document order."""
     df = load_layer(spark, lake, SILVER, source).withColumn(_ROW, F.col("_metadata.row_index"))
-    partitions = 1 if single_file else _sort_ranges(spark, [layer_path(lake, SILVER, source)])
-    df = _in_document_order(df, partitions)
+    df = _in_document_order(df, _sort_ranges(df))
     path = f"{reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
-    return write_report(df, path, drop_optional, single_file=single_file, is_sorted=True)
+    return write_report(df, path, drop_optional)
 
 
-def _sort_ranges(spark: SparkSession, paths: list[str]) -> int:
-    """Number of ranges for sorting the given Parquet data.
+def _sort_ranges(reports: DataFrame) -> int:
+    """Number of ranges for sorting Parquet reports.
 
-    It follows from the data and not from the session's shuffle partitions,
-    which adaptive execution can merge but not divide.
+    It follows from their rows, which are counted in the file footers, and from
+    the size of a row before compression; not from the session's shuffle
+    partitions, which adaptive execution can merge but not divide. Small reports
+    still give every core a range.
     """
-    size = sum(stored_bytes(spark, path) for path in paths)
-    return size // _SORTED_FILE_BYTES + 1
+    size = reports.count() * _RAW_ROW_BYTES
+    return max(size // _RANGE_BYTES + 1, reports.sparkSession.sparkContext.defaultParallelism)
 
 
 def _in_document_order(numbered: DataFrame, partitions: int) -> DataFrame:
@@ -193,9 +195,8 @@ def run_direct(
 ) -> dict[str, int]:
     """Reports straight from the source folders; rows by source.
 
-    ``date_mode`` "auto" decides between lenient and strict dates for each
-    policy folder. ``always_clean`` repairs the quoting of every policy line
-    and leaves PARENTESCO and FI out of the reports.
+    ``date_mode`` is "lenient" or "strict". ``always_clean`` repairs the quoting of
+    every policy line and leaves PARENTESCO and FI out of the reports.
     """
     _check_choice(sources, ALL_SOURCES)
     run_date = run_date or datetime.date.today()
@@ -206,8 +207,7 @@ def run_direct(
     for source in sources:
         if source == CORE:
             raw = read_core(spark, paths.core, always_clean=always_clean)
-            folder = "FOLDER" if date_mode == "auto" else None
-            df = consolidate_core(raw, run_date, date_mode, folder=folder)
+            df = consolidate_core(raw, run_date, date_mode)
         else:
             skipped = Observation(f"skipped-{uuid.uuid4().hex}")
             parsed = read_workbooks(spark, paths.claims).observe(
@@ -238,11 +238,10 @@ def sort_reports(
 ) -> int:
     """All consolidated reports as one, in document order.
 
-    ``partitions`` is the number of files; by default it follows from the
-    size of the reports.
+    ``partitions`` is the number of ranges; by default it follows from the
+    rows of the reports.
     """
-    if partitions is None:
-        partitions = _sort_ranges(spark, report_paths(spark, reports))
-    df = _in_document_order(read_reports(spark, reports, row_number=_ROW), partitions)
+    df = read_reports(spark, reports, row_number=_ROW)
+    df = _in_document_order(df, partitions or _sort_ranges(df))
     path = f"{target.rstrip('/')}/{SORTED_REPORT_NAME}"
-    return write_report(df, path, row_group_rows=S.ROW_GROUP_ROWS_SORTED, is_sorted=True)
+    return write_report(df, path, row_group_rows=S.ROW_GROUP_ROWS_SORTED)

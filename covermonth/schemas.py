@@ -44,7 +44,6 @@ PLACEHOLDER_END_DATES = ["2103-06-19", "2200-02-03", "4016-03-01"]
 MIN_VALID_DATE = "1900-01-01"
 MAX_VALID_DATE = "9000-12-31"
 MAX_COVER_YEARS = 85
-STRICT_DATES_FROM_ROWS = 10_000_000
 
 TEXT_ONLY_PATTERN = r"^[a-zA-ZñÑáéíóúÁÉÍÓÚ\s]+$"
 DOCUMENT_NOISE_PATTERN = r"[^a-zA-Z0-9ñÑáéíóúÁÉÍÓÚ\s]"
@@ -56,6 +55,7 @@ TAX_ID_LENGTH = 11
 MIN_CLAIM_TEXT_LENGTH = 3
 
 CSV_DELIMITERS = [",", ";", "\t", "|"]
+FILE_ROWS_REPORT = 20_000_000
 ROW_GROUP_ROWS_REPORT = 1_000_000
 ROW_GROUP_ROWS_SORTED = 120_000
 

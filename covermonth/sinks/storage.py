@@ -48,11 +48,6 @@ def empty_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in _matching(spark, pattern) if s.getLen() == 0)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of all files below ``path``."""
-    return _file_system(spark, path).getContentSummary(_path(spark, path)).getLength()
-
-
 def require_path(spark: SparkSession, path: str | None, what: str) -> None:
     if not path:
         raise ValueError(f"no {what} given")

@@ -52,24 +52,19 @@ def write_report(
     path: str,
     drop_optional: bool = False,
     row_group_rows: int = S.ROW_GROUP_ROWS_REPORT,
-    single_file: bool = False,
-    is_sorted: bool = False,
-    max_rows_per_file: int = 0,
+    max_rows_per_file: int = S.FILE_ROWS_REPORT,
 ) -> int:
     """Write a ZSTD Parquet report and return its number of rows.
 
     The report is staged and put in place when complete; on failure, or if it
     would be empty, an older report stays as it was. ``drop_optional`` leaves
-    out PARENTESCO and FI. ``single_file`` is for small reports: all rows pass
-    through one task, which needs no sort if the rows ``is_sorted``. ``max_rows_per_file`` splits the files of large tasks.
+    out PARENTESCO and FI. A task that has more than ``max_rows_per_file`` rows
+    writes several files.
     """
     if drop_optional:
         df = df.drop(*S.CORE_OPTIONAL_COLUMNS)
-    if single_file:
-        df = df.coalesce(1) if is_sorted else df.repartition(1)
     options = parquet_options(row_group_rows)
-    if max_rows_per_file:
-        options["maxRecordsPerFile"] = str(max_rows_per_file)
+    options["maxRecordsPerFile"] = str(max_rows_per_file)
     return _write_and_publish(df, path, "parquet", options, _check_row_count)
 
 

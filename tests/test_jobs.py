@@ -55,11 +55,9 @@ def test_parquet_layout(spark, tmp_path):
     assert groups[0].column(0).is_stats_set
 
 
-def test_single_file_and_split_files(spark, tmp_path):
+def test_split_files(spark, tmp_path):
     df = spark.range(0, 1000, 1, 4).toDF("n")
-    write_report(df, f"{tmp_path}/one.parquet", single_file=True)
     write_report(df, f"{tmp_path}/many.parquet", max_rows_per_file=100)
-    assert len(part_files(tmp_path / "one.parquet")) == 1
     assert len(part_files(tmp_path / "many.parquet")) == 12
 
 
@@ -118,9 +116,9 @@ def test_gold_is_in_document_order(spark, sources, tmp_path):
     assert keys == sorted(keys)
 
 
-def test_direct_run_by_folder_and_without_optional_columns(spark, sources, reports, tmp_path):
+def test_direct_run_with_and_without_optional_columns(spark, sources, reports, tmp_path):
     paths = Paths(core=f"{sources}/core", reports=str(tmp_path))
-    layers.run_direct(spark, paths, ("core",), RUN_DATE, date_mode="auto")
+    layers.run_direct(spark, paths, ("core",), RUN_DATE)
     name = report_name(S.BASE_CORE, RUN_DATE)
     assert same_rows(spark.read.parquet(f"{tmp_path}/{name}"),
                      spark.read.parquet(f"{reports}/{name}"))
@@ -178,7 +176,7 @@ def test_sort_of_one_row_copied_many_times(spark, tmp_path):
     """Copies of one row are told apart by their row number, so they spread."""
     row = consolidate_core(core_raw(spark, SF_DIR), RUN_DATE).limit(1)
     copies = row.select("*", F.explode(F.sequence(F.lit(1), F.lit(20_000)))).drop("col")
-    write_report(copies, f"{tmp_path}/in/r.parquet", single_file=True)
+    write_report(copies, f"{tmp_path}/in/r.parquet")
     assert layers.sort_reports(spark, f"{tmp_path}/in", f"{tmp_path}/out", 4) == 20_000
     sizes = [pq.ParquetFile(f).metadata.num_rows
              for f in part_files(tmp_path / "out" / "Archivo_Consolidado_Ordenado.parquet")]

@@ -153,16 +153,13 @@ def test_bounds_are_ordered(spark):
     assert df.where(first > last).isEmpty()
 
 
-def test_dates_by_row_count(spark):
-    rows = [("a", "2020-01-31"), ("b", "31/01/2020"), ("b", "1/2/2020")]
-    df = spark.createDataFrame(rows, "folder string, d string")
-    lenient = parse_dates(df, ["d"], "auto", folder="folder", strict_from_rows=3)
-    mixed = parse_dates(df, ["d"], "auto", folder="folder", strict_from_rows=2)
-    assert sorted(lenient.collect()) == sorted(mixed.collect())
+def test_date_modes(spark):
+    df = spark.createDataFrame([("2020-01-31",), ("31/01/2020",)], "d string")
+    assert [str(r.d) for r in parse_dates(df, ["d"]).collect()] == ["2020-01-31"] * 2
     with pytest.raises(Exception, match="not a d/m/Y date"):
-        parse_dates(df, ["d"], "auto", strict_from_rows=3).collect()
+        parse_dates(df, ["d"], "strict").collect()
     with pytest.raises(ValueError, match="unknown date mode"):
-        parse_dates(df, ["d"], "often")
+        parse_dates(df, ["d"], "auto")
 
 
 def test_core_rows(spark):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import os
 import tempfile
 import uuid
 import zipfile
@@ -71,13 +70,7 @@ def _row_xml(values: list[str | None]) -> str:
 
 
 def _write_bytes(path: str, content: bytes) -> None:
-    """Write a file from a task, to a mounted folder or a file system by URI."""
-    path = path.removeprefix("file://").removeprefix("file:")
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(path, "wb") as file:
-            file.write(content)
-        return
+    """Write a file from a task, on the file system of its path."""
     system, name = pa_fs.FileSystem.from_uri(path)
     system.create_dir(name.rpartition("/")[0], recursive=True)
     with system.open_output_stream(name) as stream:

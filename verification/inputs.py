@@ -98,14 +98,8 @@ FROM t
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables.
-
-    A table smaller than a few splits is scanned by fewer tasks than there
-    are cores, but expands to many rows per row: only then is it spread first.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """One of the given tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def core_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

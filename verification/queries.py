@@ -176,14 +176,6 @@ def core_dates_parsed(spark: SparkSession, sf: str) -> DataFrame:
         "POLIZA", "NRO_DOCUMENTO", "F_INI_COBER", "F_FIN_COBERT", "F_ANULACION_CERT")
 
 
-@register(oracle.core_until("dated", "SELECT POLIZA, NRO_DOCUMENTO, F_INI_COBER, F_FIN_COBERT, "
-                            "F_ANULACION_CERT FROM dated"))
-def parse_dates_by_row_count(spark: SparkSession, sf: str) -> DataFrame:
-    df = quality_filter(_resolved(spark, sf)).withColumn("FOLDER", F.col("COD_RAMO"))
-    return parse_dates(df, mode="auto", folder="FOLDER").select(
-        "POLIZA", "NRO_DOCUMENTO", "F_INI_COBER", "F_FIN_COBERT", "F_ANULACION_CERT")
-
-
 @register(oracle.core_until("placed", "SELECT POLIZA, F_INI_COBER, F_FIN_COBERT FROM placed"))
 def placeholder_dates(spark: SparkSession, sf: str) -> DataFrame:
     return clear_placeholder_ends(_dated(spark, sf)).select(
