@@ -43,6 +43,11 @@ def count_files(spark: SparkSession, pattern: str) -> int:
     return len(_matching(spark, pattern))
 
 
+def matching_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files that match a glob pattern."""
+    return sorted(s.getPath().toString() for s in _matching(spark, pattern))
+
+
 def empty_files(spark: SparkSession, pattern: str) -> list[str]:
     """Files of length zero, which Spark leaves out when it lists its input."""
     return sorted(s.getPath().toString() for s in _matching(spark, pattern) if s.getLen() == 0)

@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.plans.barrier import stage_barrier
-from covermonth.sinks.storage import count_files, empty_files, list_folders
+from covermonth.sinks.storage import (
+    count_files,
+    empty_files,
+    list_folders,
+    matching_files,
+)
 
 log = logging.getLogger(__name__)
 
 # Separator that no line contains, so that a line is read as one field.
 _NO_SEPARATOR = "\x01\x02"
-# A quote that opens a field and is not closed before the end of the line.
-_OPEN_QUOTE = r'(?:^|[,;\t|])"(?!(?:[^"]++|"")*+"(?:[,;\t|]|$))'
 _LISTED_FILES = 20
 
 
@@ -34,9 +37,12 @@ class CsvLayout:
     """How the files of one group are to be read.
 
     ``utf8``: all lines are known to be valid UTF-8; else they are checked one
-    by one. ``wrapped``: each line stands in outer quotes and needs cleaning.
+    by one. ``wrapped``: lines may stand in outer quotes, or have an odd number of
+    quotes; each is looked at by itself.
+    ``repair_all``: stray and doubled quotes are repaired in every line.
     ``quoted_newlines``: quoted fields contain line breaks, so that a file
-    cannot be split and is read as a whole by one task.
+    cannot be split and is read as a whole by one task. This is never guessed
+    from the data: one stray quote would swallow all lines after it.
     """
 
     delimiter: str = ","
@@ -44,6 +50,7 @@ class CsvLayout:
     utf8: bool = False
     wrapped: bool = False
     quoted_newlines: bool = False
+    repair_all: bool = False
 
 
 # --- lines ---------------------------------------------------------------
@@ -60,23 +67,48 @@ def _decode_latin(text: Column) -> Column:
     return F.when(is_ascii | ~F.is_valid_utf8(raw), text).otherwise(raw)
 
 
-def clean_line(line: Column, delimiter: str = ",", simple: bool = False) -> Column:
-    """Repair the quoting of a line exported with outer quotes.
+def _is_record(line: Column, delimiter: str, width: int) -> Column:
+    """Whether the quotes around a line belong to its first and last field.
 
-    The outer quotes go. A field in doubled quotes keeps single ones, and a
-    quote inside a field becomes an apostrophe; ``simple`` only halves doubled
-    quotes.
+    Either the quoting is without fault and gives several fields, or all fields
+    stand in quotes, some with a stray quote inside. Else the line as a whole
+    was put in quotes.
     """
-    is_wrapped = line.startswith('"') & line.endswith('"')
-    line = F.when(is_wrapped, F.substring(line, F.lit(2), F.length(line) - 2)).otherwise(line)
-    if simple:
-        return F.replace(line, F.lit('""'), F.lit('"'))
     d = "\\" + delimiter if delimiter == "|" else delimiter
-    repaired = F.regexp_replace(line, f'(^|{d})""(.+?)""(?={d}|$)', '$1"$2"')
+    field = f'(?:"(?:[^"]|"")*+"|[^"{delimiter}]*+)'
+    all_quoted = F.regexp_count(line, F.lit(f'"{d}(?=")')) == width - 1
+    return line.rlike(f"^{field}(?:{d}{field})+$") | (all_quoted & ~line.startswith('"""'))
+
+
+def clean_line(
+    line: Column, delimiter: str = ",", width: int = len(S.CORE_COLUMNS), every: bool = True
+) -> Column:
+    """Repair the quoting of a line.
+
+    Quotes around the whole line go. A field in doubled quotes then keeps single ones,
+    and a quote inside a field becomes an apostrophe. Records of quoted fields
+    keep their quotes. Lines not in quotes are repaired if ``every`` one is to be.
+    A quote that opens a field and is closed nowhere becomes an apostrophe in any line.
+    """
+    d = "\\" + delimiter if delimiter == "|" else delimiter
+    bounded = line.startswith('"') & line.endswith('"')
+    record = _is_record(line, delimiter, width)
+    plain = F.when(bounded & ~record, F.substring(line, F.lit(2), F.length(line) - 2))
+    plain = plain.otherwise(line)
+    doubled = F.regexp_replace(plain, f'(^|{d})""(.+?)""(?={d}|$)', '$1"$2"')
+    repaired = F.when(bounded & record, plain).otherwise(doubled)
     repaired = F.regexp_replace(repaired, f'(?<=[^"{delimiter}])"(?=[^"{delimiter}])', "'")
+    repaired = F.when(bounded | F.lit(every), repaired).otherwise(plain)
+    opened = F.regexp_replace(repaired, f'(^|{d})"(?!(?:[^"]|"")*+"(?:{d}|$))', "$1'")
+    repaired = F.when(_has_odd_quotes(repaired), opened).otherwise(repaired)
     return F.when(line.contains('"'), repaired).otherwise(line)
 
 
+def _has_odd_quotes(line: Column) -> Column:
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    return quotes % 2 == 1
+
+
 def raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Decoded data lines (LINE) of files with a header, and FILE, FOLDER.
 
@@ -121,12 +153,12 @@ def _delimiter_of(header: Column) -> Column:
 
 
 def audit_csv_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per CSV file: header, second line, layout and line counts.
+    """One row per CSV file: header, layout and line counts.
 
-    One pass over the lines. Line numbers within a file are not known, but
-    ids grow by one from line to line of a split: the first two lines of a
-    file are the first even and the first odd one of its first split. Only
-    the result is shuffled, one row per file and task.
+    One pass over the lines. Line numbers within a file are not known, but ids
+    grow from line to line of a split: the header is the line with the smallest
+    id of a file's first split. Only the result is shuffled, one row per file
+    and task.
     """
     lines = spark.read.text(paths).select(
         "value",
@@ -135,36 +167,28 @@ def audit_csv_files(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("id"),
     )
     value = F.col("value")
-
-    def first_with_parity(parity: int) -> Column:
-        candidate = (F.col("block") == 0) & (F.col("id") % 2 == parity)
-        return F.min_by(F.struct("id", "value"), F.when(candidate, F.col("id")))
-
-    quotes = F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
     per_file = lines.groupBy("uri").agg(
-        first_with_parity(0).alias("even"),
-        first_with_parity(1).alias("odd"),
+        F.min_by("value", F.when(F.col("block") == 0, F.col("id"))).alias("header"),
         F.count_if(F.trim(value) != "").alias("LINES"),
         # A set, because aggregation of sets is hashed: the lines need no sort.
         F.collect_set(F.is_valid_utf8(value)).alias("utf8"),
-        F.count_if((quotes % 2 == 1) & value.rlike(_OPEN_QUOTE)).alias("OPEN_QUOTE_LINES"),
+        # Lines whose quoting has to be looked at.
+        F.count_if((value.startswith('"') & value.endswith('"')) | _has_odd_quotes(value))
+        .alias("QUOTED_LINES"),
     )
-    per_file = per_file.select(
+    per_file = stage_barrier(per_file.select(
         _decode_uri(F.col("uri")).alias("PATH"), *_lineage(F.col("uri")),
-        "LINES", "OPEN_QUOTE_LINES",
+        "LINES", "QUOTED_LINES",
         (~F.array_contains("utf8", False)).alias("IS_UTF8"),
-        F.array_sort(F.array_compact(F.array("even", "odd"))).alias("first"),
-    )
-    per_file = stage_barrier(per_file.select(
-        "*",
-        decode_bytes(F.get("first", F.lit(0))["value"]).alias("HEADER"),
-        decode_bytes(F.get("first", F.lit(1))["value"]).alias("SECOND_LINE"),
-    ).drop("first"))
-    second = F.trim("SECOND_LINE")
-    per_file = per_file.withColumn(
-        "WRAPPED", F.coalesce(second.startswith('"') & second.endswith('"'), F.lit(False)))
-    header = F.when(F.col("WRAPPED"), clean_line(F.col("HEADER"))).otherwise(F.col("HEADER"))
-    per_file = per_file.withColumn("_names", F.regexp_replace(header, '"[^"]*"', ""))
+        decode_bytes(F.col("header")).alias("HEADER"),
+    ))
+    # Names in quotes are cut out, unless the header as a whole stands in quotes.
+    header = F.trim("HEADER")
+    names = F.regexp_replace(header, '"[^"]*"', "")
+    inner = F.regexp_replace(
+        F.substring(header, F.lit(2), F.length(header) - 2), '""[^"]*""', "")
+    whole = header.startswith('"') & (names == "")
+    per_file = per_file.withColumn("_names", F.when(whole, inner).otherwise(names))
     per_file = per_file.withColumn("DELIMITER", _delimiter_of(F.col("_names")))
     width = F.octet_length("_names") - F.octet_length(
         F.replace("_names", "DELIMITER", F.lit(""))) + 1
@@ -172,11 +196,11 @@ def audit_csv_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def _report(files: DataFrame, message: str) -> None:
-    """Fail with the first few of the given files, if there are any."""
+    """Fail with the number of the given files and the first few, if there are any."""
     found = files.limit(_LISTED_FILES).collect()
     if found:
         listed = "\n".join(" | ".join(str(v) for v in row) for row in found)
-        raise ValueError(f"{message}\n{listed}")
+        raise ValueError(f"{files.count()} {message}\n{listed}")
 
 
 def _literal_path(path: str) -> str:
@@ -185,7 +209,7 @@ def _literal_path(path: str) -> str:
 
 
 def core_layouts(
-    spark: SparkSession, root: str, always_clean: bool = False
+    spark: SparkSession, root: str, always_clean: bool = False, quoted_newlines: bool = False
 ) -> list[tuple[CsvLayout, list[str]]]:
     """The layouts under ``root`` and the files of each.
 
@@ -193,12 +217,14 @@ def core_layouts(
     layout stands for all files. Otherwise the driver receives one path per
     file, no more than its file index holds.
     """
+    _refuse_hidden_files(spark, root)
     audit = audit_csv_files(spark, [core_pattern(root)]).cache()
     try:
         if audit.count() != count_files(spark, core_pattern(root)):
             # A file without a single byte has no line to be audited.
             empty = empty_files(spark, core_pattern(root))
-            raise ValueError("empty CSV files:\n" + "\n".join(empty[:_LISTED_FILES]))
+            raise ValueError(
+                f"{len(empty)} empty CSV files:\n" + "\n".join(empty[:_LISTED_FILES]))
         _report(audit.where("LINES < 2").select("PATH"), "CSV files without data rows:")
         full = len(S.CORE_COLUMNS)
         allowed = [full - len(S.CORE_OPTIONAL_COLUMNS), full]
@@ -207,10 +233,12 @@ def core_layouts(
             f"CSV files without {allowed} columns (expected {S.CORE_COLUMNS}):",
         )
         _warn_of_empty_folders(spark, root, audit)
-        wrapped = F.lit(True) if always_clean else F.col("WRAPPED")
+        wrapped = F.lit(True) if always_clean else F.col("QUOTED_LINES") > 0
         layout = F.struct(
-            "DELIMITER", "WIDTH", "IS_UTF8", wrapped.alias("WRAPPED"),
-            (~wrapped & (F.col("OPEN_QUOTE_LINES") > 0)).alias("QUOTED_NEWLINES"),
+            "DELIMITER", "WIDTH", "IS_UTF8",
+            (wrapped & F.lit(not quoted_newlines)).alias("WRAPPED"),
+            F.lit(quoted_newlines).alias("QUOTED_NEWLINES"),
+            F.lit(always_clean).alias("REPAIR_ALL"),
         )
         files = audit.select(layout.alias("layout"), "PATH")
         layouts = [CsvLayout(*row.layout) for row in files.select("layout").distinct().collect()]
@@ -224,6 +252,14 @@ def core_layouts(
         audit.unpersist()
 
 
+def _refuse_hidden_files(spark: SparkSession, root: str) -> None:
+    """Spark leaves out files that start with _ or a dot; they may not go unseen."""
+    hidden = matching_files(spark, f"{_literal_path(root.rstrip('/'))}/*/[_.]*.csv")
+    if hidden:
+        raise ValueError(f"{len(hidden)} CSV files start with _ or a dot, rename them:\n"
+                         + "\n".join(hidden[:_LISTED_FILES]))
+
+
 def _warn_of_empty_folders(spark: SparkSession, root: str, files: DataFrame) -> None:
     used = {row[0] for row in files.select("FOLDER").distinct().collect()}
     for folder in list_folders(spark, root):
@@ -234,7 +270,7 @@ def _warn_of_empty_folders(spark: SparkSession, root: str, files: DataFrame) ->
 # --- reading -------------------------------------------------------------
 
 def core_pattern(root: str) -> str:
-    """CSV files in the subfolders of ``root``, but for hidden ones."""
+    """CSV files in the subfolders of ``root``."""
     return f"{_literal_path(root.rstrip('/'))}/*/[^._]*.csv"
 
 
@@ -275,12 +311,17 @@ def read_layout(
 ) -> DataFrame:
     """Policy rows of files with one layout, as strings, with FILE and FOLDER."""
     columns = S.CORE_COLUMNS[: layout.width]
+    # Where fields may hold line breaks, a record without all its fields is the sign
+    # of a quote that was never closed.
+    fail_fast = fail_fast or layout.quoted_newlines
     if layout.quoted_newlines or (layout.utf8 and not layout.wrapped):
         df = _read_clean(spark, paths, layout, columns, fail_fast)
     else:
         lines = raw_lines(spark, paths)
         if layout.wrapped:
-            lines = lines.withColumn("LINE", clean_line(F.col("LINE"), layout.delimiter))
+            line = clean_line(
+                F.col("LINE"), layout.delimiter, layout.width, layout.repair_all)
+            lines = lines.withColumn("LINE", line)
         df = parse_lines(lines, columns, layout.delimiter, fail_fast)
     missing = {c: F.lit(None).cast("string") for c in S.CORE_COLUMNS[layout.width:]}
     df = df.withColumns(missing) if missing else df
@@ -293,14 +334,17 @@ def read_core(
     layout: CsvLayout | None = None,
     always_clean: bool = False,
     fail_fast: bool = False,
+    quoted_newlines: bool = False,
 ) -> DataFrame:
     """All policy rows under ``root``/folder/file.csv, as strings.
 
     Without ``layout``, the files are audited first, which reads them once
-    more. ``always_clean`` treats every file as wrapped.
+    more. ``always_clean`` repairs the quoting of every line.
+    ``quoted_newlines`` says that quoted fields may hold line breaks.
     """
     if layout is not None:
+        _refuse_hidden_files(spark, root)
         return read_layout(spark, [core_pattern(root)], layout, fail_fast)
-    layouts = core_layouts(spark, root, always_clean)
+    layouts = core_layouts(spark, root, always_clean, quoted_newlines)
     parts = [read_layout(spark, paths, layout, fail_fast) for layout, paths in layouts]
     return reduce(DataFrame.unionByName, parts)

@@ -52,7 +52,7 @@ def test_each_file_by_its_own_layout(spark, tmp_path):
               lines_of(line(10 + n, sep=sep), header=HEADER.replace(",", sep)))
     write(tmp_path, "c", "18.csv", lines_of(line(20, width=18), line(21),
           header=",".join(S.CORE_COLUMNS[:18])))
-    write(tmp_path, "c", "quoted.csv", lines_of(line(30, '"ANA\nMARIA, ""X"""'), line(31)))
+    write(tmp_path, "c", "quoted.csv", lines_of(line(30, '"ANA MARIA, ""X"""'), line(31)))
     write(tmp_path, "d", "wrapped.csv", lines_of(
         '"' + line(40, '""LUZ, ANA""') + '"', '"' + line(41, 'O"HARA') + '"',
         header=f'"{HEADER}"'))
@@ -61,7 +61,7 @@ def test_each_file_by_its_own_layout(spark, tmp_path):
     assert df.columns == [*S.CORE_COLUMNS, "FILE", "FOLDER"]
     assert names(df) == {
         "1": "ANA", "2": "PEÑA", "3": "PEÑA", "4": "ANA", "10": "ANA", "11": "ANA", "12": "ANA",
-        "20": "ANA", "21": "ANA", "30": 'ANA\nMARIA, "X"', "31": "ANA",
+        "20": "ANA", "21": "ANA", "30": 'ANA MARIA, "X"', "31": "ANA",
         "40": "LUZ, ANA", "41": "O'HARA",
     }
     narrow = {(r.PARENTESCO, r.FI) for r in df.where("FILE = '18.csv'").collect()}
@@ -79,30 +79,47 @@ def test_audit(spark, tmp_path):
           "iso-8859-1")
     audit = {r.FILE: r for r in audit_csv_files(spark, [core_pattern(str(tmp_path))]).collect()}
     assert audit["1.csv"].HEADER == HEADER
-    assert audit["1.csv"].SECOND_LINE == line(1)
     assert [audit[f"{n}.csv"].LINES for n in (1, 2, 3, 4)] == [3, 2, 1, 2]
-    assert [audit[f"{n}.csv"].WRAPPED for n in (1, 2, 3, 4)] == [False, True, False, False]
+    assert [audit[f"{n}.csv"].QUOTED_LINES for n in (1, 2, 3, 4)] == [0, 2, 0, 0]
     assert [audit[f"{n}.csv"].IS_UTF8 for n in (1, 2, 3, 4)] == [True, True, True, False]
     assert {audit[f"{n}.csv"].WIDTH for n in (1, 2, 3, 4)} == {20}
-    assert audit["3.csv"].SECOND_LINE is None
 
 
-def test_open_quotes(spark, tmp_path):
-    """Only fields that go on in the next line keep a file from being split."""
-    closed = [line(1, '"ANA, ""X"""'), line(2, 'O"HARA'), line(3, '"A ""B"" C"'), line(4, '""'),
-              line(5, '5" 6'), line(6, '"5"" 6"')]
-    opened = [line(1, '"ANA\nX"'), line(2, '"A ""B\nC"" D"'), line(3, '"\n"')]
-    write(tmp_path, "a", "closed.csv", lines_of(*closed))
-    write(tmp_path, "a", "open.csv", lines_of(*opened))
-    audit = {r.FILE: r for r in audit_csv_files(spark, [core_pattern(str(tmp_path))]).collect()}
-    assert audit["closed.csv"].OPEN_QUOTE_LINES == 0
-    assert audit["open.csv"].OPEN_QUOTE_LINES > 0
+def test_line_breaks_in_fields_are_declared(spark, tmp_path):
+    rows = [line(1, '"ANA\nX"'), line(2, '"A ""B\nC"" D"'), line(3, '"\n"')]
+    write(tmp_path, "a", "1.csv", lines_of(*rows))
+    found = read_core(spark, str(tmp_path), quoted_newlines=True)
+    assert sorted(r.ASEGURADO for r in found.collect()) == ["\n", 'A "B\nC" D', "ANA\nX"]
+    write(tmp_path, "a", "2.csv", lines_of(line(4, '"ANA'), line(5)))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        read_core(spark, str(tmp_path), quoted_newlines=True).collect()
+
+
+def test_stray_quotes_lose_no_line(spark, tmp_path):
+    rows = [line(i, '"LUZ' if i % 3 == 0 else "ANA") for i in range(1000)]
+    write(tmp_path, "a", "1.csv", lines_of(*rows))
     found = read_core(spark, str(tmp_path))
-    assert names(found.where("FILE = 'closed.csv'")) == {
-        "1": 'ANA, "X"', "2": 'O"HARA', "3": 'A "B" C', "4": names(found)["4"], "5": '5" 6',
-        "6": '5" 6'}
-    assert sorted(r.ASEGURADO for r in found.where("FILE = 'open.csv'").collect()) == [
-        "\n", 'A "B\nC" D', "ANA\nX"]
+    assert names(found) == {str(i): "'LUZ" if i % 3 == 0 else "ANA" for i in range(1000)}
+    assert {r.FI for r in found.collect()} == {"x"}
+
+
+def test_quote_all_and_wrapped_lines(spark, tmp_path):
+    """Each line by itself, whatever the first ones of its file look like."""
+    quoted = ",".join(f'"{c}"' for c in S.CORE_COLUMNS)
+    fields = '","'.join(line(1, "A, B", sep="\1").split("\1"))
+    write(tmp_path, "a", "quoted_header.csv", lines_of(f'"{fields}"', header=quoted))
+    write(tmp_path, "a", "bare_header.csv", lines_of(
+        f'"{fields}"'.replace('"1"', '"2"', 1), '"' + line(3) + '"', line(4), header=HEADER))
+    found = names(read_core(spark, str(tmp_path)))
+    assert found == {"1": "A, B", "2": "A, B", "3": "ANA", "4": "ANA"}
+
+
+def test_hidden_files_are_refused(spark, tmp_path):
+    write(tmp_path, "a", "1.csv", lines_of(line(1)))
+    write(tmp_path, "a", "_2.csv", lines_of(line(2)))
+    for layout in (None, CsvLayout()):
+        with pytest.raises(ValueError, match="(?s)1 CSV files start with _ or a dot.*_2.csv"):
+            read_core(spark, str(tmp_path), layout)
 
 
 def test_audit_of_split_files(spark, tmp_path):
@@ -123,7 +140,6 @@ def test_audit_of_split_files(spark, tmp_path):
     for row in audit:
         n = int(row.FILE[0])
         assert row.HEADER == HEADER.replace("FI", f"FI{n}")
-        assert row.SECOND_LINE == line(0, f"NOMBRE {n}")
         assert row.LINES == 301 + n
 
 
@@ -159,7 +175,6 @@ def test_empty_folder_is_skipped_with_a_warning(spark, tmp_path, caplog):
     write(tmp_path, "b", "notes.txt", "x")
     write(tmp_path / "a", "deep", "no.csv", lines_of(line(2)))
     (tmp_path / "no.csv").write_text(lines_of(line(3)))
-    write(tmp_path, "a", "_hidden.csv", lines_of(line(4)))
     with caplog.at_level(logging.WARNING):
         assert names(read_core(spark, str(tmp_path))) == {"1": "ANA"}
     assert "folder b" in caplog.text
@@ -189,6 +204,9 @@ def test_clean_line(values):
     texts = ['"a,""b,c"",d"', '""b"",x', 'a,b"c,"d"', '"', '""', "a", None, 'x,"y","z"']
     assert values(texts, clean_line) == [
         'a,"b,c",d', '"b",x', "a,b'c,\"d\"", "", "", "a", None, 'x,"y","z"']
-    assert values(['"a,""b"",c"', 'a""b'], lambda x: clean_line(x, simple=True)) == [
-        'a,"b",c', 'a"b']
+    assert values(texts[2:3] + ['"a,b"c"'], lambda x: clean_line(x, every=False)) == [
+        'a,b"c,"d"', "a,b'c"]
+    assert values(['"a","","O"X"', '"a","b, c",""', '"""a"",""b"",c"', 'a,"b'],
+                  lambda x: clean_line(x, width=3)) == [
+        '"a","","O\'X"', '"a","b, c",""', '"a","b",c', "a,'b"]
     assert values(['"a|""b|c""|d"'], lambda x: clean_line(x, "|")) == ['a|"b|c"|d']

@@ -359,9 +359,50 @@ def csv_quoted_newlines(spark: SparkSession, sf: str) -> DataFrame:
     df = inputs.core_raw(spark, sf).withColumn(
         "CONTRATANTE", F.concat("CONTRATANTE", F.lit('\n"'), F.col("ID"), F.lit('", x')))
     write_core_folders(df, root, [{}, {"sep": ";"}])
+    return _raw_columns(read_core(spark, root, quoted_newlines=True))
+
+
+@register(oracle.CORE_RAW)
+def csv_quote_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every field in quotes, for each delimiter."""
+    root = scratch_folder(spark)
+    options = [{"sep": d, "quoteAll": True, "emptyValue": ""} for d in S.CSV_DELIMITERS]
+    write_core_folders(inputs.core_raw(spark, sf), root, options)
+    return _raw_columns(read_core(spark, root))
+
+
+def _plain_line(names: dict[str, Column]) -> Column:
+    return F.concat_ws(",", *[
+        names.get(c, F.coalesce(F.col(c), F.lit(""))) for c in S.CORE_COLUMNS])
+
+
+@register(f"""SELECT * REPLACE (CASE WHEN cast(ID AS bigint) // 2 % 3 = 0 THEN 'O'||chr(39)||'HARA '||ID
+  ELSE 'O"HARA '||ID END AS ASEGURADO) FROM ({oracle.CORE_RAW})""")
+def csv_mixed_wrapped(spark: SparkSession, sf: str) -> DataFrame:
+    """Files in which one line in three stands in outer quotes."""
+    root = scratch_folder(spark)
+    line = _plain_line({"ASEGURADO": F.concat(F.lit('O"HARA '), F.col("ID"))})
+    wrapped = F.concat(F.lit('"'), line, F.lit('"'))
+    is_wrapped = F.floor(F.col("ID").cast("bigint") / 2) % 3 == 0
+    line = F.when(is_wrapped, wrapped).otherwise(line)
+    for i, part in enumerate(in_parts(inputs.core_raw(spark, sf), 2)):
+        write_lines(part, line, ",".join(S.CORE_COLUMNS), f"{root}/carpeta {i}")
     return _raw_columns(read_core(spark, root))
 
 
+@register(f"""SELECT ID, POLIZA, 'x' AS ASEGURADO FROM ({oracle.CORE_RAW})""")
+def csv_stray_quote(spark: SparkSession, sf: str) -> DataFrame:
+    """A quote that is opened and never closed stays inside its line: no row is lost."""
+    root = scratch_folder(spark)
+    is_open = F.col("ID").cast("bigint") % 7 == 0
+    name = F.when(is_open, F.lit('"x')).otherwise(F.lit("x"))
+    line = _plain_line({"ASEGURADO": name})
+    for i, part in enumerate(in_parts(inputs.core_raw(spark, sf), 2)):
+        write_lines(part, line, ",".join(S.CORE_COLUMNS), f"{root}/carpeta {i}")
+    found = read_core(spark, root)
+    return found.select("ID", "POLIZA", F.regexp_replace("ASEGURADO", "^'", "").alias("ASEGURADO"))
+
+
 @register(f"""SELECT * REPLACE (CASE WHEN cast(ID AS bigint) % 2 = 1 THEN PARENTESCO END AS PARENTESCO,
   CASE WHEN cast(ID AS bigint) % 2 = 1 THEN FI END AS FI) FROM ({oracle.CORE_RAW})""")
 def csv_core_18(spark: SparkSession, sf: str) -> DataFrame:
@@ -376,8 +417,8 @@ _AUDITED = [("carpeta_0", ",", 20, 0), ("carpeta_1", ";", 20, 1), ("carpeta_2",
 
 
 @register(" UNION ALL ".join(
-    f"""SELECT '{folder}' FOLDER, '{d}' DELIMITER, {width} WIDTH, false WRAPPED,
-    {str(part != 1).lower()} IS_UTF8, count(*) N, cast(0 AS bigint) OPEN_QUOTE_LINES
+    f"""SELECT '{folder}' FOLDER, '{d}' DELIMITER, {width} WIDTH,
+    {str(part != 1).lower()} IS_UTF8, count(*) N, cast(0 AS bigint) QUOTED_LINES
     FROM orders WHERE o_orderkey % 3 = {part}""" for folder, d, width, part in _AUDITED))
 def csv_header_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Layout of the files by folder, from their header lines."""
@@ -388,8 +429,8 @@ def csv_header_audit(spark: SparkSession, sf: str) -> DataFrame:
         columns = S.CORE_COLUMNS[:width]
         write_csv(part.select(*columns), f"{root}/{folder}", sep=d, encoding=encoding)
     audit = audit_csv_files(spark, [core_pattern(root)])
-    return audit.groupBy("FOLDER", "DELIMITER", "WIDTH", "WRAPPED", "IS_UTF8").agg(
-        F.sum(F.col("LINES") - 1).alias("N"), F.sum("OPEN_QUOTE_LINES").alias("OPEN_QUOTE_LINES"))
+    return audit.groupBy("FOLDER", "DELIMITER", "WIDTH", "IS_UTF8").agg(
+        F.sum(F.col("LINES") - 1).alias("N"), F.sum("QUOTED_LINES").alias("QUOTED_LINES"))
 
 
 @register(f"SELECT *, true HAS_FILE, true HAS_LOAD_TIME FROM ({oracle.CORE_RAW})")
