@@ -34,7 +34,7 @@ from covermonth.llm.words import WordHashes, lists, mix, shingles, words
 BITS = 2
 BANDS = 32
 ROWS = 5  # A pair of similarity 0.8 shares a band with probability 0.999997.
-BLOCK = 256  # classes of a bucket that are compared with as many others at a time
+BLOCK = 512  # classes of a bucket that are compared with as many others at a time
 SLACK = 0.2  # six standard deviations of the estimate
 
 _LOW = 0x5555555555555555
@@ -66,21 +66,19 @@ def near_duplicates(
             F.first("sig").alias("sig"), F.first("bands").alias("bands")),
         "classes")
 
-    banded = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = (banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("hub"))
-              .where("size > 1"))
+    banded = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = scratch.save(banded.join(shared, "bucket"), "members")
 
     sets = scratch.save(_sets_of(texts, members, classes, shingle_words), "sets")
 
-    near = _likely(members.where(F.col("node") != F.col("hub")).select("node", "hub").distinct(),
-                   classes, threshold)
+    near = _likely(_hub_pairs(members), classes, threshold)
     best = near.groupBy("node").agg(F.max_by("hub", "estimate").alias("hub"))
     links = scratch.save(_confirmed(best, sets, threshold), "links-hub")
     roots = components(links, scratch, "hubs")
 
     rest = scratch.save(_unsettled(members, roots), "unsettled")
-    more = (rest.join(classes.select("node", "sig"), "node").join(sets, "node")
+    more = (rest.join(classes.select("node", "sig", "bands"), "node").join(sets, "node")
             .groupBy("bucket", "i", "j")
             .applyInPandas(lambda block: _block_links(block, threshold), "a binary, b binary"))
     links = scratch.save(
@@ -186,6 +184,17 @@ def _sets(batches: Iterator[pa.RecordBatch], known, size: int) -> Iterator[pa.Re
             )
 
 
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """Each class with the hubs of its buckets. The hub of a bucket is its class that shares
+    most places with others: of many copies of one text, that is the text itself."""
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = (members.join(weight, "node").groupBy("bucket")
+            .agg(F.max(F.struct("weight", "node")).alias("most"))
+            .select("bucket", F.col("most.node").alias("hub")))
+    return (members.join(hubs, "bucket").where(F.col("node") != F.col("hub"))
+            .select("node", "hub").distinct())
+
+
 def _estimate(left: Column, right: Column) -> Column:
     """Similarity from the packed bits of two signatures."""
     words = BANDS * ROWS * BITS // 64
@@ -219,28 +228,54 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFr
 def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components, dealt to pairs of blocks.
 
-    Of buckets with the same members, one is enough.
+    Of buckets with the same members, that of the first band is enough.
     """
     now = (members.join(roots, "node", "left")
-           .select("bucket", "node", F.coalesce("root", "node").alias("root")))
-    buckets = (now.groupBy("bucket")
-               .agg(F.count("*").alias("size"), F.min("root").alias("least"),
-                    F.max("root").alias("most"), F.bit_xor(F.xxhash64("node")).alias("x"),
-                    F.bit_xor(F.xxhash64("node", F.lit(5))).alias("y"))
-               .where(F.col("least") != F.col("most"))
-               .groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket"))
-               .select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    own = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
+           .select("bucket", "band", "node", F.coalesce("root", "node").alias("root")))
+    hashed = F.xxhash64("node"), F.xxhash64("node", F.lit(5))
+    buckets = (now.groupBy("bucket", "band", "root")
+               .agg(F.count("*").alias("n"), F.bit_xor(hashed[0]).alias("x"),
+                    F.bit_xor(hashed[1]).alias("y"))
+               .groupBy("bucket", "band")
+               .agg(F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("largest"),
+                    F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+               .where(F.col("largest.n") < F.col("size"))
+               .groupBy("size", "x", "y").agg(
+                   F.min_by(F.struct("bucket", "largest"), "band").alias("first"))
+               .select("first.bucket", F.col("first.largest.root").alias("largest"),
+                       *_block_counts(F.col("size"), F.col("first.largest.n"))))
+    inner = (F.col("root") == F.col("largest")) & (F.col("inner") > 0)
+    place = F.xxhash64("node", F.lit(3))
+    own = F.when(inner, F.col("outer") + F.pmod(place, F.greatest("inner", F.lit(1)))).otherwise(
+        F.pmod(place, F.col("outer"))).cast("int")
+    last = F.when(inner, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1
     return (now.join(buckets, "bucket").withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("bucket", "node", "root", F.least("own", "other").alias("i"),
+            .withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+            .select("bucket", "band", "node", "root", "own", F.least("own", "other").alias("i"),
                     F.greatest("own", "other").alias("j")))
 
 
+def _block_counts(size: Column, largest: Column) -> list[Column]:
+    """Blocks of a bucket's classes outside its largest component, and inside it: no two of
+    these need to be compared. A small bucket is one block."""
+    small = size <= BLOCK
+    return [
+        F.when(small, 1).otherwise(F.ceil((size - largest) / BLOCK)).alias("outer"),
+        F.when(small, 0).otherwise(F.ceil(largest / BLOCK)).alias("inner"),
+    ]
+
+
 def _block_links(block: pd.DataFrame, threshold: Fraction) -> pd.DataFrame:
-    """A spanning set of the links between components inside a block."""
+    """A spanning set of the links between components inside a block.
+
+    Two classes that share several buckets are compared in that of their first common band only.
+    """
     nodes, sets = block["node"].tolist(), block["shingles"].tolist()
     sig = np.stack([np.asarray(s, np.int64).view(np.uint64) for s in block["sig"]])
+    bands = np.stack([np.asarray(b) for b in block["bands"]])
+    band = block["band"].iloc[0]
+    own = block["own"].to_numpy()
+    across = block["i"].iloc[0] != block["j"].iloc[0]
     _, root = np.unique(block["root"].to_numpy(), return_inverse=True)
     size = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
@@ -253,6 +288,9 @@ def _block_links(block: pd.DataFrame, threshold: Fraction) -> pd.DataFrame:
         estimate = (1 - differing / (BANDS * ROWS) - chance) / (1 - chance)
         rest = k + 1 + np.flatnonzero(estimate >= float(threshold) - SLACK)
         rest = rest[root[rest] != root[k]]
+        if across:  # each block is compared with itself elsewhere
+            rest = rest[own[rest] != own[k]]
+        rest = rest[(bands[rest] == bands[k]).argmax(axis=1) == band]
         if not len(rest):
             continue
         chosen = np.isin(owner, rest)
