@@ -4,17 +4,16 @@ from __future__ import annotations
 
 import datetime
 import logging
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.operators.claims import consolidate_claims
 from covermonth.operators.core import consolidate_core
 from covermonth.operators.reports import add_last_digit, order_by_document
-from covermonth.sinks.storage import require_path
+from covermonth.sinks.storage import discard, require_path, staging_path
 from covermonth.sinks.tables import (
     SORTED_REPORT_NAME,
     layer_exists,
@@ -27,7 +26,7 @@ from covermonth.sinks.tables import (
 )
 from covermonth.sources.csv_files import CsvLayout, read_core
 from covermonth.sources.parquet_files import read_consolidated, read_reports, report_paths
-from covermonth.sources.workbooks import claims_rows, read_workbooks, skipped_sheets
+from covermonth.sources.workbooks import claims_rows, read_workbooks, require_claims
 
 log = logging.getLogger(__name__)
 
@@ -36,6 +35,8 @@ CORE, CLAIMS = "core", "claims"
 ALL_LAYERS = (BRONZE, SILVER, GOLD)
 ALL_SOURCES = (CORE, CLAIMS)
 
+# Partition column of the bronze claims: rows that stand for a skipped sheet.
+_SKIPPED = "SKIPPED"
 # Rows of a sort task before compression, and the size of one in memory.
 _RANGE_BYTES = 1024 * 1024 * 1024
 _RAW_ROW_BYTES = 300
@@ -73,27 +74,21 @@ def ingest_core(
 def ingest_claims(spark: SparkSession, root: str, lake: str) -> int:
     """Raw claims rows with their file name and load time; returns the count.
 
-    The workbooks are parsed once, into a table that also holds the skipped
-    sheets; these are reported and the claims kept.
+    The workbooks are parsed and written once. Skipped sheets lie in a partition of
+    the same table, so that they can be looked up; readers of claims leave it out.
     """
     require_path(spark, root, "claims folder")
-    table = f"{CLAIMS}_sheets"
-    save_layer(read_workbooks(spark, root), lake, BRONZE, table,
-               check=_require_claims)
-    parsed = load_layer(spark, lake, BRONZE, table)
-    for row in skipped_sheets(parsed).toLocalIterator():
-        log.warning("skipped sheet %s of %s: %s", row.SHEET, row.FILE, row.ERROR)
-    return save_layer(with_load_time(claims_rows(parsed)), lake, BRONZE, CLAIMS)
+    parsed = with_load_time(read_workbooks(spark, root)).withColumn(
+        _SKIPPED, F.col("ERROR").isNotNull())
+    save_layer(parsed, lake, BRONZE, CLAIMS, partition_by=_SKIPPED,
+               check=lambda written, _: require_claims(written))
+    return load_claims(spark, lake).count()
 
 
-def _require_claims(parsed: DataFrame, rows: int) -> None:
-    """Every workbook must have given at least one claim."""
-    counts = parsed.groupBy("FILE").agg(
-        F.count_if(F.col("ERROR").isNull()).alias("claims"), F.max("ERROR").alias("error"))
-    empty = counts.where("claims = 0").select("FILE", "error").limit(20).collect()
-    if empty:
-        raise ValueError("workbooks without claims:\n" + "\n".join(
-            f"{row.FILE} | {row.error}" for row in empty))
+def load_claims(spark: SparkSession, lake: str) -> DataFrame:
+    """Claims of the bronze table, without skipped sheets."""
+    parsed = load_layer(spark, lake, BRONZE, CLAIMS).where(~F.col(_SKIPPED))
+    return parsed.select(*S.CLAIMS_COLUMNS, "FILE", "FECHA_CARGA")
 
 
 # --- silver and gold -----------------------------------------------------
@@ -103,7 +98,7 @@ def build_silver(
     run_date: datetime.date | str | None = None, **options,
 ) -> int:
     """Consolidated rows from the bronze table of ``source``."""
-    raw = load_layer(spark, lake, BRONZE, source)
+    raw = load_claims(spark, lake) if source == CLAIMS else load_layer(spark, lake, BRONZE, source)
     consolidate = {CORE: consolidate_core, CLAIMS: consolidate_claims}[source]
     return save_layer(consolidate(raw, run_date, **options), lake, SILVER, source)
 
@@ -205,18 +200,23 @@ def run_direct(
     require_path(spark, paths.reports, "report folder")
     rows = {}
     for source in sources:
+        path = f"{paths.reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
         if source == CORE:
             raw = read_core(spark, paths.core, always_clean=always_clean)
             df = consolidate_core(raw, run_date, date_mode)
-        else:
-            skipped = Observation(f"skipped-{uuid.uuid4().hex}")
-            parsed = read_workbooks(spark, paths.claims).observe(
-                skipped, F.count_if(F.col("ERROR").isNotNull()).alias("sheets"))
+            rows[source] = write_report(df, path, drop_optional=always_clean)
+            continue
+        # Workbooks are parsed once, into a table that is gone after the run, and checked
+        # before a report is made of them.
+        staged = staging_path(path)
+        try:
+            read_workbooks(spark, paths.claims).write.parquet(staged)
+            parsed = spark.read.parquet(staged)
+            require_claims(parsed)
             df = consolidate_claims(claims_rows(parsed), run_date)
-        path = f"{paths.reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
-        rows[source] = write_report(df, path, drop_optional=always_clean)
-        if source == CLAIMS and skipped.get["sheets"]:
-            log.warning("skipped sheets: %d", skipped.get["sheets"])
+            rows[source] = write_report(df, path, drop_optional=always_clean)
+        finally:
+            discard(spark, staged)
     return rows
 
 

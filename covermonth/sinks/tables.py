@@ -31,11 +31,13 @@ def reprocessed_name(name: str) -> str:
     return f"{name.removesuffix('.parquet')}_Reproceso.parquet"
 
 
-def _write_counted(df: DataFrame, path: str, fmt: str, options: dict) -> int:
+def _write_counted(
+    df: DataFrame, path: str, fmt: str, options: dict, partition_by: str | None = None
+) -> int:
     """Write and count in one pass over the data."""
     rows = Observation(f"rows-{uuid.uuid4().hex}")
     df = df.observe(rows, F.count(F.lit(1)).alias("rows"))
-    df.write.format(fmt).options(**options).save(path)
+    df.write.format(fmt).options(**options).partitionBy(partition_by or []).save(path)
     return rows.get["rows"]
 
 
@@ -76,13 +78,13 @@ def _check_row_count(written: DataFrame, rows: int) -> None:
 
 
 def _write_and_publish(
-    df: DataFrame, path: str, fmt: str, options: dict, check=None
+    df: DataFrame, path: str, fmt: str, options: dict, check=None, partition_by: str | None = None,
 ) -> int:
     spark = df.sparkSession
     staged = staging_path(path)
     log.info("%s: %s", path, df.schema.simpleString())
     try:
-        rows = _write_counted(df, staged, fmt, options)
+        rows = _write_counted(df, staged, fmt, options, partition_by)
         if rows == 0:
             raise ValueError(f"no rows for {path}")
         if check is not None:
@@ -100,14 +102,16 @@ def layer_path(lake: str, layer: str, table: str) -> str:
 
 
 def save_layer(
-    df: DataFrame, lake: str, layer: str, table: str, fmt: str = "parquet", check=None
+    df: DataFrame, lake: str, layer: str, table: str, fmt: str = "parquet", check=None,
+    partition_by: str | None = None,
 ) -> int:
     """Replace a layer table, schema included, and return its row count.
 
     ``check`` may look at the written table before it is put in place. Other
     formats than Parquet must be set up in the session.
     """
-    return _write_and_publish(df, layer_path(lake, layer, table), fmt, {}, check)
+    return _write_and_publish(
+        df, layer_path(lake, layer, table), fmt, {}, check, partition_by)
 
 
 def layer_exists(spark: SparkSession, lake: str, layer: str, table: str) -> bool:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime
 import io
+import logging
 import re
 import zipfile
 from collections.abc import Iterator
@@ -21,6 +22,10 @@ from pyspark.sql import functions as F
 from covermonth import schemas as S
 from covermonth.sinks.storage import empty_files
 
+log = logging.getLogger(__name__)
+
+# Reason given for a workbook that could be read, but has no row of claims.
+NO_CLAIMS = "no claims"
 _BATCH_ROWS = 10_000
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -28,6 +33,7 @@ _VALUE, _INLINE, _TEXT, _RUN = f"{_MAIN}v", f"{_MAIN}is", f"{_MAIN}t", f"{_MAIN}
 _ROW, _SHEET_DATA = f"{_MAIN}row", f"{_MAIN}sheetData"
 # Number formats of the workbook standard that show dates.
 _DATE_FORMAT_IDS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+_LISTED_FILES = 20
 _OUTPUT_COLUMNS = [*S.CLAIMS_COLUMNS, "FILE", "SHEET", "ERROR"]
 
 
@@ -154,12 +160,20 @@ def _workbook_rows(path: str, content: bytes) -> Iterator[list[str | None]]:
     except Exception as error:
         yield [*nothing, name, None, f"workbook not readable: {error}"]
         return
+    claims = 0
     for sheet, part in book.sheets.items():
         try:
-            for row in _sheet_rows(book, part):
-                yield [*row, name, sheet, None]
+            # Once to the end without a result: a broken sheet is skipped as a whole.
+            for _ in _sheet_rows(book, part):
+                pass
         except Exception as error:
             yield [*nothing, name, sheet, f"sheet not readable: {error}"]
+            continue
+        for row in _sheet_rows(book, part):
+            claims += 1
+            yield [*row, name, sheet, None]
+    if not claims:
+        yield [*nothing, name, None, NO_CLAIMS]
 
 
 def _to_batch(rows: list[list[str | None]]) -> pa.RecordBatch:
@@ -184,7 +198,8 @@ def read_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """Claims rows of all workbooks in ``folder``, and rows for skipped sheets.
 
     Columns: the six claims columns, FILE, SHEET and ERROR. ERROR is NULL for
-    claims rows. A file without a single byte is an error.
+    claims rows. A workbook without any claim has a row of its own. A sheet
+    that breaks off is skipped as a whole. A file without a single byte is an error.
     """
     empty = empty_files(spark, f"{folder.rstrip('/')}/*.{{xlsx,xls}}")
     if empty:
@@ -207,3 +222,16 @@ def claims_rows(workbook_rows: DataFrame) -> DataFrame:
 def skipped_sheets(workbook_rows: DataFrame) -> DataFrame:
     """Sheets and workbooks that were not read, and why."""
     return workbook_rows.where(F.col("ERROR").isNotNull()).select("FILE", "SHEET", "ERROR")
+
+
+def require_claims(workbook_rows: DataFrame) -> None:
+    """Report skipped sheets; fail if a workbook gave no claim at all."""
+    for row in skipped_sheets(workbook_rows).toLocalIterator():
+        log.warning("skipped sheet %s of %s: %s", row.SHEET, row.FILE, row.ERROR)
+    counts = workbook_rows.groupBy("FILE").agg(
+        F.count_if(F.col("ERROR").isNull()).alias("claims"), F.max("ERROR").alias("error"))
+    empty = counts.where("claims = 0").select("FILE", "error")
+    listed = empty.limit(_LISTED_FILES).collect()
+    if listed:
+        raise ValueError(f"{empty.count()} workbooks without claims:\n" + "\n".join(
+            f"{row.FILE} | {row.error}" for row in listed))

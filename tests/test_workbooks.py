@@ -11,8 +11,8 @@ from pathlib import Path
 import pytest
 
 from covermonth import schemas as S
-from covermonth.plans.layers import CLAIMS, BRONZE, ingest_claims
-from covermonth.sinks.tables import layer_exists, load_layer
+from covermonth.plans.layers import BRONZE, CLAIMS, Paths, ingest_claims, load_claims, run_direct
+from covermonth.sinks.tables import layer_exists
 from covermonth.sources.workbooks import claims_rows, read_workbooks, skipped_sheets
 from verification.files import write_workbook
 from conftest import SF_DIR
@@ -78,7 +78,7 @@ def test_ingestion_reports_skipped_sheets(spark, tmp_path, caplog):
     with caplog.at_level(logging.WARNING):
         assert ingest_claims(spark, str(source), str(tmp_path / "lake")) == 1
     assert "Vacia" in caplog.text
-    table = load_layer(spark, str(tmp_path / "lake"), BRONZE, CLAIMS)
+    table = load_claims(spark, str(tmp_path / "lake"))
     assert table.columns == [*S.CLAIMS_COLUMNS, "FILE", "FECHA_CARGA"]
 
 
@@ -95,9 +95,31 @@ def test_workbook_without_claims_is_an_error(spark, tmp_path):
     write_workbook(f"{source}/uno.xlsx", {"Ok": iter([S.CLAIMS_COLUMNS, CLAIM])})
     write_workbook(f"{source}/dos.xlsx", {"Ok": iter([S.CLAIMS_COLUMNS])})
     write_workbook(f"{source}/tres.xlsx", {"Vacia": iter([])})
-    with pytest.raises(ValueError, match="tres.xlsx"):
+    with pytest.raises(ValueError, match="(?s)2 workbooks without claims.*dos.xlsx.*tres.xlsx"):
         ingest_claims(spark, str(source), str(tmp_path / "lake"))
     assert not layer_exists(spark, str(tmp_path / "lake"), BRONZE, CLAIMS)
+    (source / "viejo.xls").write_bytes(b"x")
+    (tmp_path / "out").mkdir()
+    with pytest.raises(ValueError, match="(?s)3 workbooks without claims.*viejo.xls"):
+        run_direct(spark, Paths(claims=str(source), reports=f"{tmp_path}/out"), ("claims",))
+    assert list((tmp_path / "out").iterdir()) == []
+
+
+def test_broken_sheet_is_skipped_as_a_whole(spark, tmp_path):
+    write_workbook(f"{tmp_path}/uno.xlsx", {
+        "Ok": iter([S.CLAIMS_COLUMNS, CLAIM]),
+        "Rota": iter([S.CLAIMS_COLUMNS, *[CLAIM] * 2000])})
+    with zipfile.ZipFile(tmp_path / "uno.xlsx") as book:
+        parts = {name: book.read(name) for name in book.namelist()}
+    broken = parts["xl/worksheets/sheet2.xml"]
+    parts["xl/worksheets/sheet2.xml"] = broken[:len(broken) // 2]
+    with zipfile.ZipFile(tmp_path / "uno.xlsx", "w") as book:
+        for name, content in parts.items():
+            book.writestr(name, content)
+    rows = read_workbooks(spark, str(tmp_path))
+    assert claims_rows(rows).count() == 1
+    assert [(r.SHEET, "not readable" in r.ERROR) for r in skipped_sheets(rows).collect()] == [
+        ("Rota", True)]
 
 
 def test_registered_queries_run_from_any_folder(tmp_path):

@@ -55,7 +55,7 @@ def write_core_folders(df: DataFrame, root: str, options: list[dict]) -> None:
 
 # --- workbooks -----------------------------------------------------------
 
-_ROWS_PER_WORKBOOK = 25_000
+ROWS_PER_WORKBOOK = 25_000
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _OFFICE = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
@@ -102,7 +102,7 @@ def write_workbook(path: str, sheets: dict[str, Iterator[list[str | None]]]) ->
 
 def write_claims_workbooks(df: DataFrame, folder: str) -> None:
     """Workbooks with a sheet of claims, a sheet of notes and an empty sheet."""
-    workbooks = df.count() // _ROWS_PER_WORKBOOK + 1
+    workbooks = df.count() // ROWS_PER_WORKBOOK + 1
     columns = S.CLAIMS_COLUMNS
 
     def write_partition(rows: Iterator[Row]) -> None:

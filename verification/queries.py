@@ -35,6 +35,7 @@ from covermonth.sources.parquet_files import check_report, read_consolidated, re
 from covermonth.sources.workbooks import claims_rows, read_workbooks, skipped_sheets
 from verification import inputs, oracle
 from verification.files import (
+    ROWS_PER_WORKBOOK,
     in_parts,
     scratch_folder,
     write_claims_workbooks,
@@ -452,7 +453,7 @@ def bronze_claims(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_folder(spark)
     write_claims_workbooks(inputs.claims_raw(spark, sf), f"{root}/source")
     layers.ingest_claims(spark, f"{root}/source", f"{root}/lake")
-    df = load_layer(spark, f"{root}/lake", layers.BRONZE, layers.CLAIMS)
+    df = layers.load_claims(spark, f"{root}/lake")
     return _with_lineage_flags(df, S.CLAIMS_COLUMNS, "%.xlsx")
 
 
@@ -463,6 +464,22 @@ def xlsx_claims_read(spark: SparkSession, sf: str) -> DataFrame:
     return claims_rows(read_workbooks(spark, folder)).drop("FILE")
 
 
+_BOOKS = f"count(*) // {ROWS_PER_WORKBOOK} + 1"
+
+
+@register(f"""SELECT 'Siniestros' SHEET, {_BOOKS} BOOKS, 0 SKIPPED, count(*) CLAIMS FROM ({oracle.CLAIMS_RAW})
+  UNION ALL SELECT 'Notas', {_BOOKS}, {_BOOKS}, 0 FROM ({oracle.CLAIMS_RAW})
+  UNION ALL SELECT 'Vacia', {_BOOKS}, {_BOOKS}, 0 FROM ({oracle.CLAIMS_RAW})""")
+def xlsx_workbook_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Workbooks, skipped sheets and claims by sheet name."""
+    folder = f"{scratch_folder(spark)}/source"
+    write_claims_workbooks(inputs.claims_raw(spark, sf), folder)
+    return read_workbooks(spark, folder).groupBy("SHEET").agg(
+        F.count_distinct("FILE").alias("BOOKS"),
+        F.count_if(F.col("ERROR").isNotNull()).alias("SKIPPED"),
+        F.count_if(F.col("ERROR").isNull()).alias("CLAIMS"))
+
+
 @register(f"""SELECT 'Notas' SHEET, count(*) > 0 IS_SKIPPED FROM ({oracle.CLAIMS_RAW})
   UNION ALL SELECT 'Vacia', count(*) > 0 FROM ({oracle.CLAIMS_RAW})""")
 def xlsx_skipped_sheets(spark: SparkSession, sf: str) -> DataFrame:
