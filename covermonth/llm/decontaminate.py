@@ -102,9 +102,21 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
         marked, docs["doc_id"].cast("long").eqNullSafe(marked["contaminated_id"]), "left_anti")
 
 
-def _tokens(text: str | None, memory: WordHashes) -> np.ndarray:
-    plain = (word.strip(_STRIPPED) for word in words(text))
-    return memory.of([word for word in plain if word])
+class PlainHashes(WordHashes):
+    """Hash of each word without the punctuation at its ends; 0 if nothing else is left."""
+
+    def __missing__(self, word: bytes) -> int:
+        plain = word.strip(_STRIPPED)
+        if plain == word:
+            return super().__missing__(word)
+        value = self[plain] if plain else 0
+        self[word] = value
+        return value
+
+
+def _tokens(text: str | None, memory: PlainHashes) -> np.ndarray:
+    hashes = memory.of(words(text))
+    return hashes[hashes != 0]
 
 
 def _seeds(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -138,7 +150,7 @@ def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _test_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memory = WordHashes()
+    memory = PlainHashes()
     for batch in batches:
         ids, rows = [], []
         for item, text in zip(batch.column("item_id").to_pylist(),
@@ -153,7 +165,7 @@ def _test_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _document_seeds(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
-    memory, bits = WordHashes(), known.value
+    memory, bits = PlainHashes(), known.value
     for whole in batches:
         for start in range(0, whole.num_rows, 500):
             batch = whole.slice(start, 500)
