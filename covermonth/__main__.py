@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
@@ -21,15 +22,22 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--sources", nargs="+", default=layers.ALL_SOURCES,
                          choices=layers.ALL_SOURCES)
         job.add_argument("--run-date", help="yyyy-mm-dd, default today")
+        job.add_argument("--always-clean", action="store_true",
+                         help="repair the quoting of every policy line")
+        job.add_argument("--quoted-newlines", action="store_true",
+                         help="quoted fields of the policy files hold line breaks")
+        job.add_argument("--fail-fast", action="store_true",
+                         help="fail at a policy line with too few or too many fields")
+        job.add_argument("--date-mode", default="lenient", choices=("lenient", "strict"))
+        job.add_argument("--year-pivot", type=int, default=layers.DEFAULT_YEAR_PIVOT)
+        job.add_argument("--blank-ruc-is-null", action="store_true")
+        job.add_argument("--drop-optional", action="store_true",
+                         help="reports without PARENTESCO and FI")
         if name == "layers":
             job.add_argument("--lake", required=True, help="folder of the layer tables")
             job.add_argument("--layers", nargs="+", default=layers.ALL_LAYERS,
                              choices=layers.ALL_LAYERS)
-            job.add_argument("--drop-optional", action="store_true")
-        else:
-            job.add_argument("--date-mode", default="lenient",
-                             choices=("lenient", "strict"))
-            job.add_argument("--always-clean", action="store_true")
+            job.add_argument("--fmt", default="parquet", help="format of the layer tables")
     for name in ("reprocess", "sort"):
         job = jobs.add_parser(name)
         job.add_argument("--reports", required=True)
@@ -49,13 +57,14 @@ def main(arguments: list[str] | None = None) -> None:
         paths = layers.Paths(
             options.core, options.claims, getattr(options, "lake", None), options.reports)
         sources = tuple(options.sources)
+        chosen = layers.Options(**{
+            f.name: getattr(options, f.name) for f in fields(layers.Options)
+            if hasattr(options, f.name)})
         if options.job == "layers":
             result = layers.run_layers(
-                spark, paths, tuple(options.layers), sources, options.run_date,
-                options.drop_optional)
+                spark, paths, tuple(options.layers), sources, options.run_date, chosen)
         else:
-            result = layers.run_direct(
-                spark, paths, sources, options.run_date, options.date_mode, options.always_clean)
+            result = layers.run_direct(spark, paths, sources, options.run_date, chosen)
     logging.getLogger(__name__).info("rows: %s", result)
 
 

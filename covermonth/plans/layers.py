@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
+from covermonth.functions.dates import DEFAULT_YEAR_PIVOT
 from covermonth.operators.claims import consolidate_claims
 from covermonth.operators.core import consolidate_core
 from covermonth.operators.reports import add_last_digit, order_by_document
@@ -45,6 +46,33 @@ _ROW = "_row"
 _BASES = {CORE: S.BASE_CORE, CLAIMS: S.BASE_CLAIMS}
 
 
+@dataclass(frozen=True)
+class Options:
+    """How sources are read and rows consolidated; see read_core and consolidate_core.
+
+    ``fmt`` is the format of the layer tables, any that the session knows.
+    """
+
+    always_clean: bool = False
+    quoted_newlines: bool = False
+    fail_fast: bool = False
+    date_mode: str = "lenient"
+    year_pivot: int = DEFAULT_YEAR_PIVOT
+    blank_ruc_is_null: bool = False
+    drop_optional: bool = False
+    fmt: str = "parquet"
+
+    def read(self, spark: SparkSession, root: str) -> DataFrame:
+        return read_core(spark, root, always_clean=self.always_clean, fail_fast=self.fail_fast,
+                         quoted_newlines=self.quoted_newlines)
+
+    def consolidate(self, raw: DataFrame, source: str, run_date) -> DataFrame:
+        if source == CLAIMS:
+            return consolidate_claims(raw, run_date, self.year_pivot)
+        return consolidate_core(
+            raw, run_date, self.date_mode, self.year_pivot, self.blank_ruc_is_null)
+
+
 @dataclass(frozen=True)
 class Paths:
     """Where a run reads and writes; any file system Spark can use."""
@@ -62,16 +90,18 @@ def with_load_time(df: DataFrame) -> DataFrame:
 # --- bronze --------------------------------------------------------------
 
 def ingest_core(
-    spark: SparkSession, root: str, lake: str, layout: CsvLayout | None = None,
-    always_clean: bool = False, fail_fast: bool = False,
+    spark: SparkSession, root: str, lake: str, options: Options = Options(),
+    layout: CsvLayout | None = None,
 ) -> int:
     """Raw policy rows with their file name and load time; returns the count."""
     require_path(spark, root, "policy folder")
-    df = read_core(spark, root, layout, always_clean, fail_fast).drop("FOLDER")
-    return save_layer(with_load_time(df), lake, BRONZE, CORE)
+    df = read_core(spark, root, layout) if layout else options.read(spark, root)
+    return save_layer(with_load_time(df.drop("FOLDER")), lake, BRONZE, CORE, options.fmt)
 
 
-def ingest_claims(spark: SparkSession, root: str, lake: str) -> int:
+def ingest_claims(
+    spark: SparkSession, root: str, lake: str, options: Options = Options()
+) -> int:
     """Raw claims rows with their file name and load time; returns the count.
 
     The workbooks are parsed and written once. Skipped sheets lie in a partition of
@@ -80,14 +110,14 @@ def ingest_claims(spark: SparkSession, root: str, lake: str) -> int:
     require_path(spark, root, "claims folder")
     parsed = with_load_time(read_workbooks(spark, root)).withColumn(
         _SKIPPED, F.col("ERROR").isNotNull())
-    save_layer(parsed, lake, BRONZE, CLAIMS, partition_by=_SKIPPED,
+    save_layer(parsed, lake, BRONZE, CLAIMS, options.fmt, partition_by=_SKIPPED,
                check=lambda written, _: require_claims(written))
-    return load_claims(spark, lake).count()
+    return load_claims(spark, lake, options.fmt).count()
 
 
-def load_claims(spark: SparkSession, lake: str) -> DataFrame:
+def load_claims(spark: SparkSession, lake: str, fmt: str = "parquet") -> DataFrame:
     """Claims of the bronze table, without skipped sheets."""
-    parsed = load_layer(spark, lake, BRONZE, CLAIMS).where(~F.col(_SKIPPED))
+    parsed = load_layer(spark, lake, BRONZE, CLAIMS, fmt).where(~F.col(_SKIPPED))
     return parsed.select(*S.CLAIMS_COLUMNS, "FILE", "FECHA_CARGA")
 
 
@@ -95,23 +125,30 @@ def load_claims(spark: SparkSession, lake: str) -> DataFrame:
 
 def build_silver(
     spark: SparkSession, lake: str, source: str,
-    run_date: datetime.date | str | None = None, **options,
+    run_date: datetime.date | str | None = None, options: Options = Options(),
 ) -> int:
     """Consolidated rows from the bronze table of ``source``."""
-    raw = load_claims(spark, lake) if source == CLAIMS else load_layer(spark, lake, BRONZE, source)
-    consolidate = {CORE: consolidate_core, CLAIMS: consolidate_claims}[source]
-    return save_layer(consolidate(raw, run_date, **options), lake, SILVER, source)
+    if source == CLAIMS:
+        raw = load_claims(spark, lake, options.fmt)
+    else:
+        raw = load_layer(spark, lake, BRONZE, source, options.fmt)
+    df = options.consolidate(raw, source, run_date)
+    return save_layer(df, lake, SILVER, source, options.fmt)
 
 
 def export_gold(
     spark: SparkSession, lake: str, reports: str, source: str,
-    run_date: datetime.date | str, drop_optional: bool = False,
+    run_date: datetime.date | str, options: Options = Options(),
 ) -> int:
     """Report of the silver table of ``source``, in document order."""
-    df = load_layer(spark, lake, SILVER, source).withColumn(_ROW, F.col("_metadata.row_index"))
+    df = load_layer(spark, lake, SILVER, source, options.fmt)
+    # Parquet knows the number of a row; other formats give the session's.
+    row = (F.col("_metadata.row_index") if options.fmt == "parquet"
+           else F.monotonically_increasing_id())
+    df = df.withColumn(_ROW, row)
     df = _in_document_order(df, _sort_ranges(df))
     path = f"{reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
-    return write_report(df, path, drop_optional)
+    return write_report(df, path, options.drop_optional)
 
 
 def _sort_ranges(reports: DataFrame) -> int:
@@ -137,7 +174,7 @@ def run_layers(
     layers: tuple[str, ...] = ALL_LAYERS,
     sources: tuple[str, ...] = ALL_SOURCES,
     run_date: datetime.date | str | None = None,
-    drop_optional: bool = False,
+    options: Options = Options(),
 ) -> dict[tuple[str, str], int]:
     """Run the chosen layers for the chosen sources; rows by layer and source.
 
@@ -155,15 +192,15 @@ def run_layers(
         for source in sources:
             if layer == BRONZE:
                 ingest = {CORE: ingest_core, CLAIMS: ingest_claims}[source]
-                count = ingest(spark, getattr(paths, source), paths.lake)
+                count = ingest(spark, getattr(paths, source), paths.lake, options)
             elif not layer_exists(spark, paths.lake, _previous(layer), source):
                 log.warning("no %s table of %s, skipped", _previous(layer), source)
                 continue
             elif layer == SILVER:
-                count = build_silver(spark, paths.lake, source, run_date)
+                count = build_silver(spark, paths.lake, source, run_date, options)
             else:
                 count = export_gold(
-                    spark, paths.lake, paths.reports, source, run_date, drop_optional)
+                    spark, paths.lake, paths.reports, source, run_date, options)
             rows[layer, source] = count
     return rows
 
@@ -185,14 +222,9 @@ def run_direct(
     paths: Paths,
     sources: tuple[str, ...] = ALL_SOURCES,
     run_date: datetime.date | str | None = None,
-    date_mode: str = "lenient",
-    always_clean: bool = False,
+    options: Options = Options(),
 ) -> dict[str, int]:
-    """Reports straight from the source folders; rows by source.
-
-    ``date_mode`` is "lenient" or "strict". ``always_clean`` repairs the quoting of
-    every policy line and leaves PARENTESCO and FI out of the reports.
-    """
+    """Reports straight from the source folders; rows by source."""
     _check_choice(sources, ALL_SOURCES)
     run_date = run_date or datetime.date.today()
     for source in sources:
@@ -202,9 +234,8 @@ def run_direct(
     for source in sources:
         path = f"{paths.reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
         if source == CORE:
-            raw = read_core(spark, paths.core, always_clean=always_clean)
-            df = consolidate_core(raw, run_date, date_mode)
-            rows[source] = write_report(df, path, drop_optional=always_clean)
+            df = options.consolidate(options.read(spark, paths.core), source, run_date)
+            rows[source] = write_report(df, path, options.drop_optional)
             continue
         # Workbooks are parsed once, into a table that is gone after the run, and checked
         # before a report is made of them.
@@ -213,8 +244,8 @@ def run_direct(
             read_workbooks(spark, paths.claims).write.parquet(staged)
             parsed = spark.read.parquet(staged)
             require_claims(parsed)
-            df = consolidate_claims(claims_rows(parsed), run_date)
-            rows[source] = write_report(df, path, drop_optional=always_clean)
+            df = options.consolidate(claims_rows(parsed), source, run_date)
+            rows[source] = write_report(df, path, options.drop_optional)
         finally:
             discard(spark, staged)
     return rows

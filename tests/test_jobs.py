@@ -100,7 +100,8 @@ def test_layered_run_equals_direct_run(spark, sources, reports, tmp_path):
     assert same_rows(read_consolidated(spark, paths.reports), read_consolidated(spark, str(reports)))
     # Later layers alone start from the tables in the lake.
     again = layers.run_layers(
-        spark, paths, ("gold",), ("claims",), run_date=RUN_DATE, drop_optional=True)
+        spark, paths, ("gold",), ("claims",), run_date=RUN_DATE,
+        options=layers.Options(drop_optional=True))
     assert again == {("gold", "claims"): rows["gold", "claims"]}
     claims = spark.read.parquet(f"{paths.reports}/{report_name(S.BASE_CLAIMS, RUN_DATE)}")
     assert claims.columns == [c for c in S.CONSOLIDATED_COLUMNS if c not in ("PARENTESCO", "FI")]
@@ -122,7 +123,8 @@ def test_direct_run_with_and_without_optional_columns(spark, sources, reports, t
     name = report_name(S.BASE_CORE, RUN_DATE)
     assert same_rows(spark.read.parquet(f"{tmp_path}/{name}"),
                      spark.read.parquet(f"{reports}/{name}"))
-    layers.run_direct(spark, paths, ("core",), RUN_DATE, always_clean=True)
+    layers.run_direct(spark, paths, ("core",), RUN_DATE,
+                      layers.Options(always_clean=True, drop_optional=True))
     assert len(spark.read.parquet(f"{tmp_path}/{name}").columns) == 12
 
 
@@ -184,6 +186,32 @@ def test_sort_of_one_row_copied_many_times(spark, tmp_path):
     assert max(sizes) < 10_000
 
 
+def test_number_of_sort_ranges_follows_from_the_rows(spark, reports, monkeypatch):
+    df = read_consolidated(spark, str(reports))
+    assert layers._sort_ranges(df) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(layers, "_RANGE_BYTES", layers._RAW_ROW_BYTES * 1000)
+    assert layers._sort_ranges(df) == df.count() // 1000 + 1
+
+
+def test_options_reach_the_readers_and_the_rules(spark, tmp_path):
+    folder = tmp_path / "core" / "a"
+    folder.mkdir(parents=True)
+    fields = ["1", "1", "R", "P", "P1", "C", "T", "E", "ANA", "12345678", "", *["01/01/30"] * 9]
+    (folder / "1.csv").write_text("\n".join([
+        ",".join(S.CORE_COLUMNS), ",".join(fields), ",".join(fields[:5])]))
+    paths = Paths(core=f"{tmp_path}/core", lake=f"{tmp_path}/lake", reports=f"{tmp_path}/out")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        layers.run_layers(spark, paths, ("bronze",), ("core",),
+                          options=layers.Options(fail_fast=True))
+    years = {}
+    for pivot in (20, 69):
+        options = layers.Options(year_pivot=pivot, fmt="orc")
+        layers.run_layers(spark, paths, ("bronze", "silver"), ("core",), RUN_DATE, options=options)
+        silver = spark.read.orc(f"{tmp_path}/lake/silver/core")
+        years[pivot] = {r.F_OCURRENCIA.year for r in silver.collect()}
+    assert years == {20: {1930}, 69: {2030}}
+
+
 def test_report_checks(spark, tmp_path):
     write_report(spark.range(3), f"{tmp_path}/a.parquet")
     with pytest.raises(ValueError, match="wrong number of columns.*: 1, expected 14"):
