@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from covermonth.schemas import CLAIMS_COLUMNS, CORE_COLUMNS
 from verification.inputs import CLAIMS_RAW_SQL, CORE_RAW_SQL, DATE_TEXTS_SQL, RUN_DATE
 
 FINAL = (
@@ -12,14 +13,9 @@ CORE_RAW = CORE_RAW_SQL.format(orders="orders")
 CLAIMS_RAW = CLAIMS_RAW_SQL.format(orders="orders", lineitem="lineitem")
 DATE_TEXTS = DATE_TEXTS_SQL.format(orders="orders")
 
-CORE_COLUMNS = (
-    "ID COD_RAMO RAMO PRODUCTO POLIZA CERTIFICADO TIPO CONTRATANTE ASEGURADO DNI_ASEGURADO "
-    "RUC_ASEGURADO F_EMISION_POLIZA F_EMISION_CERT F_INI_POLIZA F_FIN_POLIZA F_ANULACION_CERT "
-    "F_INI_COBER F_FIN_COBERT PARENTESCO FI"
-).split()
 KEPT_COLUMNS = [c for c in CORE_COLUMNS if c not in ("ID", "RAMO", "PRODUCTO", "TIPO")]
-CLAIMS_COLUMNS = "DNI RAMO POLIZA CERTIFICADO ASEGURADO OCURRENCIA".split()
 
+# The patterns of the rules.
 TEXT = r"'^[a-zA-ZñÑáéíóúÁÉÍÓÚ\s]+$'"
 DIGITS = r"'^\d+$'"
 BLANKS = "chr(9)||chr(10)||chr(13)||chr(32)||chr(160)||chr(8195)||chr(12288)"
@@ -86,25 +82,26 @@ PADDED = f"""SELECT * REPLACE (
   nullif(RUC_ASEGURADO, '') AS RUC_ASEGURADO) FROM shifted"""
 
 # One row per rule that fires, the lowest number first.
-RESOLVED = f"""SELECT * EXCLUDE (d, r, dd, rd, df, rf, DNI_ASEGURADO, RUC_ASEGURADO),
-  CASE
-    WHEN (d IS NULL AND (rd OR rf)) OR (dd AND rd AND length(d) = 11) THEN r
-    WHEN (r IS NULL AND (dd OR df)) OR (dd AND rd AND length(d) = 8) THEN d END NRO_DOCUMENTO,
-  CASE
-    WHEN d IS NULL AND rd AND length(r) = 11 THEN 'RUC'
-    WHEN dd AND rd AND length(d) = 11 THEN 'RUC'
-    WHEN r IS NULL AND dd AND length(d) = 8 THEN 'DNI'
-    WHEN dd AND rd AND length(d) = 8 THEN 'DNI'
-    WHEN r IS NULL AND df THEN 'DNI'
-    WHEN d IS NULL AND rf THEN 'DNI'
-    WHEN d IS NULL AND rd THEN 'RUC'
-    WHEN r IS NULL AND dd THEN 'DNI' END TIPO_DOC
-FROM (SELECT *, DNI_ASEGURADO d, RUC_ASEGURADO r,
-    coalesce(regexp_matches(DNI_ASEGURADO, {DIGITS}), false) dd,
-    coalesce(regexp_matches(RUC_ASEGURADO, {DIGITS}), false) rd,
-    coalesce(regexp_matches(DNI_ASEGURADO, 'PAS|CE|C\\.E'), false) df,
-    coalesce(regexp_matches(RUC_ASEGURADO, 'PAS|CE|C\\.E'), false) rf
-  FROM padded)"""
+# Which document counts, by the kind of either number and the length of the first.
+DOCUMENT_RULES = """(VALUES
+  ('digits', 'none', NULL, 'DNI', 'd'), ('foreign', 'none', NULL, 'DNI', 'd'),
+  ('none', 'digits', NULL, 'RUC', 'r'), ('none', 'foreign', NULL, 'DNI', 'r'),
+  ('digits', 'digits', 8, 'DNI', 'd'), ('digits', 'digits', 11, 'RUC', 'r')
+) rules(d_kind, r_kind, d_length, TIPO_DOC, taken)"""
+
+
+def _kind(number: str) -> str:
+    return (f"CASE WHEN {number} IS NULL THEN 'none' WHEN regexp_matches({number}, {DIGITS}) "
+            f"THEN 'digits' WHEN regexp_matches({number}, 'PAS|CE|C\\.E') THEN 'foreign' "
+            f"ELSE 'other' END")
+
+
+RESOLVED = f"""SELECT p.* EXCLUDE (DNI_ASEGURADO, RUC_ASEGURADO),
+  CASE taken WHEN 'd' THEN DNI_ASEGURADO WHEN 'r' THEN RUC_ASEGURADO END NRO_DOCUMENTO,
+  rules.TIPO_DOC
+FROM padded p LEFT JOIN {DOCUMENT_RULES}
+  ON d_kind = {_kind("DNI_ASEGURADO")} AND r_kind = {_kind("RUC_ASEGURADO")}
+  AND coalesce(d_length = length(DNI_ASEGURADO), true)"""
 
 GOOD = f"""SELECT * FROM resolved WHERE TIPO_DOC IN ('DNI', 'RUC')
   AND (F_INI_COBER IS NOT NULL OR F_FIN_COBERT IS NOT NULL)
