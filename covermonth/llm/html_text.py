@@ -20,25 +20,36 @@ from pyspark.sql import functions as F
 from covermonth.llm.html_pages import LABELLED
 
 # Names of the markup language and of common layouts
-BLOCK_TAGS = set(
-    "address article aside blockquote body button caption center dd details dialog div dl dt "
-    "fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html "
-    "label legend li main menu nav ol option p pre search section select summary table tbody td "
-    "tfoot th thead tr ul".split())
-VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
+BLOCK_TAGS = {
+    "address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd",
+    "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer",
+    "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html",
+    "label", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "search",
+    "section", "select", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
+}
+VOID_TAGS = {
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+    "source", "track", "wbr",
+}
 SKIPPED_TAGS = ("script", "style", "title", "textarea", "noscript", "template", "svg", "iframe",
                 "object", "select", "math", "canvas", "audio", "video")
-FURNITURE_TAGS = set("nav aside footer form button dialog menu fieldset select label".split())
+FURNITURE_TAGS = {
+    "nav", "aside", "footer", "form", "button", "dialog", "menu", "fieldset", "select", "label",
+}
 MAIN_TAGS = {"article", "main"}
-FURNITURE_NAMES = set(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
-    "comments comment-list cookie cookies cookie-notice consent disqus footer header masthead "
-    "menu modal nav navbar navigation newsletter notice alert popup promo promoted related "
-    "recommended share sharing sidebar side-bar social sponsor sponsored subscribe subscription "
-    "toolbar widget contentinfo complementary search discussion reactions replies".split())
-MAIN_NAMES = set(
-    "content main article article-body articlebody post post-content post-body entry "
-    "entry-content story story-body main-content maincontent".split())
+FURNITURE_NAMES = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb",
+    "breadcrumbs", "comment", "comments", "comment-list", "cookie", "cookies", "cookie-notice",
+    "consent", "disqus", "footer", "header", "masthead", "menu", "modal", "nav", "navbar",
+    "navigation", "newsletter", "notice", "alert", "popup", "promo", "promoted", "related",
+    "recommended", "share", "sharing", "sidebar", "side-bar", "social", "sponsor", "sponsored",
+    "subscribe", "subscription", "toolbar", "widget", "contentinfo", "complementary", "search",
+    "discussion", "reactions", "replies",
+}
+MAIN_NAMES = {
+    "content", "main", "article", "article-body", "articlebody", "post", "post-content",
+    "post-body", "entry", "entry-content", "story", "story-body", "main-content", "maincontent",
+}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
