@@ -61,6 +61,19 @@ LABELLED: list[tuple[str, str]] = [
         "<footer><a href='t'>Tags</a></footer></article></body>",
         "+++--+---",
     ),
+    (
+        "<body><div><p>Welcome to the pages of our garden club, which has met every week for forty years.</p></div>"
+        "<article><h1>Roses</h1><p>Cut them in March, when the frost is over, and give them what they need.</p><p>Water "
+        "daily.</p></article><div><p>The club meets on Monday evenings in the old town hall, and guests are welcome at "
+        "any time.</p><p>Write to us.</p></div></body>",
+        "-+++--",
+    ),
+    (
+        "<body><div class='x1'><p>Win a trip for two to the sea with the coupon below.</p></div><main><p>Nobody knew who had "
+        "built the bridge, or when, or why it led nowhere.</p><p>It was gone by May.</p></main><div class='x2'>"
+        "<p>All our prices include tax, and none of them the postage.</p></div></body>",
+        "-++-",
+    ),
     (
         "<body><div class='menu'><p>Start</p><p>Contact</p></div><div class='post-content'><p>Small.</p><p>Bees find their way "
         "home by the sun, and on dull days by what they remember of the land below them.</p><h2>Sources</h2>"

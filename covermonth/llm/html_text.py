@@ -44,7 +44,9 @@ FURNITURE_NAMES = {
     "navigation", "newsletter", "notice", "alert", "popup", "promo", "promoted", "related",
     "recommended", "share", "sharing", "sidebar", "side-bar", "social", "sponsor", "sponsored",
     "subscribe", "subscription", "toolbar", "widget", "contentinfo", "complementary", "search",
-    "discussion", "reactions", "replies",
+    "discussion", "reactions", "replies", "reply", "respond", "feedback", "disclaimer",
+    "copyright", "pagination", "pager", "login", "signup", "register", "paywall", "overlay",
+    "gdpr", "adsbygoogle", "taboola", "outbrain",
 }
 MAIN_NAMES = {
     "content", "main", "article", "article-body", "articlebody", "post", "post-content",
@@ -60,7 +62,7 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after",
-            "context", "heading"]
+            "context", "outside", "heading"]
 MAX_DEPTH = 5
 MIN_LEAF = 2
 
@@ -114,7 +116,10 @@ def features(found: list[Block]) -> np.ndarray:
     """One row of FEATURES for each block."""
     own = np.array([[b.words, b.links] for b in found], float)
     none = np.zeros((1, 2))
-    context = np.array([[b.context, b.heading] for b in found], float)
+    # Unmarked blocks of a page that marks its main content lie outside it.
+    marked = any(b.context == 1 for b in found)
+    context = np.array(
+        [[b.context, marked and b.context == 0, b.heading] for b in found], float)
     return np.hstack([own, np.vstack([none, own[:-1]]), np.vstack([own[1:], none]), context])
 
 
