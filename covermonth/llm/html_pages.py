@@ -74,6 +74,40 @@ LABELLED: list[tuple[str, str]] = [
         "<p>All our prices include tax, and none of them the postage.</p></div></body>",
         "-++-",
     ),
+    (
+        "<body><p>First.</p><p>Then came the rain.</p><h2>Later</h2><p>We sat inside and played cards.</p><p>Nobody won.</p>"
+        "<p>It was dark by four.</p><p>So we slept.</p><p>The end.</p></body>",
+        "++++++++",
+    ),
+    (
+        "<body><div class='cookie-banner'><p>This site stores small files on your device, which tell us how often you come "
+        "back, which pages you read to their end, and which of our advertisements you look at; you can refuse them in the "
+        "settings of your browser at any time.</p></div><article><p>Snow.</p><p>It fell all night and the whole day after, "
+        "and covered the fences, the well, and at last the windows of the house.</p></article><section id='comments'>"
+        "<p>We had the same winter here, four hundred miles to the south, and the trains did not run for a whole week, "
+        "so that in the end even the post was carried on skis.</p><p>Lovely story, and so well told that I read it to my "
+        "children twice, and they asked for it again the next evening and the evening after that.</p></section>"
+        "<aside><p>Also in this issue: how the old stoves were built, what was burned in them, and why so few of them "
+        "have been left in the houses of the valley to this day.</p></aside><footer><p>All texts and pictures belong to their "
+        "authors; nothing may be printed again without a letter from the editors, who can be reached at the address "
+        "below on every working day.</p></footer></body>",
+        "-++----",
+    ),
+    (
+        "<body><div><p>Good morning.</p><p>The train was late again.</p><p>A man read to us from his paper.</p></div><div>"
+        "<p>At noon we arrived.</p><p>The sea!</p></div></body>",
+        "+++++",
+    ),
+    (
+        "<body><header><p>The quarterly of the society for the study of small things, founded in the year of the great flood "
+        "by seven friends and still printed by hand in the same two rooms.</p></header><div class='newsletter'><p>Leave us your "
+        "address and we will send you, once a month and never more often, a short letter on what has been found, lost "
+        "and found again in our cabinets.</p></div><main><p>Ants.</p><p>They keep to their roads.</p><p>A stone in the way "
+        "is passed on the left by some and on the right by others, and nobody has found out why.</p></main>"
+        "<div class='related-posts'><p>Last month we wrote about the beetles of the northern dunes, their songs, and the "
+        "winter in which all of them were silent from the first frost to the last.</p></div></body>",
+        "--+++-",
+    ),
     (
         "<body><div class='menu'><p>Start</p><p>Contact</p></div><div class='post-content'><p>Small.</p><p>Bees find their way "
         "home by the sun, and on dull days by what they remember of the land below them.</p><h2>Sources</h2>"
