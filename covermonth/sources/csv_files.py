@@ -218,9 +218,12 @@ def core_layouts(
     file, no more than its file index holds.
     """
     _refuse_hidden_files(spark, root)
+    found = count_files(spark, core_pattern(root))
+    if not found:
+        raise FileNotFoundError(f"no CSV files in the subfolders of {root}")
     audit = audit_csv_files(spark, [core_pattern(root)]).cache()
     try:
-        if audit.count() != count_files(spark, core_pattern(root)):
+        if audit.count() != found:
             # A file without a single byte has no line to be audited.
             empty = empty_files(spark, core_pattern(root))
             raise ValueError(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
-from covermonth.sinks.storage import empty_files
+from covermonth.sinks.storage import count_files, empty_files
 
 log = logging.getLogger(__name__)
 
@@ -201,7 +201,10 @@ def read_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     claims rows. A workbook without any claim has a row of its own. A sheet
     that breaks off is skipped as a whole. A file without a single byte is an error.
     """
-    empty = empty_files(spark, f"{folder.rstrip('/')}/*.{{xlsx,xls}}")
+    pattern = f"{folder.rstrip('/')}/*.{{xlsx,xls}}"
+    if not count_files(spark, pattern):
+        raise FileNotFoundError(f"no workbooks in {folder}")
+    empty = empty_files(spark, pattern)
     if empty:
         raise ValueError(f"empty workbooks: {empty}")
     books = (

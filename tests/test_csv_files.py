@@ -166,7 +166,7 @@ def test_files_without_a_byte_are_rejected(spark, tmp_path):
 
 def test_no_files_is_an_error(spark, tmp_path):
     (tmp_path / "a").mkdir()
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(FileNotFoundError, match="no CSV files in the subfolders"):
         read_core(spark, str(tmp_path))
 
 

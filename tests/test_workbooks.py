@@ -82,6 +82,11 @@ def test_ingestion_reports_skipped_sheets(spark, tmp_path, caplog):
     assert table.columns == [*S.CLAIMS_COLUMNS, "FILE", "FECHA_CARGA"]
 
 
+def test_no_workbooks_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="no workbooks"):
+        read_workbooks(spark, str(tmp_path))
+
+
 def test_workbook_without_a_byte_is_an_error(spark, tmp_path):
     write_workbook(f"{tmp_path}/uno.xlsx", {"Ok": iter([S.CLAIMS_COLUMNS, CLAIM])})
     (tmp_path / "nada.xlsx").write_bytes(b"")
