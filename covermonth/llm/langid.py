@@ -166,6 +166,13 @@ def _count(batches: Iterator[pa.RecordBatch], bins: int) -> Iterator[pa.RecordBa
 
 
 def _predict(texts: pa.Array, languages: list[str], log_p: np.ndarray) -> pa.Array:
+    # Some documents at a time: what a task holds does not depend on Arrow's batches.
+    parts = [_predict_some(texts.slice(at, 500), languages, log_p)
+             for at in range(0, len(texts), 500)]
+    return pa.concat_arrays(parts) if parts else _predict_some(texts, languages, log_p)
+
+
+def _predict_some(texts: pa.Array, languages: list[str], log_p: np.ndarray) -> pa.Array:
     documents = [_words(text) if text else [] for text in texts.to_pylist()]
     number: dict[str, int] = {}
     ids = [np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
