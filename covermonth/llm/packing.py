@@ -10,6 +10,7 @@ is used; a piece finds its sequence by its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from collections.abc import Iterator
@@ -21,10 +22,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covermonth.llm.scratch import Scratch
-from covermonth.llm.words import REMEMBERED
 
 SIZE = 4096
 END = 1
+REMEMBERED = 500_000  # words whose ids a task keeps; then it starts anew
 
 
 @dataclass
@@ -212,11 +213,20 @@ def _ranked(pieces: DataFrame) -> DataFrame:
             .withColumn("rank", F.col("base") + F.col("own")))
 
 
+class _Numbers(dict):
+    """A number for each word, in the order in which they come up."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class WordIds:
     """Token ids of whole texts, word by word.
 
-    The tokenizer never joins characters across ASCII white space, so the ids of a text are
-    those of its words in order, and a word that was seen before is not tokenized again.
+    The tokenizer never joins characters across ASCII white space, nor letters with the full stops and
+    commas after them, and it takes ASCII letters in lower case. So the ids of a text are those
+    of its words in order, and a word that was seen before is not tokenized again.
     """
 
     def __init__(self, path: str) -> None:
@@ -227,7 +237,8 @@ class WordIds:
         self._empty()
 
     def _empty(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number = _Numbers()
+        self.parts: dict[bytes, list[int]] = {b"": []}
         self.flat = np.zeros(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
@@ -236,21 +247,44 @@ class WordIds:
             self._empty()
         split = [text.encode("utf-8", "surrogatepass").split() for text in texts]
         known = len(self.number)
-        number = self.number
-        places = [np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64,
-                              len(words)) for words in split]
-        self._learn([w.decode("utf-8", "replace") for w in list(number)[known:]])
+        places = [np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+                  for words in split]
+        self._learn(list(itertools.islice(self.number, known, None)))
         return [self._gather(p) for p in places]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         if not new:
             return
-        found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+        cut = [_stem(word) for word in new]
+        parts = self.parts
+        self._learn_parts({part for pair in cut for part in pair if part not in parts})
+        found = [parts[stem] + parts[ending] for stem, ending in cut]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
         self.flat = np.concatenate([self.flat, flat])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
 
+    def _learn_parts(self, new: set[bytes]) -> None:
+        """Ids of parts of words: some hundred of them as one text, told apart by their places."""
+        model, others = self.tokenizer.model, []
+        for part in new:
+            if part.isalpha():
+                # ASCII letters in lower case pass the tokenizer's first steps unchanged.
+                self.parts[part] = [token.id for token in model.tokenize(part.decode())]
+            else:
+                others.append(part)
+        for at in range(0, len(others), 200):
+            some = others[at:at + 200]
+            words = [part.decode("utf-8", "replace") for part in some]
+            starts = np.cumsum([0] + [len(word) + 1 for word in words])
+            found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            place = np.array([start for start, _ in found.offsets], np.int64)
+            owner = np.searchsorted(starts, place, side="right") - 1
+            ends = np.searchsorted(owner, np.arange(len(some)), side="right")
+            ids = found.ids
+            for part, start, end in zip(some, [0, *ends], ends, strict=False):
+                self.parts[part] = ids[start:end]
+
     def _gather(self, words: np.ndarray) -> np.ndarray:
         lengths = self.starts[words + 1] - self.starts[words]
         ends = np.cumsum(lengths)
@@ -258,6 +292,17 @@ class WordIds:
         return self.flat[np.arange(total) + np.repeat(self.starts[words] - ends + lengths, lengths)]
 
 
+def _stem(word: bytes) -> tuple[bytes, bytes]:
+    """A word of letters and the full stops and commas after it; any other word is whole."""
+    stem = word.rstrip(b".,")
+    if stem.isalpha():  # ASCII
+        return stem.lower(), word[len(stem):]
+    decoded = stem.decode("utf-8", "replace")
+    if stem and decoded.isalpha() and max(decoded) < "\u0250":
+        return stem, word[len(stem):]
+    return word, b""
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, size: int, end: int,
             keep_ids: bool = False) -> Iterator[pa.RecordBatch]:
     memory = WordIds(tokenizer)
