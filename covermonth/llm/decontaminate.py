@@ -3,8 +3,8 @@
 A mask marks some of the positions of a short window of words; the words at the marked
 positions are hashed, the others may be anything. Seeds of the test items meet seeds of the
 documents by hash. Around each hit the item is laid over the document without gaps, and the
-overlap with the best score counts if enough of its words agree, so a passage is found although words
-of it were replaced.
+overlap with the best score counts if enough of its words agree, or else all that the item covers, so a
+passage is found although words of it were replaced.
 
 A bitmap of fixed size holds the test seeds: what a document keeps of its millions of seeds is
 decided in the task that reads it, and only documents with such a seed are shuffled, once for all copies
@@ -25,15 +25,17 @@ from covermonth.llm.filters import bitmap, possible
 from covermonth.llm.scratch import Scratch
 from covermonth.llm.words import WordHashes, lists, mix, words
 
-# Six words each; the gaps of the masks differ, so that one replaced word in any place leaves
-# some mask whole.
-MASKS = ("11101101", "110110011", "1101001011", "11001010101")
+# Six words each; the gaps of the masks differ, so that in items of 8 to 16 words all replacements
+# of up to a fifth of the words leave some mask whole, as do any 4 in 17 words.
+MASKS = ("11101101", "110110011", "1101001011", "11001010101", "111111", "11010111", "1010011011")
 MIN_WORDS = 13  # words that agree in an overlap,
 MIN_SHARE = 0.8  # or this share of the item's words,
 SHORTEST = 8  # if that is so many words at least
 AGREEING = 0.75  # share of an overlap's words that agree
 PENALTY = 2  # for a word that differs, where one that agrees counts 1
 
+_MARKS = 6
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _STRIPPED = b".,;:!?\"'()[]{}<>*_`-"
 
 
@@ -43,7 +45,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     docs has doc_id and text, items item_id and text; other columns are ignored. Words are in lower
     case (A-Z) and without punctuation at their ends. An overlap counts with 13 agreeing words,
-    or 80 percent of the item's words and 8 at least. Null and empty texts overlap with
+    or 80 percent of the item's words and 8 at least; these 80 percent may lie anywhere in the item. Null and empty texts overlap with
     nothing, nor do items of fewer than 8 words. Repeated rows give the same rows once. Where an item
     overlaps in several places, the one with most agreeing words is given, the first of equals.
     Rows without doc_id are reported as such.
@@ -121,14 +123,18 @@ def _tokens(text: str | None, memory: PlainHashes) -> np.ndarray:
 
 def _seeds(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places and hashes of all windows, mask by mask."""
+    # A hash is a polynomial of the marked words; the products are the same for all masks.
+    products = [tokens]
+    for _ in range(_MARKS - 1):
+        products.append(products[-1] * _FACTOR)
     for number, mask in enumerate(MASKS):
         windows = len(tokens) - len(mask) + 1
         if windows <= 0:
             continue
-        value = np.full(windows, number + 1, np.uint64)
-        for k, mark in enumerate(mask):
-            if mark == "1":
-                value = value * np.uint64(0x9E3779B97F4A7C15) + tokens[k:k + windows]
+        value = np.full(windows, (number + 1) * int(_FACTOR) ** _MARKS % 2**64, np.uint64)
+        places = [k for k, mark in enumerate(mask) if mark == "1"]
+        for product, k in zip(reversed(products), places, strict=True):
+            value += product[k:k + windows]
         yield np.arange(windows, dtype=np.int32), mix(value)
 
 
@@ -203,8 +209,14 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             item, window = np.array(row["item_words"]), np.array(row["window"])
             skipped = max(0, -row["shift"])
             part = item[skipped:skipped + len(window)]
-            start, end, matched = best_overlap(part == window[:len(part)])
-            enough = matched >= min(MIN_WORDS, max(SHORTEST, MIN_SHARE * len(item)))
+            same = part == window[:len(part)]
+            share = max(SHORTEST, MIN_SHARE * len(item))
+            start, end, matched = best_overlap(same)
+            if matched < min(MIN_WORDS, share) and same.sum() >= share:
+                # A replaced word near an end costs the stretch what agrees beyond it.
+                agreeing = np.flatnonzero(same)
+                start, end, matched = int(agreeing[0]), int(agreeing[-1]) + 1, len(agreeing)
+            enough = matched >= min(MIN_WORDS, share)
             if enough and matched >= AGREEING * (end - start):
                 rows.append((row["node"], row["item_id"], matched, row["start"] + start,
                              row["start"] + end, matched / len(item)))

@@ -419,6 +419,25 @@ def test_overlaps_with_replaced_words(spark, docs, nothing):
     assert contamination(df, items.where("false")).count() == 0
 
 
+def test_every_allowed_replacement_is_found(spark):
+    """Items of 8 to 16 words, any words replaced as long as 80 percent and 8 agree."""
+    items = {n: sentence(1000 + n, n) for n in range(8, 17)}
+    texts, expected = [], {}
+    for n, item in items.items():
+        for places in itertools.combinations(range(n), n - max(8, -(-n * 4 // 5))):
+            words = [f"other{k}" if k in places else w for k, w in enumerate(item.split())]
+            expected[len(texts)] = (n, n - len(places))
+            texts.append((len(texts), f"{sentence(7, 3)} {' '.join(words)} {sentence(8, 3)}"))
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    found = contamination(df, spark.createDataFrame(list(items.items()), "item_id long, text string"))
+    matched = {r.doc_id: (r.item_id, r.matched) for r in found.collect()}
+    assert set(matched) == set(expected)
+    for d, (n, agree) in expected.items():
+        assert matched[d][0] == n and min(13, 0.8 * n) <= matched[d][1] <= agree
+    assert clean_documents(df, spark.createDataFrame(
+        list(items.items()), "item_id long, text string")).count() == 0
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.booleans(), max_size=25))
 def test_best_overlap(same):
