@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,8 +32,11 @@ VOID_TAGS = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
     "source", "track", "wbr",
 }
-SKIPPED_TAGS = ("script", "style", "title", "textarea", "noscript", "template", "svg", "iframe",
-                "object", "select", "math", "canvas", "audio", "video")
+RAW_TAGS = ("script", "style", "title", "textarea")  # without an end tag, to the end of the page
+SKIPPED_TAGS = {  # from tag to end tag; where that is missing, the tag alone
+    "noscript", "template", "svg", "iframe", "object", "select", "canvas", "audio", "video",
+    "annotation", "annotation-xml",
+}
 FURNITURE_TAGS = {
     "nav", "aside", "footer", "form", "button", "dialog", "menu", "fieldset", "select", "label",
 }
@@ -55,9 +59,10 @@ MAIN_NAMES = {
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(SKIPPED_TAGS) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?/][^>]*>", re.DOTALL | re.IGNORECASE)
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE) for tag in RAW_TAGS}
+_UNQUOTED_END = re.compile(r"=[^\s\"'>]*/\Z")  # the slash belongs to the value
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
@@ -145,13 +150,13 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    for m, end in _visible(page):
         if m.start() > at:
             parts.append((html.unescape(page[at:m.start()]), anchors > 0))
-        at = m.end()
-        if not m["tag"]:
+        at = end
+        tag = (m["tag"] or "").lower()
+        if not tag or tag in RAW_TAGS or tag in SKIPPED_TAGS:
             continue
-        tag = m["tag"].lower()
         if tag == "br":
             parts.append((" ", anchors > 0))
             continue
@@ -182,6 +187,37 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
+def _visible(page: str) -> Iterator[tuple[re.Match, int]]:
+    """Tags and comments outside skipped elements, and the end of what each stands for."""
+    tokens, at = [], 0
+    while m := _TOKEN.search(page, at):
+        at, tag = m.end(), (m["tag"] or "").lower()
+        if tag in RAW_TAGS and not m["close"] and not _self_closed(m["attrs"]):
+            end = _RAW_END[tag].search(page, at)
+            at = end.end() if end else len(page)
+        tokens.append((m, at))
+    open_tags: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}  # number of a skipped element's tag: of its end tag
+    for number, (m, _) in enumerate(tokens):
+        tag = (m["tag"] or "").lower()
+        if tag not in SKIPPED_TAGS:
+            continue
+        if not m["close"]:
+            if not _self_closed(m["attrs"]):
+                open_tags.setdefault(tag, []).append(number)
+        elif open_tags.get(tag):
+            ends[open_tags[tag].pop()] = number
+    number = 0
+    while number < len(tokens):
+        last = ends.get(number, number)
+        yield tokens[number][0], tokens[last][1]
+        number = last + 1
+
+
+def _self_closed(attributes: str) -> bool:
+    return attributes.endswith("/") and not _UNQUOTED_END.search(attributes)
+
+
 def _close_implied(stack: list[tuple[str, int]], tag: str) -> None:
     """An open paragraph ends at the next block, an item or cell at the next of its kind."""
     if stack[-1][0] == "p":

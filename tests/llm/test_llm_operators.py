@@ -249,6 +249,22 @@ def test_main_text_of_odd_pages(spark):
     assert df.where("false").select(html_text.main_text(F.col("html"))).count() == 0
 
 
+def test_skipped_elements_end_where_they_end():
+    """Nothing behind a tag that only looks like a skipped one, is empty or has no end tag is lost."""
+    for odd in ("<svg-icon name='x'></svg-icon>", "<video-player src='x'></video-player>",
+                "<audio-player></audio-player>", "<title-bar></title-bar>", "<script-x></script-x>",
+                "<svg viewBox='0 0 1 1'/>", "<SVG />", "<script src='x'/>", "<noscript>", "<object>",
+                "<canvas>", "<video src=a/>", "<iframe>", "<select>", "<svg><svg>no</svg>no</svg>",
+                "<video src=a><svg>no</svg>", "<script src=a/>no</script >", "<style>no</style>",
+                "<svg><title>no</title></svg>", "<script>'<svg>'</script>"):
+        page = f"<article><p>One {odd}two</p><p>three</p><p>four</p></article><svg>no</svg>"
+        assert [b.text for b in html_text.blocks(page)] == ["One two", "three", "four"], odd
+    formula = "<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</p>"
+    assert [b.text for b in html_text.blocks(formula)] == ["So x=1 holds"]
+    assert [b.text for b in html_text.blocks("<p>One</p><script>no<p>no")] == ["One"]
+    assert len(html_text.blocks("<p>One</p>" + "<svg>" * 50_000 + "<p>two</p>")) == 2
+
+
 def test_tree_on_pages_that_it_was_not_grown_on():
     """Each labelled page by a tree grown on the others."""
     right = total = 0
