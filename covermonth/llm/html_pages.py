@@ -116,4 +116,80 @@ LABELLED: list[tuple[str, str]] = [
         "in a village.</p></div></body>",
         "--++++--",
     ),
+    (
+        "<body><div class='site-header'><p>Notes from the harbour</p></div><div class='content-sidebar-wrap'><main>"
+        "<header class='entry-header'><h1>The lighthouse</h1><p>3 June</p></header><p>It was built in two summers, of stone "
+        "that came by boat, and its lamp burned oil until the year of the great storm.</p><p>Now it is dark.</p></main>"
+        "<div class='sidebar-primary'><p>Boats leave for the island at nine and at noon, if the sea allows it.</p></div></div>"
+        "<div class='footer-widgets'><p>Harbour office, open on weekdays.</p></div></body>",
+        "-++++--",
+    ),
+    (
+        "<body><div class='layout-sidebar-right'><article><header class='entry-header'><h1>Clay</h1></header><div class='"
+        "post-header-image'><p>Clay is found wherever water has stood still for long enough to let go of what it carried.</p>"
+        "</div><p>Dig it in autumn.</p><div class='share-buttons'><p>Tell your friends</p><p>Send by mail</p></div>"
+        "<div class='related-posts'><p>Glazes</p><p>The kiln that we built in the yard and what became of it.</p></div>"
+        "</article></div></body>",
+        "+++----",
+    ),
+    (
+        "<body><div class='site-header'><p>The walking club</p></div><div class='main-menu'><p><a href='1'>Walks</a></p>"
+        "<p><a href='2'>Members</a></p></div><p>We met at the station at eight, in the rain, and nobody thought of going home "
+        "again before the first hill.</p><p>It cleared up.</p><p>By noon we saw the sea from the ridge, and the boats that "
+        "came in with the tide.</p><div class='sidebar-right'><p>Next walk</p><p>Sunday</p></div><div class='footer-links'><p>"
+        "<a href='3'>Imprint</a></p></div></body>",
+        "---+++---",
+    ),
+    (
+        "<body><div class='content-with-sidebar'><p>The mill has stood since the days when the river still turned two wheels, "
+        "and its stones are those of the first miller.</p><p>It grinds rye on Mondays and wheat on all other days, as long as "
+        "the water is high enough to reach the sluice.</p></div><div class='site-footer'><p>Write to us</p><p>Legal</p></div>"
+        "</body>",
+        "++--",
+    ),
+    (
+        "<body><div class='top-banner'><p>Free post this week</p></div><article><div class='post-header'><h2>Wool</h2><p>By a "
+        "shepherd</p></div><p>Sheep are shorn in May, before the flies come, and the fleece is washed in the brook.</p><div "
+        "class='banner-text'><p>Dry it slowly.</p><p>Then card it.</p></div><p>Spin it in winter.</p><div class='social-links'>"
+        "<p>Follow the flock</p><p>See us at the market of the town on the first Sunday.</p></div><div class='comment-area'><p>"
+        "Lovely sheep, and a lovely dog with them, who looked as if it knew the way better than all of us.</p><p>Thanks!</p>"
+        "</div></article><div class='widget-area'><p>The farm shop</p><p>Open daily</p></div></body>",
+        "-++++++------",
+    ),
+    (
+        "<body><div class='header-bar'><p>Clock tower museum</p><p>Tickets</p></div><div><p>The clock was made by a smith who "
+        "could not read, and it has been late by four minutes ever since he died.</p><p>No one has mended it.</p><p>Visitors "
+        "are shown the wheels, the weights and the bell, which is struck by hand on feast days.</p></div><div class="
+        "'menu-bottom'><p>Opening hours</p><p>Ways to reach us</p></div><div class='sponsor-list'><p>The bank of the town</p>"
+        "<p>Friends of the tower</p></div></body>",
+        "--+++----",
+    ),
+    (
+        "<body><div class='page-sidebar-left'><div><p>The ferry crosses the lake twice a day, and in winter only when the ice "
+        "has been broken by the men of the village.</p><p>Whoever misses it walks around the shore, which takes the better "
+        "part of a day and two pairs of dry socks.</p></div></div><div class='footer-nav'><p><a href='1'>Fares</a></p><p>"
+        "<a href='2'>Weather</a></p></div></body>",
+        "++--",
+    ),
+    (
+        "<body><main><div class='notice-board'><h2>Honey</h2><p>In June.</p><p>The combs are cut when the bees have closed "
+        "them.</p></div><p>It keeps for years.</p><div class='related-links'><p>Wax candles</p><p>Mead and how it is made in "
+        "the valley.</p></div></main></body>",
+        "++++--",
+    ),
+    (
+        "<body><div class='cookie-bar'><p>We and those who pay for this site would like to remember your visit, and ask that you "
+        "let us do so for a year.</p></div><div class='site-header'><p>The almanac of the northern valleys, in which every "
+        "farmer finds the days for sowing, mowing and the first fire in the stove.</p></div><article><p>Frost in May.</p><p>It "
+        "took the plums and the early pears.</p><p>The apples had not yet opened, and those that stood by the wall bore as in "
+        "any other year.</p></article><div class='newsletter-form'><p>Have the almanac sent to your house each month, with the "
+        "weather that is to come and some that has already been.</p></div><div class='footer-text'><p>Printed since the days "
+        "of our grandmothers by the same family, on paper made from rags that the neighbours bring to us.</p></div></body>",
+        "--+++--",
+    ),
+    (
+        "<body><h1>Salt</h1><p>It was dear.</p><p>Men carried it over the pass.</p><p>Each had a mule.</p><h2>The toll</h2>"
+        "<p>A tenth was paid at the bridge.</p><p>Some went by night.</p><p>The toll ended with the railway.</p></body>",
+        "++++++++",
+    ),
 ]

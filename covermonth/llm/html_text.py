@@ -1,7 +1,8 @@
 """Main text of HTML pages from flat blocks.
 
 A page is cut into blocks of text at its block-level tags; nothing of the tree is kept but what
-the innermost marked container of a block says: main content, furniture, or neither. Each block
+the innermost marked container of a block says: main content, furniture, or neither, and whether a part
+of a container's name hints at furniture. Each block
 has its word count and link density and those of the blocks before and after. A decision tree, grown on a
 small labelled table, says which blocks are main text.
 """
@@ -57,6 +58,16 @@ MAIN_NAMES = {
     "post-body", "entry", "entry-content", "story", "story-body", "main-content", "maincontent",
 }
 
+# Names of lists whose articles and posts are not the page's own
+LISTING_NAMES = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "comment", "comments",
+    "comment-list", "disqus", "promo", "promoted", "related", "recommended", "share", "sharing",
+    "social", "sponsor", "sponsored", "discussion", "reactions", "replies", "reply", "respond",
+    "adsbygoogle", "taboola", "outbrain",
+}
+# What an element says of its content
+MAIN, NEITHER, NAMED, LISTING, FURNITURE = 1, 0, -1, -2, -3
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
@@ -67,7 +78,7 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after",
-            "context", "outside", "heading"]
+            "context", "outside", "heading", "hint"]
 MAX_DEPTH = 5
 MIN_LEAF = 2
 
@@ -79,6 +90,7 @@ class Block:
     link_words: int
     context: int  # 1 main content, -1 furniture, 0 neither
     heading: bool
+    hint: int  # 0 none, 1 a part of a name is one of furniture, 2 of a list beside the text
 
     @property
     def links(self) -> float:
@@ -124,20 +136,26 @@ def features(found: list[Block]) -> np.ndarray:
     # Unmarked blocks of a page that marks its main content lie outside it.
     marked = any(b.context == 1 for b in found)
     context = np.array(
-        [[b.context, marked and b.context == 0, b.heading] for b in found], float)
+        [[b.context, marked and b.context == 0, b.heading, _weight(b, marked)] for b in found],
+        float)
     return np.hstack([own, np.vstack([none, own[:-1]]), np.vstack([own[1:], none]), context])
 
 
+def _weight(block: Block, marked: bool) -> int:
+    """A hint counts for more outside main content, most on a page that marks its main content."""
+    return 2 * block.hint - 1 + (block.context != 1) * (1 + marked) if block.hint else 0
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of text of a page, in page order."""
     found: list[Block] = []
-    stack: list[tuple[str, int]] = []  # open elements and their context
+    stack: list[tuple[str, tuple[int, int]]] = []  # open elements, their context and hint
     parts: list[tuple[str, bool]] = []
     anchors = 0
     heading = False
 
-    def context() -> int:
-        return stack[-1][1] if stack else 0
+    def context() -> tuple[int, int]:
+        return stack[-1][1] if stack else (NEITHER, 0)
 
     def flush() -> None:
         if not parts:
@@ -146,7 +164,8 @@ def blocks(page: str) -> list[Block]:
         if text:
             linked = len("".join(t if a else " " for t, a in parts).split())
             words = len(text.split())
-            found.append(Block(text, words, min(linked, words), context(), heading))
+            inner, hint = context()
+            found.append(Block(text, words, min(linked, words), max(inner, -1), heading, hint))
         parts.clear()
 
     at = 0
@@ -218,7 +237,7 @@ def _self_closed(attributes: str) -> bool:
     return attributes.endswith("/") and not _UNQUOTED_END.search(attributes)
 
 
-def _close_implied(stack: list[tuple[str, int]], tag: str) -> None:
+def _close_implied(stack: list[tuple[str, tuple[int, int]]], tag: str) -> None:
     """An open paragraph ends at the next block, an item or cell at the next of its kind."""
     if stack[-1][0] == "p":
         stack.pop()
@@ -230,26 +249,40 @@ def _close_implied(stack: list[tuple[str, int]], tag: str) -> None:
         del stack[-2:]
 
 
-def _context(tag: str, attributes: str, outer: int, in_main: bool) -> int:
-    """What an element says of its content; without a word of its own, what is outside holds."""
-    if tag in FURNITURE_TAGS or (tag == "header" and not in_main):
-        return -1
+def _context(
+        tag: str, attributes: str, outer: tuple[int, int], in_main: bool) -> tuple[int, int]:
+    """What an element says of its content; without a word of its own, what is outside holds.
+
+    Main content may lie in a container that only its name marks: the main element in any, articles
+    and main names in those that are no lists of others. A part of a name is a hint and no more.
+    """
+    context, hint = outer
+    if context == FURNITURE or tag in FURNITURE_TAGS:
+        return FURNITURE, 0
+    names, parts = set(), set()
     if attributes.strip() and tag not in ("html", "body"):
-        names = {}
+        given = {}
         for m in _ATTRIBUTE.finditer(attributes):
-            names[m[1].lower()] = next(g for g in m.groups()[1:] if g is not None)
-        words = " ".join(names.get(k, "") for k in ("class", "id", "role")).lower()
-        marks = set(words.split())
-        for name in words.split():
+            given[m[1].lower()] = next(g for g in m.groups()[1:] if g is not None)
+        names = set(" ".join(given.get(k, "") for k in ("class", "id", "role")).lower().split())
+        for name in names:
             if not name.startswith(("with-", "has-", "no-")):
-                marks |= set(re.split(r"[_-]+", name))
-        if _HIDDEN.search(names.get("style", "")) or names.get("aria-hidden") == "true":
-            return -1
-        if set(words.split()) & MAIN_NAMES and outer >= 0:
-            return 1
-        if marks & FURNITURE_NAMES:
-            return -1
-    return 1 if tag in MAIN_TAGS and outer >= 0 else outer
+                parts |= set(re.split(r"[_-]+", name))
+        if _HIDDEN.search(given.get("style", "")) or given.get("aria-hidden") == "true":
+            return FURNITURE, 0
+    listing = (names | parts) & LISTING_NAMES
+    own = context > LISTING and hint < 2
+    if tag == "main" or (names & MAIN_NAMES and own):
+        return MAIN, 0
+    if names & FURNITURE_NAMES:
+        return (LISTING if listing or context == LISTING else NAMED), 0
+    if tag == "article" and own and not listing:
+        return MAIN, 0
+    if tag == "header" and not in_main:
+        return min(context, NAMED), hint
+    if parts & FURNITURE_NAMES:
+        return context, max(hint, 2 if listing else 1)
+    return outer
 
 
 @dataclass

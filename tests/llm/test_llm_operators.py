@@ -265,6 +265,28 @@ def test_skipped_elements_end_where_they_end():
     assert len(html_text.blocks("<p>One</p>" + "<svg>" * 50_000 + "<p>two</p>")) == 2
 
 
+def test_main_content_in_containers_named_like_furniture():
+    tree = html_text.grow(*html_text.labelled())
+    first = "The council met on Tuesday and agreed that the old bridge is to be repaired before the winter."
+    text = f"<h1>Bridge</h1><p>{first}</p><p>Work begins soon.</p>"
+    whole = f"Bridge\n{first}\nWork begins soon."
+    aside = "<div class='{}'><p>Our shop has moved to the market square.</p></div>"
+    for page in (
+        f"<div class='content-sidebar-wrap'><main>{text}</main>{aside.format('sidebar')}</div>",
+        f"<div class='layout-sidebar-right'><article>{text}</article></div>",
+        f"<div class='content-with-sidebar'><div class='entry-content'>{text}</div></div>",
+        f"<div class='sidebar'><main>{text}</main></div>",
+        f"<div class='comments'><main>{text}</main></div>",
+        f"<article>{text.replace('<h1>', '<header class=entry-header><h1>').replace('</h1>', '</h1></header>')}"
+        "</article>",
+        f"<main>{text}</main><div class='comments'><article class='post'><p>I crossed it once.</p></article></div>",
+        f"<main>{text}</main><nav><article><p>Read on about bridges and rivers here.</p></article></nav>",
+        f"<main>{text}</main><div class='related-posts'><article><p>The other bridge.</p></article></div>",
+        f"<article>{text}</article>{aside.format('sidebar-primary')}",
+    ):
+        assert html_text.extract(f"<body>{page}</body>", tree) == whole, page
+
+
 def test_tree_on_pages_that_it_was_not_grown_on():
     """Each labelled page by a tree grown on the others."""
     right = total = 0
