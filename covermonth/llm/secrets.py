@@ -27,13 +27,16 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal: shorter ones would be dropped
 
-# Where a credential stands: a name for it, a sign or word that gives it a value, the value.
+# Where a credential stands: a name for it, a sign or word that gives it a value, the value. Without
+# quotes it goes on to the next white space, end tag or further assignment.
 CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth|secret|client)[_-]?key|authorization|bearer)"""
-    r"""["']?\s{0,4}(?:=>|:=|[:=]|\s(?:is|was)\s)\s{0,4}(?:bearer\s{1,4})?"""
-    r"""(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"'`<>,;()]{6,}))""",
+    r"""["']?\s{0,5}+[\x20\t]*+(?:=>|:=|[:=]|(?<=\s)(?:is|was)\s)\s{0,4}+[\x20\t]*+(?:bearer\s{1,4}+[\x20\t]*+)?"""
+    r"""(?:"([^"\n]{6,})"|'([^'\n]{6,})'|(?!["'`<])((?:(?!</)\S){6}(?:(?!</[a-z]|<br|[,;]["']?[a-z_][\w.-]{0,40}["']?[:=])\S)*+))""",
     re.IGNORECASE | re.ASCII)
 
+_CLOSING = ",;:.)]}>\"'`"
+
 # Passwords and placeholders in the order in which a guesser tries them.
 WORDS = [
     "password", "123456", "qwerty", "admin", "welcome", "letmein", "changeme", "secret",
@@ -101,9 +104,15 @@ def spans_of(text: str) -> list[tuple[str, int, int, float | None]]:
     for m in CONTEXT.finditer(text):
         group = next(g for g in (1, 2, 3) if m[g] is not None)
         start, end = m.span(group)
+        if group == 3:
+            if m[3][0] == "(" and m[3].rstrip(",;:.").endswith(")"):
+                continue  # a remark in place of a value
+            end = start + len(m[3].rstrip(_CLOSING))
+            if end - start < 6:
+                continue
         if any(a < end and start < b for a, b in covered):
             continue
-        cost = guess_cost(m[group])
+        cost = guess_cost(text[start:end])
         if cost >= LEAST_COST:
             found.append(("guess", start, end, cost))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))

@@ -436,6 +436,24 @@ def test_spans_and_masks(spark, docs, nothing):
     assert secrets.mask_secrets(nothing).count() == 0
 
 
+def test_credentials_in_aligned_settings():
+    for text, value in (
+        ("pwd          = Xk29#vQ!7zLm", "Xk29#vQ!7zLm"), ("pwd\t\t\t\t\t\t=\t\t\t\t\t\tXk29#vQ!7zLm", "Xk29#vQ!7zLm"),
+        ("password:           'Xk29#vQ!7zLm'", "Xk29#vQ!7zLm"), ("pwd = Xk29,vQ!7zLm", "Xk29,vQ!7zLm"),
+        ("(passphrase: Xk29;vQ(7zL)m).", "Xk29;vQ(7zL)m"), ("pwd is      Xk29#vQ!7zLm,", "Xk29#vQ!7zLm"),
+        ("Server=x;Pwd=Xk29#vQ!7zLm;Database=sales", "Xk29#vQ!7zLm"),
+        ("<b>pwd:</b> none <p>pwd: Xk29#vQ!7zLm</p>", "Xk29#vQ!7zLm"),
+        ("private_key =\n      Xk29#vQ!7zLm", "Xk29#vQ!7zLm"), ("pwd: (Xk29#vQ!7zLm", "(Xk29#vQ!7zLm"),
+    ):
+        spans = secrets.spans_of(text)
+        assert [(k, text[a:b]) for k, a, b, _ in spans] == [("guess", value)], text
+    for text in ("pwd = changeme, pwd = changeme.", "pwd: <your-own-password>", "pwd: (optional)",
+                 "pwd=changeme,user=somebody", "pwd" + " " * 100_000 + "x"):
+        assert secrets.spans_of(text) == [], text
+    both = "pwd=Xk29#vQ!7zLm,passphrase=Yw38#bN!6tRp"
+    assert [both[a:b] for _, a, b, _ in secrets.spans_of(both)] == ["Xk29#vQ!7zLm", "Yw38#bN!6tRp"]
+
+
 # --- decontamination --------------------------------------------------------------------
 
 def test_overlaps_with_replaced_words(spark, docs, nothing):
