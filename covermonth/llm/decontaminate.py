@@ -50,6 +50,32 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     overlaps in several places, the one with most agreeing words is given, the first of equals.
     Rows without doc_id are reported as such.
     """
+    hits, best = _hits_and_overlaps(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
+                                    items)
+    return (hits.select("doc_id", "node").distinct().join(best, "node")
+            .select("doc_id", "item_id", "o.*")
+            .groupBy("doc_id", "item_id")
+            .agg(F.max_by(F.struct("matched", "first_word", "end_word", "share"),
+                          F.struct("matched", F.negate("first_word"))).alias("o"))
+            .select("doc_id", "item_id", "o.*"))
+
+
+def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of docs whose text overlaps with no item; columns as they are.
+
+    Each row is judged by its own text, whatever rows share its doc_id or have none.
+    """
+    hits, best = _hits_and_overlaps(
+        docs.select(F.lit(None).cast("long").alias("doc_id"), "text"), items)
+    found = (hits.join(best.select("node"), "node", "left_semi")
+             .select(F.col("digest").alias("contaminated_digest")).distinct())
+    return docs.join(
+        found, F.sha2(docs["text"].cast("binary"), 256) == found["contaminated_digest"], "left_anti")
+
+
+def _hits_and_overlaps(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents (doc_id, text) with a seed of an item: doc_id, digest of the text and node, that of its
+    words; and node, item_id and the best overlap."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     tests = scratch.save(
@@ -63,10 +89,9 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         "seeds")
     known = spark.sparkContext.broadcast(bitmap(seeds, "seed", probes=3))
     hits = scratch.save(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .mapInArrow(lambda batches: _document_seeds(batches, known),
-                    "doc_id long, node binary, words array<long>, place array<int>, "
-                    "seed array<long>"),
+        docs.mapInArrow(lambda batches: _document_seeds(batches, known),
+                        "doc_id long, digest string, node binary, words array<long>, "
+                        "place array<int>, seed array<long>"),
         "hits")
     texts = scratch.save(
         hits.groupBy("node").agg(*[F.first(c).alias(c) for c in ("words", "place", "seed")]),
@@ -88,20 +113,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     best = (overlaps.groupBy("node", "item_id").agg(
         F.max_by(F.struct("matched", "first_word", "end_word", "share"),
                  F.struct("matched", F.negate("first_word"))).alias("o")))
-    return (hits.select("doc_id", "node").distinct().join(best, "node")
-            .select("doc_id", "item_id", "o.*")
-            .groupBy("doc_id", "item_id")
-            .agg(F.max_by(F.struct("matched", "first_word", "end_word", "share"),
-                          F.struct("matched", F.negate("first_word"))).alias("o"))
-            .select("doc_id", "item_id", "o.*"))
-
-
-def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id overlaps with no item; columns as they are."""
-    found = contamination(docs, items).select("doc_id").distinct()
-    marked = found.withColumnsRenamed({"doc_id": "contaminated_id"})
-    return docs.join(
-        marked, docs["doc_id"].cast("long").eqNullSafe(marked["contaminated_id"]), "left_anti")
+    return hits, best
 
 
 class PlainHashes(WordHashes):
@@ -175,7 +187,7 @@ def _document_seeds(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.Rec
     for whole in batches:
         for start in range(0, whole.num_rows, 500):
             batch = whole.slice(start, 500)
-            ids, nodes, rows = [], [], []
+            ids, digests, nodes, rows = [], [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(),
                                  batch.column("text").to_pylist(), strict=True):
                 tokens = _tokens(text, memory)
@@ -186,11 +198,13 @@ def _document_seeds(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.Rec
                         kept.append((places[likely], seeds[likely]))
                 if kept:
                     ids.append(doc)
+                    digests.append(hashlib.sha256(text.encode()).hexdigest())
                     nodes.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                     rows.append((tokens, *_joined(kept)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(nodes, pa.binary()), *_columns(rows)],
-                ["doc_id", "node", "words", "place", "seed"])
+                [pa.array(ids, pa.int64()), pa.array(digests, pa.string()),
+                 pa.array(nodes, pa.binary()), *_columns(rows)],
+                ["doc_id", "digest", "node", "words", "place", "seed"])
 
 
 def best_overlap(same: np.ndarray) -> tuple[int, int, int]:

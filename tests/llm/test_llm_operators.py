@@ -475,6 +475,17 @@ def test_overlaps_with_replaced_words(spark, docs, nothing):
     assert contamination(df, items.where("false")).count() == 0
 
 
+def test_clean_rows_stay_beside_contaminated_ones(spark):
+    """Rows without doc_id, and rows that repeat one, are judged by their own texts."""
+    item, clean = sentence(5, 30), [sentence(k, 50) for k in range(20, 24)]
+    texts = [(None, item), (None, clean[0]), (None, clean[1]), (None, None), (1, f"so {item}"),
+             (1, clean[2]), (2, clean[3]), (2, item.upper())]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {(r.doc_id, r.text) for r in clean_documents(df, items).collect()}
+    assert found == {(None, clean[0]), (None, clean[1]), (None, None), (1, clean[2]), (2, clean[3])}
+
+
 def test_every_allowed_replacement_is_found(spark):
     """Items of 8 to 16 words, any words replaced as long as 80 percent and 8 agree."""
     items = {n: sentence(1000 + n, n) for n in range(8, 17)}
