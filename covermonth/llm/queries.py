@@ -8,13 +8,17 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covermonth.llm import oracle
 from covermonth.llm.brown import score
+from covermonth.llm.codes import encode
 from covermonth.llm.decontaminate import contamination
 from covermonth.llm.html_text import main_text
 from covermonth.llm.langid import predict, train
 from covermonth.llm.minhash import near_duplicates
+from covermonth.llm.negatives import hard_negatives
 from covermonth.llm.packing import pack
 from covermonth.llm.quality import BASE_POLICY, apply_policy, ledger
+from covermonth.llm.redirects import Rule, judge
 from covermonth.llm.secrets import find_secrets
 from covermonth.llm.sharding import kd_shards
 from covermonth.llm.warc import round_trip
@@ -108,6 +112,29 @@ def op10_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0,
+                          positives=5, negatives=3, low=Fraction(50, 100), high=Fraction(95, 100))
+
+
+URL_RULES = [
+    Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+def op13_redirect_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_rule_ledger": op2_rule_ledger,
@@ -119,6 +146,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_guess_cost": op8_guess_cost,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_kd_sharding": op10_kd_sharding,
+    "op11_ball_kmeans": op11_ball_kmeans,
+    "op12_angular_negatives": op12_angular_negatives,
+    "op13_redirect_classes": op13_redirect_classes,
 }
 
 # Five hexadecimal digits of the checksum are four characters of its base32 form.
@@ -224,4 +254,7 @@ ORACLE: dict[str, str] = {
             CASE WHEN page_id <> original THEN original END AS refers_to
         FROM d JOIN o USING (h)
     """,
+    "op11_ball_kmeans": oracle.CODES,
+    "op12_angular_negatives": oracle.NEGATIVES,
+    "op13_redirect_classes": oracle.REDIRECTS,
 }

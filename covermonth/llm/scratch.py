@@ -6,15 +6,25 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where that is
-    unset, as in tests on one machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named in spark.checkpoint.dir, or that of setCheckpointDir.
+
+    A session on one machine that names none, as in tests, gets a temporary one. On a
+    cluster such a folder would be another one on each machine, so there it is an error.
+    """
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+        "spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="covermonth-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if context.getCheckpointDir():
+            return context.getCheckpointDir().rstrip("/")
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="covermonth-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
@@ -31,6 +41,10 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def read(self, name: str, schema: StructType) -> DataFrame:
+        """All tables saved in a folder of this name."""
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
     def drop(self, name: str) -> None:
         """Remove a table that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm

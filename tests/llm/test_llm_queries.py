@@ -38,7 +38,7 @@ def run(spark, name):
 
 
 def test_all_are_registered():
-    assert [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES] == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE) <= set(oracle_sql())
 
