@@ -33,6 +33,8 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--blank-ruc-is-null", action="store_true")
         job.add_argument("--drop-optional", action="store_true",
                          help="reports without PARENTESCO and FI")
+        job.add_argument("--by-log", action="store_true", default=None,
+                         help="publish by a commit log (always done on object stores)")
         if name == "layers":
             job.add_argument("--lake", required=True, help="folder of the layer tables")
             job.add_argument("--layers", nargs="+", default=layers.ALL_LAYERS,

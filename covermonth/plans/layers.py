@@ -51,6 +51,7 @@ class Options:
     """How sources are read and rows consolidated; see read_core and consolidate_core.
 
     ``fmt`` is the format of the layer tables, any that the session knows.
+    ``by_log`` publishes tables and reports by a commit log (None: on object stores).
     """
 
     always_clean: bool = False
@@ -61,6 +62,7 @@ class Options:
     blank_ruc_is_null: bool = False
     drop_optional: bool = False
     fmt: str = "parquet"
+    by_log: bool | None = None
 
     def read(self, spark: SparkSession, root: str) -> DataFrame:
         return read_core(spark, root, always_clean=self.always_clean, fail_fast=self.fail_fast,
@@ -96,7 +98,8 @@ def ingest_core(
     """Raw policy rows with their file name and load time; returns the count."""
     require_path(spark, root, "policy folder")
     df = read_core(spark, root, layout) if layout else options.read(spark, root)
-    return save_layer(with_load_time(df.drop("FOLDER")), lake, BRONZE, CORE, options.fmt)
+    return save_layer(with_load_time(df.drop("FOLDER")), lake, BRONZE, CORE, options.fmt,
+                      by_log=options.by_log)
 
 
 def ingest_claims(
@@ -111,7 +114,7 @@ def ingest_claims(
     parsed = with_load_time(read_workbooks(spark, root)).withColumn(
         _SKIPPED, F.col("ERROR").isNotNull())
     save_layer(parsed, lake, BRONZE, CLAIMS, options.fmt, partition_by=_SKIPPED,
-               check=lambda written, _: require_claims(written))
+               by_log=options.by_log, check=lambda written, _: require_claims(written))
     return load_claims(spark, lake, options.fmt).count()
 
 
@@ -133,7 +136,7 @@ def build_silver(
     else:
         raw = load_layer(spark, lake, BRONZE, source, options.fmt)
     df = options.consolidate(raw, source, run_date)
-    return save_layer(df, lake, SILVER, source, options.fmt)
+    return save_layer(df, lake, SILVER, source, options.fmt, by_log=options.by_log)
 
 
 def export_gold(
@@ -148,7 +151,7 @@ def export_gold(
     df = df.withColumn(_ROW, row)
     df = _in_document_order(df, _sort_ranges(df))
     path = f"{reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
-    return write_report(df, path, options.drop_optional)
+    return write_report(df, path, options.drop_optional, by_log=options.by_log)
 
 
 def _sort_ranges(reports: DataFrame) -> int:
@@ -235,7 +238,7 @@ def run_direct(
         path = f"{paths.reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
         if source == CORE:
             df = options.consolidate(options.read(spark, paths.core), source, run_date)
-            rows[source] = write_report(df, path, options.drop_optional)
+            rows[source] = write_report(df, path, options.drop_optional, by_log=options.by_log)
             continue
         # Workbooks are parsed once, into a table that is gone after the run, and checked
         # before a report is made of them.
@@ -245,7 +248,7 @@ def run_direct(
             parsed = spark.read.parquet(staged)
             require_claims(parsed)
             df = options.consolidate(claims_rows(parsed), source, run_date)
-            rows[source] = write_report(df, path, options.drop_optional)
+            rows[source] = write_report(df, path, options.drop_optional, by_log=options.by_log)
         finally:
             discard(spark, staged)
     return rows

@@ -53,6 +53,13 @@ def empty_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in _matching(spark, pattern) if s.getLen() == 0)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file."""
+    stream = _file_system(spark, path).create(_path(spark, path), True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
 def require_path(spark: SparkSession, path: str | None, what: str) -> None:
     if not path:
         raise ValueError(f"no {what} given")

@@ -10,6 +10,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
+from covermonth.sinks.commits import (
+    commit_version,
+    current_commit,
+    current_version,
+    has_commits,
+    is_object_store,
+    new_version,
+    sweep,
+)
 from covermonth.sinks.storage import discard, path_exists, publish, staging_path
 
 log = logging.getLogger(__name__)
@@ -55,11 +64,13 @@ def write_report(
     drop_optional: bool = False,
     row_group_rows: int = S.ROW_GROUP_ROWS_REPORT,
     max_rows_per_file: int = S.FILE_ROWS_REPORT,
+    by_log: bool | None = None,
 ) -> int:
     """Write a ZSTD Parquet report and return its number of rows.
 
-    The report is staged and put in place when complete; on failure, or if it
-    would be empty, an older report stays as it was. ``drop_optional`` leaves
+    The report is put in place when complete; on failure, or if it
+    would be empty, an older report stays as it was. ``by_log`` publishes it by
+    a commit log instead of a rename; see ``published``. ``drop_optional`` leaves
     out PARENTESCO and FI. A task that has more than ``max_rows_per_file`` rows
     writes several files.
     """
@@ -67,7 +78,7 @@ def write_report(
         df = df.drop(*S.CORE_OPTIONAL_COLUMNS)
     options = parquet_options(row_group_rows)
     options["maxRecordsPerFile"] = str(max_rows_per_file)
-    return _write_and_publish(df, path, "parquet", options, _check_row_count)
+    return _write_and_publish(df, path, "parquet", options, _check_row_count, by_log=by_log)
 
 
 def _check_row_count(written: DataFrame, rows: int) -> None:
@@ -79,8 +90,13 @@ def _check_row_count(written: DataFrame, rows: int) -> None:
 
 def _write_and_publish(
     df: DataFrame, path: str, fmt: str, options: dict, check=None, partition_by: str | None = None,
+    by_log: bool | None = None,
 ) -> int:
     spark = df.sparkSession
+    if by_log is None:
+        by_log = is_object_store(path) or has_commits(spark, path)
+    if by_log:
+        return _write_and_commit(df, path, fmt, options, check, partition_by)
     staged = staging_path(path)
     log.info("%s: %s", path, df.schema.simpleString())
     try:
@@ -97,13 +113,60 @@ def _write_and_publish(
     return rows
 
 
+def _write_and_commit(
+    df: DataFrame, path: str, fmt: str, options: dict, check=None, partition_by: str | None = None,
+    only_after: int | None = None,
+) -> int:
+    """Write a new version and publish it by one entry of the log.
+
+    What fails or is stopped before that entry leaves the old version for all
+    readers. ``only_after`` is the number of the commit that the new one must follow.
+    """
+    spark = df.sparkSession
+    version = new_version(path)
+    log.info("%s: %s", path, df.schema.simpleString())
+    rows = _write_counted(df, version, fmt, options, partition_by)
+    if rows == 0:
+        raise ValueError(f"no rows for {path}")
+    if check is not None:
+        check(spark.read.format(fmt).load(version), rows)
+    commit = commit_version(spark, path, version, rows, only_after)
+    log.info("%s: %d rows, commit %d", path, rows, commit.number)
+    sweep(spark, path)
+    return rows
+
+
+def replace_if_unchanged(df: DataFrame, path: str, commit: int, fmt: str = "parquet") -> int:
+    """Replace a table published by a log, if ``commit`` is still its last one (0: none).
+
+    For a table that is made from its own last version: if another writer
+    came first, CommitConflict is raised and nothing is lost.
+    """
+    return _write_and_commit(df, path, fmt, {}, only_after=commit)
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """Where the data of a report or table lies.
+
+    Tables are published by rename or, on object stores or once they have one, by a commit
+    log. In the second case the data of the last complete commit is meant.
+    """
+    return current_version(spark, path) if has_commits(spark, path) else path
+
+
+def last_commit(spark: SparkSession, path: str) -> int:
+    """Number of the last complete commit of a table, 0 if there is none."""
+    commit = current_commit(spark, path)
+    return commit.number if commit else 0
+
+
 def layer_path(lake: str, layer: str, table: str) -> str:
     return f"{lake.rstrip('/')}/{layer}/{table}"
 
 
 def save_layer(
     df: DataFrame, lake: str, layer: str, table: str, fmt: str = "parquet", check=None,
-    partition_by: str | None = None,
+    partition_by: str | None = None, by_log: bool | None = None,
 ) -> int:
     """Replace a layer table, schema included, and return its row count.
 
@@ -111,14 +174,17 @@ def save_layer(
     formats than Parquet must be set up in the session.
     """
     return _write_and_publish(
-        df, layer_path(lake, layer, table), fmt, {}, check, partition_by)
+        df, layer_path(lake, layer, table), fmt, {}, check, partition_by, by_log)
 
 
 def layer_exists(spark: SparkSession, lake: str, layer: str, table: str) -> bool:
-    return path_exists(spark, layer_path(lake, layer, table))
+    path = layer_path(lake, layer, table)
+    if has_commits(spark, path):
+        return current_commit(spark, path) is not None
+    return path_exists(spark, path)
 
 
 def load_layer(
     spark: SparkSession, lake: str, layer: str, table: str, fmt: str = "parquet"
 ) -> DataFrame:
-    return spark.read.format(fmt).load(layer_path(lake, layer, table))
+    return spark.read.format(fmt).load(published(spark, layer_path(lake, layer, table)))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.sinks.storage import list_names, require_path
+from covermonth.sinks.tables import published
 
 
 def report_paths(spark: SparkSession, folder: str) -> list[str]:
@@ -20,6 +21,11 @@ def report_paths(spark: SparkSession, folder: str) -> list[str]:
     return [f"{folder.rstrip('/')}/{name}" for name in names]
 
 
+def open_report(spark: SparkSession, path: str) -> DataFrame:
+    """A report, whichever way it was published."""
+    return spark.read.parquet(published(spark, path))
+
+
 def read_reports(spark: SparkSession, folder: str, row_number: str | None = None) -> DataFrame:
     """All reports together; columns that some of them lack become NULL.
 
@@ -27,7 +33,7 @@ def read_reports(spark: SparkSession, folder: str, row_number: str | None = None
     instead of merging the schemas of all their files. ``row_number`` names a
     column to add with the number of each row within its file.
     """
-    parts = [spark.read.parquet(path) for path in report_paths(spark, folder)]
+    parts = [open_report(spark, path) for path in report_paths(spark, folder)]
     if row_number is not None:
         parts = [p.withColumn(row_number, F.col("_metadata.row_index")) for p in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -35,7 +41,7 @@ def read_reports(spark: SparkSession, folder: str, row_number: str | None = None
 
 def check_report(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """The report, if it has as many columns as given and any row."""
-    df = spark.read.parquet(path)
+    df = open_report(spark, path)
     if len(df.columns) != len(columns):
         raise ValueError(
             f"wrong number of columns in {path}: {len(df.columns)}, expected {len(columns)}")
@@ -50,4 +56,5 @@ def read_consolidated(spark: SparkSession, folder: str) -> DataFrame:
     paths = report_paths(spark, folder)
     for path in paths:
         check_report(spark, path, S.CONSOLIDATED_COLUMNS)
-    return spark.read.parquet(*paths).select(*S.CONSOLIDATED_COLUMNS)
+    found = [published(spark, path) for path in paths]
+    return spark.read.parquet(*found).select(*S.CONSOLIDATED_COLUMNS)

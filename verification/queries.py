@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,7 +30,15 @@ from covermonth.operators.reports import add_last_digit, union_bases
 from covermonth.operators.shift import shift_repair, strip_all
 from covermonth.plans import layers
 from covermonth.plans.barrier import stage_barrier
-from covermonth.sinks.tables import load_layer, write_report
+from covermonth.sinks.commits import CommitConflict, commit_version, new_version
+from covermonth.sinks.storage import write_text
+from covermonth.sinks.tables import (
+    last_commit,
+    load_layer,
+    published,
+    replace_if_unchanged,
+    write_report,
+)
 from covermonth.sources.csv_files import audit_csv_files, core_pattern, read_core
 from covermonth.sources.parquet_files import check_report, read_consolidated, report_paths
 from covermonth.sources.workbooks import claims_rows, read_workbooks, skipped_sheets
@@ -323,6 +332,53 @@ def parquet_width_check(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
+_PUBLISHED = [("old", 0), ("failed", 0), ("not committed", 0), ("cut commit", 0),
+              ("concurrent", 1), ("loser tried again", 2), ("new", 3)]
+
+
+@register(" UNION ALL ".join(
+    f"""SELECT '{stage}' STAGE, count(*) N, cast(sum(o_orderkey) AS bigint) KEYS
+    FROM orders WHERE o_orderkey % 4 = {part}""" for stage, part in _PUBLISHED))
+def publish_replaces(spark: SparkSession, sf: str) -> DataFrame:
+    """What a reader of a table sees after each thing that can happen to its writers."""
+    path = f"{scratch_folder(spark)}/table.parquet"
+    orders = inputs.table(spark, sf, "orders").select("o_orderkey")
+    parts = [orders.where(F.col("o_orderkey") % 4 == i) for i in range(4)]
+    seen = []
+
+    def look(stage: str) -> None:
+        seen.append(spark.read.parquet(published(spark, path)).agg(
+            F.count(F.lit(1)).alias("N"), F.sum("o_orderkey").cast("bigint").alias("KEYS"))
+            .select(F.lit(stage).alias("STAGE"), "N", "KEYS"))
+
+    write_report(parts[0], path, by_log=True)
+    look("old")
+    fails = F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("boom"))).cast("bigint")
+    try:
+        write_report(parts[3].select(fails.alias("o_orderkey")), path, by_log=True)
+    except Exception as error:
+        if "boom" not in str(error):
+            raise
+    look("failed")
+    first, second = new_version(path), new_version(path)
+    parts[1].write.parquet(first)
+    parts[2].write.parquet(second)
+    look("not committed")
+    start = last_commit(spark, path)
+    write_text(spark, f"{path}/_commits/{start + 1:020}.json", '{"number": ')
+    look("cut commit")
+    commit_version(spark, path, first, parts[1].count(), start)
+    try:
+        commit_version(spark, path, second, parts[2].count(), start)
+    except CommitConflict:
+        look("concurrent")
+    replace_if_unchanged(parts[2], path, last_commit(spark, path))
+    look("loser tried again")
+    write_report(parts[3], path, by_log=True)
+    look("new")
+    return reduce(DataFrame.unionAll, seen)
+
+
 # --- source files --------------------------------------------------------
 
 def _raw_columns(df: DataFrame) -> DataFrame:
