@@ -23,36 +23,12 @@ def _children(spark: SparkSession, path: str) -> list:
     return list(_file_system(spark, path).listStatus(_path(spark, path)))
 
 
-def list_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly in ``path``."""
-    return sorted(s.getPath().getName() for s in _children(spark, path) if s.isDirectory())
-
-
 def list_names(spark: SparkSession, path: str, suffix: str) -> list[str]:
     """Names of the files and folders in ``path`` that end in ``suffix``."""
     names = [s.getPath().getName() for s in _children(spark, path)]
     return sorted(n for n in names if n.endswith(suffix) and not n.startswith(("_", ".")))
 
 
-def _matching(spark: SparkSession, pattern: str):
-    """Files that match a glob pattern."""
-    return _file_system(spark, pattern).globStatus(_path(spark, pattern)) or []
-
-
-def count_files(spark: SparkSession, pattern: str) -> int:
-    return len(_matching(spark, pattern))
-
-
-def matching_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths of the files that match a glob pattern."""
-    return sorted(s.getPath().toString() for s in _matching(spark, pattern))
-
-
-def empty_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files of length zero, which Spark leaves out when it lists its input."""
-    return sorted(s.getPath().toString() for s in _matching(spark, pattern) if s.getLen() == 0)
-
-
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file."""
     stream = _file_system(spark, path).create(_path(spark, path), True)

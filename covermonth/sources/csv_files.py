@@ -1,8 +1,10 @@
 """Policy CSV folders: file audit, line repair and reading.
 
 Files come from many hands: delimiter, encoding, width and quoting differ from
-file to file. One aggregation over all lines finds the layout of each file;
-files of the same layout are then read together, split at any line. Sources
+file to file. The first line of each file tells its delimiter and width; it is read
+by the inventory of the folders, which also finds the files that Spark would not
+see. One scan then reads all files, split at any line, and every line meets the layout of its
+file. Encoding and quoting are looked at line by line. Sources
 are never rewritten: damaged lines are repaired while they are read.
 """
 
@@ -10,26 +12,24 @@ from __future__ import annotations
 
 import logging
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.plans.barrier import stage_barrier
-from covermonth.sinks.storage import (
-    count_files,
-    empty_files,
-    list_folders,
-    matching_files,
-)
+from covermonth.sources.inventory import EMPTY, HIDDEN, MARK, OTHER, READ, source_files
+from covermonth.sources.quoted_records import quoted_records
 
 log = logging.getLogger(__name__)
 
 # Separator that no line contains, so that a line is read as one field.
 _NO_SEPARATOR = "\x01\x02"
 _LISTED_FILES = 20
+# Files whose layouts are broadcast, some hundred bytes each; more are met by a shuffle.
+_BROADCAST_FILES = 500_000
 
 
 @dataclass(frozen=True)
@@ -40,8 +40,7 @@ class CsvLayout:
     by one. ``wrapped``: lines may stand in outer quotes, or have an odd number of
     quotes; each is looked at by itself.
     ``repair_all``: stray and doubled quotes are repaired in every line.
-    ``quoted_newlines``: quoted fields contain line breaks, so that a file
-    cannot be split and is read as a whole by one task. This is never guessed
+    ``quoted_newlines``: quoted fields contain line breaks. This is never guessed
     from the data: one stray quote would swallow all lines after it.
     """
 
@@ -67,17 +66,62 @@ def _decode_latin(text: Column) -> Column:
     return F.when(is_ascii | ~F.is_valid_utf8(raw), text).otherwise(raw)
 
 
-def _is_record(line: Column, delimiter: str, width: int) -> Column:
-    """Whether the quotes around a line belong to its first and last field.
+def _pattern(delimiter: str | Column, make: Callable[[str], str]) -> Column:
+    """A regular expression for the delimiter; of a column, for that of each row."""
+    if isinstance(delimiter, str):
+        return F.lit(make(_escaped(delimiter)))
+    return F.coalesce(*[F.when(delimiter == d, F.lit(make(_escaped(d)))) for d in S.CSV_DELIMITERS])
 
-    Either the quoting is without fault and gives several fields, or all fields
-    stand in quotes, some with a stray quote inside. Else the line as a whole
-    was put in quotes.
-    """
-    d = "\\" + delimiter if delimiter == "|" else delimiter
-    field = f'(?:"(?:[^"]|"")*+"|[^"{delimiter}]*+)'
-    all_quoted = F.regexp_count(line, F.lit(f'"{d}(?=")')) == width - 1
-    return line.rlike(f"^{field}(?:{d}{field})+$") | (all_quoted & ~line.startswith('"""'))
+
+def _escaped(delimiter: str) -> str:
+    return "\\" + delimiter if delimiter == "|" else delimiter
+
+
+_Steps = list[tuple[str, Callable[[Callable[[str], Column]], Column]]]
+
+
+def _cleaning(delimiter: str | Column, width: int | Column, every: bool) -> _Steps:
+    """The steps of ``clean_line``: the name of each result, and how to get it from those before."""
+    def matches(column: Column, make: Callable[[str], str]) -> Column:
+        return F.regexp_substr(column, _pattern(delimiter, make)).isNotNull()
+
+    def field(d: str) -> str:
+        return f'(?:"(?:[^"]|"")*+"|[^"{d}]*+)'
+
+    def bounded(get):
+        return get("LINE").startswith('"') & get("LINE").endswith('"')
+
+    def is_record(get):
+        # The quotes around a line belong to its first and last field if the quoting is
+        # without fault and gives several fields, or all fields stand in quotes, some
+        # with a stray quote inside. Else the line as a whole was put in quotes.
+        line = get("LINE")
+        faultless = matches(line, lambda d: f"^{field(d)}(?:{d}{field(d)})+$")
+        all_quoted = F.regexp_count(line, _pattern(delimiter, lambda d: f'"{d}(?=")')) == width - 1
+        return get("_BOUNDED") & (faultless | (all_quoted & ~line.startswith('"""')))
+
+    def plain(get):
+        line = get("LINE")
+        inner = F.substring(line, F.lit(2), F.length(line) - 2)
+        return F.when(get("_BOUNDED") & ~get("_RECORD"), inner).otherwise(line)
+
+    def single(get):
+        pattern = _pattern(delimiter, lambda d: f'(^|{d})""(.+?)""(?={d}|$)')
+        doubled = F.regexp_replace(get("_PLAIN"), pattern, F.lit('$1"$2"'))
+        return F.when(get("_RECORD"), get("_PLAIN")).otherwise(doubled)
+
+    def repaired(get):
+        pattern = _pattern(delimiter, lambda d: f'(?<=[^"{d}])"(?=[^"{d}])')
+        stray = F.regexp_replace(get("_SINGLE"), pattern, F.lit("'"))
+        return F.when(get("_BOUNDED") | F.lit(every), stray).otherwise(get("_PLAIN"))
+
+    def closed(get):
+        pattern = _pattern(delimiter, lambda d: f'(^|{d})"(?!(?:[^"]|"")*+"(?:{d}|$))')
+        found = F.regexp_replace(get("_REPAIRED"), pattern, F.lit("$1'"))
+        return F.when(_has_odd_quotes(get("_REPAIRED")), found).otherwise(get("_REPAIRED"))
+
+    return [("_BOUNDED", bounded), ("_RECORD", is_record), ("_PLAIN", plain), ("_SINGLE", single),
+            ("_REPAIRED", repaired), ("LINE", closed)]
 
 
 def clean_line(
@@ -90,18 +134,27 @@ def clean_line(
     keep their quotes. Lines not in quotes are repaired if ``every`` one is to be.
     A quote that opens a field and is closed nowhere becomes an apostrophe in any line.
     """
-    d = "\\" + delimiter if delimiter == "|" else delimiter
-    bounded = line.startswith('"') & line.endswith('"')
-    record = _is_record(line, delimiter, width)
-    plain = F.when(bounded & ~record, F.substring(line, F.lit(2), F.length(line) - 2))
-    plain = plain.otherwise(line)
-    doubled = F.regexp_replace(plain, f'(^|{d})""(.+?)""(?={d}|$)', '$1"$2"')
-    repaired = F.when(bounded & record, plain).otherwise(doubled)
-    repaired = F.regexp_replace(repaired, f'(?<=[^"{delimiter}])"(?=[^"{delimiter}])', "'")
-    repaired = F.when(bounded | F.lit(every), repaired).otherwise(plain)
-    opened = F.regexp_replace(repaired, f'(^|{d})"(?!(?:[^"]|"")*+"(?:{d}|$))', "$1'")
-    repaired = F.when(_has_odd_quotes(repaired), opened).otherwise(repaired)
-    return F.when(line.contains('"'), repaired).otherwise(line)
+    results = {"LINE": line}
+    for name, step in _cleaning(delimiter, width, every):
+        results[name] = step(results.__getitem__)
+    return F.when(line.contains('"'), results["LINE"]).otherwise(line)
+
+
+def clean_lines(
+    lines: DataFrame, delimiter: str | Column, width: int | Column, every: bool
+) -> DataFrame:
+    """``clean_line`` for LINE, each step a projection of its own.
+
+    As one expression each step would name the one before several times, and
+    the regular expressions would be evaluated over and over.
+    """
+    columns = lines.columns
+    has_quote = F.col("LINE").contains('"')
+    lines = lines.withColumn("_QUOTED", has_quote)
+    for name, step in _cleaning(delimiter, width, every):
+        otherwise = F.col("LINE") if name not in ("_BOUNDED", "_RECORD") else F.lit(False)
+        lines = lines.withColumn(name, F.when(F.col("_QUOTED"), step(F.col)).otherwise(otherwise))
+    return lines.select(*columns)
 
 
 def _has_odd_quotes(line: Column) -> Column:
@@ -182,17 +235,22 @@ def audit_csv_files(spark: SparkSession, paths: list[str]) -> DataFrame:
         (~F.array_contains("utf8", False)).alias("IS_UTF8"),
         decode_bytes(F.col("header")).alias("HEADER"),
     ))
+    return _with_layout(per_file)
+
+
+def _with_layout(files: DataFrame) -> DataFrame:
+    """Files with DELIMITER and WIDTH, from their HEADER."""
     # Names in quotes are cut out, unless the header as a whole stands in quotes.
     header = F.trim("HEADER")
     names = F.regexp_replace(header, '"[^"]*"', "")
     inner = F.regexp_replace(
         F.substring(header, F.lit(2), F.length(header) - 2), '""[^"]*""', "")
     whole = header.startswith('"') & (names == "")
-    per_file = per_file.withColumn("_names", F.when(whole, inner).otherwise(names))
-    per_file = per_file.withColumn("DELIMITER", _delimiter_of(F.col("_names")))
+    files = files.withColumn("_names", F.when(whole, inner).otherwise(names))
+    files = files.withColumn("DELIMITER", _delimiter_of(F.col("_names")))
     width = F.octet_length("_names") - F.octet_length(
         F.replace("_names", "DELIMITER", F.lit(""))) + 1
-    return per_file.withColumn("WIDTH", width).drop("_names")
+    return files.withColumn("WIDTH", width).drop("_names")
 
 
 def _report(files: DataFrame, message: str) -> None:
@@ -208,73 +266,49 @@ def _literal_path(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def core_layouts(
-    spark: SparkSession, root: str, always_clean: bool = False, quoted_newlines: bool = False
-) -> list[tuple[CsvLayout, list[str]]]:
-    """The layouts under ``root`` and the files of each.
-
-    Fails if a file has no data row or a width other than 18 or 20. A single
-    layout stands for all files. Otherwise the driver receives one path per
-    file, no more than its file index holds.
-    """
-    _refuse_hidden_files(spark, root)
-    found = count_files(spark, core_pattern(root))
-    if not found:
-        raise FileNotFoundError(f"no CSV files in the subfolders of {root}")
-    audit = audit_csv_files(spark, [core_pattern(root)]).cache()
-    try:
-        if audit.count() != found:
-            # A file without a single byte has no line to be audited.
-            empty = empty_files(spark, core_pattern(root))
-            raise ValueError(
-                f"{len(empty)} empty CSV files:\n" + "\n".join(empty[:_LISTED_FILES]))
-        _report(audit.where("LINES < 2").select("PATH"), "CSV files without data rows:")
-        full = len(S.CORE_COLUMNS)
-        allowed = [full - len(S.CORE_OPTIONAL_COLUMNS), full]
-        _report(
-            audit.where(~F.col("WIDTH").isin(allowed)).select("PATH", "WIDTH", "HEADER"),
-            f"CSV files without {allowed} columns (expected {S.CORE_COLUMNS}):",
-        )
-        _warn_of_empty_folders(spark, root, audit)
-        wrapped = F.lit(True) if always_clean else F.col("QUOTED_LINES") > 0
-        layout = F.struct(
-            "DELIMITER", "WIDTH", "IS_UTF8",
-            (wrapped & F.lit(not quoted_newlines)).alias("WRAPPED"),
-            F.lit(quoted_newlines).alias("QUOTED_NEWLINES"),
-            F.lit(always_clean).alias("REPAIR_ALL"),
-        )
-        files = audit.select(layout.alias("layout"), "PATH")
-        layouts = [CsvLayout(*row.layout) for row in files.select("layout").distinct().collect()]
-        if len(layouts) == 1:
-            return [(layouts[0], [core_pattern(root)])]
-        paths = {layout: [] for layout in layouts}
-        for row in files.toLocalIterator():
-            paths[CsvLayout(*row.layout)].append(_literal_path(row.PATH))
-        return list(paths.items())
-    finally:
-        audit.unpersist()
-
+def core_files(spark: SparkSession, root: str) -> DataFrame:
+    """Inventory of the folders of ``root``, with HEADER, DELIMITER and WIDTH of CSV files."""
+    files = source_files(spark, root, (".csv",), head=True)
+    header = decode_bytes(F.col("HEAD").cast("string"))
+    return _with_layout(files.withColumn("HEADER", header).drop("HEAD"))
 
-def _refuse_hidden_files(spark: SparkSession, root: str) -> None:
-    """Spark leaves out files that start with _ or a dot; they may not go unseen."""
-    hidden = matching_files(spark, f"{_literal_path(root.rstrip('/'))}/*/[_.]*.csv")
-    if hidden:
-        raise ValueError(f"{len(hidden)} CSV files start with _ or a dot, rename them:\n"
-                         + "\n".join(hidden[:_LISTED_FILES]))
 
+def require_core_files(files: DataFrame, root: str) -> None:
+    """Fail if a CSV file cannot be read as it is; warn of what is left aside.
 
-def _warn_of_empty_folders(spark: SparkSession, root: str, files: DataFrame) -> None:
-    used = {row[0] for row in files.select("FOLDER").distinct().collect()}
-    for folder in list_folders(spark, root):
-        if folder not in used:
-            log.warning("no CSV files in folder %s, skipped", folder)
+    Files that start with _ or a dot, empty ones, ones without data rows and ones
+    with a width other than 18 or 20 are errors. Other files are only named.
+    """
+    csv = files.where(~F.col("KIND").isin(OTHER, MARK))
+    if csv.isEmpty():
+        raise FileNotFoundError(f"no CSV files in the subfolders of {root}")
+    _report(files.where(F.col("KIND") == HIDDEN).select("PATH"),
+            "CSV files start with _ or a dot, rename them:")
+    _report(files.where(F.col("KIND") == EMPTY).select("PATH"), "empty CSV files:")
+    _report(files.where(~F.col("HAS_ROWS") | (F.trim("HEADER") == "")).select("PATH"),
+            "CSV files without data rows:")
+    full = len(S.CORE_COLUMNS)
+    allowed = [full - len(S.CORE_OPTIONAL_COLUMNS), full]
+    _report(
+        files.where((F.col("KIND") == READ) & ~F.col("WIDTH").isin(allowed))
+        .select("PATH", "WIDTH", "HEADER"),
+        f"CSV files without {allowed} columns (expected {S.CORE_COLUMNS}):",
+    )
+    without = files.groupBy("FOLDER").agg(
+        F.count_if(F.col("KIND") == READ).alias("csv"),
+        F.count_if(F.col("KIND") == OTHER).alias("other"))
+    for row in without.where("csv = 0 or other > 0").limit(_LISTED_FILES).collect():
+        if row.csv == 0:
+            log.warning("no CSV files in folder %s, skipped", row.FOLDER)
+        else:
+            log.warning("%d other files in folder %s, skipped", row.other, row.FOLDER)
 
 
 # --- reading -------------------------------------------------------------
 
 def core_pattern(root: str) -> str:
     """CSV files in the subfolders of ``root``."""
-    return f"{_literal_path(root.rstrip('/'))}/*/[^._]*.csv"
+    return f"{_literal_path(root.rstrip('/'))}/*/[^._]*.[cC][sS][vV]"
 
 
 def parse_lines(
@@ -314,21 +348,56 @@ def read_layout(
 ) -> DataFrame:
     """Policy rows of files with one layout, as strings, with FILE and FOLDER."""
     columns = S.CORE_COLUMNS[: layout.width]
+    if layout.utf8 and not layout.wrapped and not layout.quoted_newlines:
+        df = _read_clean(spark, paths, layout, columns, fail_fast)
+        missing = {c: F.lit(None).cast("string") for c in S.CORE_COLUMNS[layout.width:]}
+        df = df.withColumns(missing) if missing else df
+        return df.select(*S.CORE_COLUMNS, "FILE", "FOLDER")
+    lines = _lines(spark, paths, layout.quoted_newlines)
+    if layout.wrapped and not layout.quoted_newlines:
+        lines = clean_lines(lines, layout.delimiter, layout.width, layout.repair_all)
+    return _parse_layouts(lines, [(layout.delimiter, layout.width)], fail_fast, layout.quoted_newlines)
+
+
+def _lines(spark: SparkSession, paths: list[str], quoted_newlines: bool) -> DataFrame:
+    """LINE, FILE and FOLDER of all records, still as text."""
+    if not quoted_newlines:
+        return raw_lines(spark, paths)
+    records = quoted_records(spark, paths)
+    line = decode_bytes(F.col("RECORD"))
+    return records.select(line.alias("LINE"), *_lineage(F.col("uri")))
+
+
+def _parse_layouts(
+    lines: DataFrame, layouts: list[tuple[str, int]], fail_fast: bool, quoted_newlines: bool
+) -> DataFrame:
+    """Policy rows from LINE; of several layouts, DELIMITER and WIDTH say which is each line's."""
     # Where fields may hold line breaks, a record without all its fields is the sign
     # of a quote that was never closed.
-    fail_fast = fail_fast or layout.quoted_newlines
-    if layout.quoted_newlines or (layout.utf8 and not layout.wrapped):
-        df = _read_clean(spark, paths, layout, columns, fail_fast)
-    else:
-        lines = raw_lines(spark, paths)
-        if layout.wrapped:
-            line = clean_line(
-                F.col("LINE"), layout.delimiter, layout.width, layout.repair_all)
-            lines = lines.withColumn("LINE", line)
-        df = parse_lines(lines, columns, layout.delimiter, fail_fast)
-    missing = {c: F.lit(None).cast("string") for c in S.CORE_COLUMNS[layout.width:]}
-    df = df.withColumns(missing) if missing else df
-    return df.select(*S.CORE_COLUMNS, "FILE", "FOLDER")
+    fail_fast = fail_fast or quoted_newlines
+    options = {"escape": '"', "mode": "FAILFAST" if fail_fast else "PERMISSIVE"}
+    if quoted_newlines:
+        options |= {"multiLine": "true", "lineSep": "\n"}
+    widths = sorted({width for _, width in layouts})
+    for width in widths:
+        ddl = ", ".join(f"`{c}` string" for c in S.CORE_COLUMNS[:width])
+        parsed = F.lit(None).cast(f"struct<{ddl.replace(' string', ': string')}>")
+        for delimiter, of_width in layouts:
+            if of_width == width:
+                row = F.from_csv("LINE", ddl, {"sep": delimiter, **options})
+                parsed = row if len(layouts) == 1 else F.when(
+                    (F.col("DELIMITER") == delimiter) & (F.col("WIDTH") == width), row
+                ).otherwise(parsed)
+        lines = lines.withColumn(f"_ROW{width}", parsed)
+    # A generator keeps later filters from parsing the lines once more.
+    lines = stage_barrier(lines.select("FILE", "FOLDER", *[f"_ROW{width}" for width in widths]))
+
+    def value(column: str) -> Column:
+        found = [F.col(f"_ROW{width}")[column] for width in widths
+                 if column in S.CORE_COLUMNS[:width]]
+        return (F.coalesce(*found) if found else F.lit(None).cast("string")).alias(column)
+
+    return lines.select(*[value(c) for c in S.CORE_COLUMNS], "FILE", "FOLDER")
 
 
 def read_core(
@@ -341,13 +410,28 @@ def read_core(
 ) -> DataFrame:
     """All policy rows under ``root``/folder/file.csv, as strings.
 
-    Without ``layout``, the files are audited first, which reads them once
-    more. ``always_clean`` repairs the quoting of every line.
-    ``quoted_newlines`` says that quoted fields may hold line breaks.
+    Without ``layout``, the first line of each file is read before, for its layout. All files
+    are read by one scan, whatever their layouts. ``always_clean`` repairs the
+    quoting of every line. ``quoted_newlines`` says that quoted fields may hold line
+    breaks; their files are split like others.
     """
     if layout is not None:
-        _refuse_hidden_files(spark, root)
+        hidden = source_files(spark, root, (".csv",)).where(F.col("KIND") == HIDDEN)
+        _report(hidden.select("PATH"), "CSV files start with _ or a dot, rename them:")
         return read_layout(spark, [core_pattern(root)], layout, fail_fast)
-    layouts = core_layouts(spark, root, always_clean, quoted_newlines)
-    parts = [read_layout(spark, paths, layout, fail_fast) for layout, paths in layouts]
-    return reduce(DataFrame.unionByName, parts)
+    files = core_files(spark, root).cache()
+    require_core_files(files, root)
+    readable = files.where(F.col("KIND") == READ)
+    layouts = [tuple(row) for row in readable.select("DELIMITER", "WIDTH").distinct().collect()]
+    lines = _lines(spark, [core_pattern(root)], quoted_newlines)
+    if len(layouts) == 1:
+        delimiter, width = layouts[0]
+    else:
+        delimiter, width = F.col("DELIMITER"), F.col("WIDTH")
+        of_file = readable.select("FOLDER", "FILE", "DELIMITER", "WIDTH")
+        if readable.count() <= _BROADCAST_FILES:
+            of_file = F.broadcast(of_file)
+        lines = lines.join(of_file, ["FOLDER", "FILE"])
+    if not quoted_newlines:
+        lines = clean_lines(lines, delimiter, width, always_clean)
+    return _parse_layouts(lines, layouts, fail_fast, quoted_newlines)

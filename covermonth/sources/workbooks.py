@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
-from covermonth.sinks.storage import count_files, empty_files
+from covermonth.sources.inventory import EMPTY, HIDDEN, MARK, OTHER, source_files
 
 log = logging.getLogger(__name__)
 
@@ -152,7 +152,7 @@ def _sheet_rows(book: _Workbook, part: str) -> Iterator[list[str | None]]:
 def _workbook_rows(path: str, content: bytes) -> Iterator[list[str | None]]:
     nothing = [None] * len(S.CLAIMS_COLUMNS)
     name = path.rsplit("/", 1)[-1]
-    if not name.endswith(".xlsx"):
+    if not name.lower().endswith(".xlsx"):
         yield [*nothing, name, None, "format not supported, save as .xlsx"]
         return
     try:
@@ -194,22 +194,37 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield _to_batch(rows)
 
 
+def workbook_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Inventory of a folder of workbooks."""
+    return source_files(spark, folder, (".xlsx", ".xls"), depth=0)
+
+
+def require_workbooks(files: DataFrame, folder: str) -> None:
+    """Fail if there are no workbooks, or some that cannot be read as they are."""
+    counts = {row.KIND: row["count"] for row in files.groupBy("KIND").count().collect()}
+    if not set(counts) - {OTHER, MARK}:
+        raise FileNotFoundError(f"no workbooks in {folder}")
+    for kind, message in ((EMPTY, "empty workbooks"),
+                          (HIDDEN, "workbooks start with _ or a dot, rename them")):
+        if kind in counts:
+            names = files.where(F.col("KIND") == kind).select("PATH").limit(_LISTED_FILES).collect()
+            raise ValueError(f"{counts[kind]} {message}: {[row.PATH for row in names]}")
+    if OTHER in counts:
+        log.warning("%d other files in %s, skipped", counts[OTHER], folder)
+
+
 def read_workbooks(spark: SparkSession, folder: str) -> DataFrame:
     """Claims rows of all workbooks in ``folder``, and rows for skipped sheets.
 
     Columns: the six claims columns, FILE, SHEET and ERROR. ERROR is NULL for
     claims rows. A workbook without any claim has a row of its own. A sheet
-    that breaks off is skipped as a whole. A file without a single byte is an error.
+    that breaks off is skipped as a whole. A file without a single byte is an error, as is a
+    workbook whose name starts with _ or a dot, which Spark would not see.
     """
-    pattern = f"{folder.rstrip('/')}/*.{{xlsx,xls}}"
-    if not count_files(spark, pattern):
-        raise FileNotFoundError(f"no workbooks in {folder}")
-    empty = empty_files(spark, pattern)
-    if empty:
-        raise ValueError(f"empty workbooks: {empty}")
+    require_workbooks(workbook_files(spark, folder), folder)
     books = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.{xlsx,xls}")
+        .option("pathGlobFilter", "*.{[xX][lL][sS][xX],[xX][lL][sS]}")
         .load(folder)
         .select("path", "content")
     )

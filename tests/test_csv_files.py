@@ -12,11 +12,14 @@ from covermonth.sources.csv_files import (
     CsvLayout,
     audit_csv_files,
     clean_line,
+    core_files,
     core_pattern,
     parse_lines,
     raw_lines,
     read_core,
 )
+from covermonth.sources.inventory import FIRST_BLOCK, unread_files
+from covermonth.sources.quoted_records import quoted_records
 
 HEADER = ",".join(S.CORE_COLUMNS)
 
@@ -210,3 +213,117 @@ def test_clean_line(values):
                   lambda x: clean_line(x, width=3)) == [
         '"a","","O\'X"', '"a","b, c",""', '"a","b",c', "a,'b"]
     assert values(['"a|""b|c""|d"'], lambda x: clean_line(x, "|")) == ['a|"b|c"|d']
+
+
+# --- inventory -----------------------------------------------------------
+
+def test_inventory_names_every_file(spark, tmp_path):
+    write(tmp_path, "a ñ+%[1]", "1.csv", lines_of(line(1)))
+    write(tmp_path, "a ñ+%[1]", "B.CSV", lines_of(line(2)))
+    write(tmp_path, "a ñ+%[1]", ".2.csv", lines_of(line(3)))
+    write(tmp_path, "b", "_3.Csv", lines_of(line(4)))
+    write(tmp_path, "b", "nothing.csv", "")
+    write(tmp_path, "b", "notes.txt", "x")
+    write(tmp_path, "b", ".3.csv.crc", "x")
+    (tmp_path / "c").mkdir()
+    found = {r.FILE: r for r in core_files(spark, str(tmp_path)).collect()}
+    assert {name: r.KIND for name, r in found.items()} == {
+        "1.csv": "read", "B.CSV": "read", ".2.csv": "hidden", "_3.Csv": "hidden",
+        "nothing.csv": "empty", "notes.txt": "other", ".3.csv.crc": "mark"}
+    assert found["1.csv"].HEADER == HEADER and found["1.csv"].WIDTH == 20
+    assert found["1.csv"].FOLDER == "a ñ+%[1]"
+
+
+def test_upper_case_suffixes_are_read(spark, tmp_path):
+    write(tmp_path, "a", "B.CSV", lines_of(line(1)))
+    write(tmp_path, "a", "c.Csv", lines_of(line(2)))
+    df = read_core(spark, str(tmp_path))
+    assert names(df) == {"1": "ANA", "2": "ANA"}
+    assert unread_files(core_files(spark, str(tmp_path)), df).collect() == []
+    assert unread_files(core_files(spark, str(tmp_path)), df.where("ID = '1'")).count() == 1
+
+
+def test_only_the_first_block_is_read_for_the_layout(spark, tmp_path):
+    for n in range(3):
+        write(tmp_path, "a", f"{n}.csv", lines_of(*[line(i) for i in range(20_000)]))
+    files = core_files(spark, str(tmp_path)).collect()
+    assert all(r.BYTES > 10 * FIRST_BLOCK and r.BYTES_READ == FIRST_BLOCK for r in files)
+
+
+@pytest.mark.parametrize("text,has_rows,header", [
+    ("a,b", False, "a,b"), ("a,b\n", False, "a,b"), ("a,b\r\n \n\t", False, "a,b"), ("a,b\rc", True, "a,b"),
+    ("a" * 200_000 + "\nb", True, "a" * 200_000), ("a\n" + "\n" * 200_000, False, "a"),
+    ("a\n" + " \n" * 200_000 + "b", True, "a"), ("\n\nb", True, "")])
+def test_first_lines(spark, tmp_path, text, has_rows, header):
+    write(tmp_path, "a", "1.csv", text)
+    (row,) = core_files(spark, str(tmp_path)).collect()
+    assert (row.HAS_ROWS, row.HEADER) == (has_rows, header)
+
+
+def test_one_scan_for_all_layouts(spark, tmp_path):
+    n = 0
+    for sep in ",;\t|":
+        for width in (18, 20):
+            header = sep.join(S.CORE_COLUMNS[:width])
+            write(tmp_path, f"f{n}", "1.csv", lines_of(line(n, sep=sep, width=width), header=header))
+            n += 1
+    df = read_core(spark, str(tmp_path))
+    assert len(names(df)) == 8
+    assert {r.FI for r in df.where("ID % 2 = 0").collect()} == {None}
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan csv") == 1
+
+
+# --- line breaks in fields -----------------------------------------------
+
+def record_fields(i):
+    """Fields with line breaks, quotes and delimiters, of sizes from none to more than a split."""
+    return [str(i), 'x""y' if i % 3 == 0 else "", "\n" * (i % 4), "a,\nb\r\nc" * (i % 5),
+            "long\n" * (300 if i % 17 == 0 else 0)]
+
+
+@pytest.mark.parametrize("split", ["300", "1000", "7000", "128m"])
+def test_records_are_the_same_at_any_split_size(spark, tmp_path, split):
+    expected = {}
+    for f in range(3):
+        rows = []
+        for i in range(120):
+            fields = ",".join(f'"{x}"' for x in record_fields(i + f))
+            rows.append(fields)
+        end = "\r\n" if f == 1 else "\n"
+        (tmp_path / f"{f}.csv").write_bytes(
+            ('"he""ad\ner",b' + end + end.join(rows) + (end if f else "")).encode())
+        for r in rows:
+            expected[r] = expected.get(r, 0) + 1
+    setting = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, split)
+        df = quoted_records(spark, [f"{tmp_path}/*.csv"])
+        found = {}
+        for row in df.collect():
+            text = row.RECORD.removesuffix("\r")
+            found[text] = found.get(text, 0) + 1
+        assert found == expected
+        if split == "1000":
+            assert df.rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.set(setting, old)
+
+
+def test_policy_rows_with_line_breaks_are_read_in_splits(spark, tmp_path):
+    rows = [line(i, f'"ANA\n""{i}"", X"' if i % 2 else "ANA") for i in range(400)]
+    write(tmp_path, "a", "1.csv", lines_of(*rows))
+    write(tmp_path, "b", "2.csv", lines_of(
+        *[line(1000 + i, '"Ñ\r\n"', sep=";", width=18) for i in range(50)],
+        header=";".join(S.CORE_COLUMNS[:18])), "iso-8859-1")
+    setting = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "2000")
+        found = names(read_core(spark, str(tmp_path), quoted_newlines=True))
+    finally:
+        spark.conf.set(setting, old)
+    assert found == {
+        **{str(i): f'ANA\n"{i}", X' if i % 2 else "ANA" for i in range(400)},
+        **{str(1000 + i): "Ñ\r\n" for i in range(50)}}

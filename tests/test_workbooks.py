@@ -141,3 +141,19 @@ def test_registered_queries_run_from_any_folder(tmp_path):
         [sys.executable, "-c", script, str(Path(__file__).resolve().parents[1]), SF_DIR],
         cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "rows 6000" in done.stdout
+
+
+@pytest.mark.parametrize("name", ["_b.xlsx", ".c.xlsx", "_D.XLSX", ".e.xls"])
+def test_hidden_workbooks_are_refused(spark, tmp_path, name):
+    write_workbook(f"{tmp_path}/uno.xlsx", {"Ok": iter([S.CLAIMS_COLUMNS, CLAIM])})
+    write_workbook(f"{tmp_path}/{name}", {"Ok": iter([S.CLAIMS_COLUMNS, CLAIM])})
+    with pytest.raises(ValueError, match=f"1 workbooks start with _ or a dot.*{name}"):
+        read_workbooks(spark, str(tmp_path))
+
+
+def test_suffixes_in_any_case_are_read(spark, tmp_path):
+    for name in ("uno.xlsx", "DOS.XLSX", "Tres.Xlsx"):
+        write_workbook(f"{tmp_path}/{name}", {"Ok": iter([S.CLAIMS_COLUMNS, CLAIM])})
+    (tmp_path / "notas.txt").write_text("x")
+    found = claims_rows(read_workbooks(spark, str(tmp_path))).collect()
+    assert sorted(r.FILE for r in found) == ["DOS.XLSX", "Tres.Xlsx", "uno.xlsx"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 import tempfile
 import uuid
 import zipfile
@@ -19,15 +20,28 @@ from covermonth import schemas as S
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder in the shared folder the session names.
 
-    Only a session that names none, as in tests on one machine, gets a local
+    Only a session on one machine that names none, as in tests, gets a local
     temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/covermonth-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="covermonth-")
 
 
+def move_only_file(spark: SparkSession, folder: str, target: str) -> None:
+    """The one data file of a written folder, under a name of its own."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (file,) = [s.getPath() for s in system.listStatus(path(folder))
+               if s.getPath().getName().startswith("part-")]
+    system.mkdirs(path(target).getParent())
+    system.rename(file, path(target))
+    system.delete(path(folder), True)
+
+
 def write_csv(df: DataFrame, folder: str, **options) -> None:
     """CSV files with a header; blanks around values are kept."""
     options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
@@ -124,3 +138,11 @@ def write_claims_workbooks(df: DataFrame, folder: str) -> None:
         })
 
     df.select(*columns).repartition(workbooks).foreachPartition(write_partition)
+
+
+def write_one_workbook(df: DataFrame, path: str) -> None:
+    """A workbook with one sheet of claims."""
+    def write_all(rows: Iterator[Row]) -> None:
+        write_workbook(path, {"Siniestros": itertools.chain([S.CLAIMS_COLUMNS], rows)})
+
+    df.select(*S.CLAIMS_COLUMNS).coalesce(1).foreachPartition(write_all)

@@ -111,10 +111,16 @@ def core_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_barrier(spark.sql(CORE_RAW_SQL, orders=table(spark, sf_dir, "orders")))
 
 
-def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def claims_raw(
+    spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None
+) -> DataFrame:
+    """Raw claims; with ``part`` (n, i), the i-th of n parts by order."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    if part is not None:
+        lineitem = lineitem.where(f"l_orderkey % {part[0]} = {part[1]}")
     return stage_barrier(spark.sql(
         CLAIMS_RAW_SQL,
-        lineitem=table(spark, sf_dir, "lineitem"),
+        lineitem=lineitem,
         orders=spark.read.parquet(f"{sf_dir}/orders.parquet"),
     ))
 

@@ -39,18 +39,33 @@ from covermonth.sinks.tables import (
     replace_if_unchanged,
     write_report,
 )
-from covermonth.sources.csv_files import audit_csv_files, core_pattern, read_core
+from covermonth.sources.csv_files import (
+    audit_csv_files,
+    core_files,
+    core_pattern,
+    read_core,
+    require_core_files,
+)
+from covermonth.sources.inventory import MARK, unread_files
 from covermonth.sources.parquet_files import check_report, read_consolidated, report_paths
-from covermonth.sources.workbooks import claims_rows, read_workbooks, skipped_sheets
+from covermonth.sources.workbooks import (
+    claims_rows,
+    read_workbooks,
+    require_workbooks,
+    skipped_sheets,
+    workbook_files,
+)
 from verification import inputs, oracle
 from verification.files import (
     ROWS_PER_WORKBOOK,
     in_parts,
+    move_only_file,
     scratch_folder,
     write_claims_workbooks,
     write_core_folders,
     write_csv,
     write_lines,
+    write_one_workbook,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -556,13 +571,88 @@ def xlsx_workbook_audit(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if(F.col("ERROR").isNull()).alias("CLAIMS"))
 
 
-@register(f"""SELECT 'Notas' SHEET, count(*) > 0 IS_SKIPPED FROM ({oracle.CLAIMS_RAW})
-  UNION ALL SELECT 'Vacia', count(*) > 0 FROM ({oracle.CLAIMS_RAW})""")
+@register(f"""SELECT SHEET, ERROR, {_BOOKS} BOOKS FROM ({oracle.CLAIMS_RAW}) CROSS JOIN (VALUES
+    ('Notas', 'sheet not readable: columns not found: [''DNI'', ''POLIZA'', ''CERTIFICADO'', ''ASEGURADO'', ''OCURRENCIA'']'),
+    ('Vacia', 'sheet not readable: columns not found: [''DNI'', ''RAMO'', ''POLIZA'', ''CERTIFICADO'', ''ASEGURADO'', ''OCURRENCIA'']')
+  ) reasons(SHEET, ERROR) GROUP BY SHEET, ERROR""")
 def xlsx_skipped_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """Sheets that were skipped, why, and in how many workbooks."""
     folder = f"{scratch_folder(spark)}/source"
     write_claims_workbooks(inputs.claims_raw(spark, sf), folder)
     skipped = skipped_sheets(read_workbooks(spark, folder))
-    return skipped.groupBy("SHEET").agg((F.count("ERROR") > 0).alias("IS_SKIPPED"))
+    return skipped.groupBy("SHEET", "ERROR").agg(F.count_distinct("FILE").alias("BOOKS"))
+
+
+# A folder for each thing that a guard refuses, and what it says.
+_GUARDED = [("good", "1.csv", "read", "accepted", 0), ("upper case", "2.CSV", "read", "accepted", 1),
+            ("hidden", "_3.csv", "hidden", "start with _ or a dot", 2), ("dotted", ".4.csv", "hidden",
+            "start with _ or a dot", 3), ("no byte", "5.csv", "empty", "empty CSV files", None),
+            ("no rows", "6.csv", "read", "without data rows", None),
+            ("narrow", "7.csv", "read", "without [18, 20] columns", 4),
+            ("other", "8.txt", "other", "no CSV files", 5)]
+
+
+@register(" UNION ALL ".join(
+    f"""SELECT '{case}' SOURCE, '{file}' FILE, '{kind}' KIND, '{verdict}' VERDICT,
+    count(*){'' if verdict == 'accepted' else ' * 0'} ROWS_READ, count(*) * 0 UNREAD
+    FROM orders WHERE o_orderkey % 6 = {0 if part is None else part}"""
+    for case, file, kind, verdict, part in _GUARDED))
+def source_guards(spark: SparkSession, sf: str) -> DataFrame:
+    """What the guard says of each source, the rows read of accepted ones, and files not read."""
+    root = scratch_folder(spark)
+    parts = in_parts(inputs.core_raw(spark, sf), 6)
+    found = []
+    for case, file, _, _, part in _GUARDED:
+        folder = f"{root}/{case}/delivery"
+        if part is None:
+            text = ",".join(S.CORE_COLUMNS) + "\n" if case == "no rows" else ""
+            write_text(spark, f"{folder}/{file}", text)
+        else:
+            columns = S.CORE_COLUMNS[:19] if case == "narrow" else S.CORE_COLUMNS
+            write_csv(parts[part].select(*columns).coalesce(1), f"{root}/{case}/made")
+            move_only_file(spark, f"{root}/{case}/made", f"{folder}/{file}")
+        files = core_files(spark, f"{root}/{case}")
+        verdict, rows, unread = "accepted", F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
+        try:
+            require_core_files(files, root)
+            read = read_core(spark, f"{root}/{case}")
+            rows, unread = F.lit(read.count()), F.lit(unread_files(files, read).count())
+        except (ValueError, FileNotFoundError) as error:
+            verdict = next(v for _, _, _, v, _ in _GUARDED if v in str(error))
+        files = files.where(F.col("KIND") != MARK)
+        found.append(files.select(F.lit(case).alias("SOURCE"), "FILE", "KIND",
+                                  F.lit(verdict).alias("VERDICT"),
+                                  rows.cast("bigint").alias("ROWS_READ"),
+                                  unread.cast("bigint").alias("UNREAD")))
+    return reduce(DataFrame.unionAll, found)
+
+
+_BOOK_NAMES = [("uno.xlsx", "accepted"), ("DOS.XLSX", "accepted"), ("_b.xlsx", "start with _ or a dot"),
+               (".c.xlsx", "start with _ or a dot"), ("notas.txt", "no workbooks")]
+
+
+@register(" UNION ALL ".join(
+    f"""SELECT '{name}' FILE, '{verdict}' VERDICT, count(*){'' if verdict == 'accepted' else
+    ' * 0'} CLAIMS FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    WHERE l_orderkey % 5 = {part}""" for part, (name, verdict) in enumerate(_BOOK_NAMES)))
+def workbook_guards(spark: SparkSession, sf: str) -> DataFrame:
+    """What the guard says of workbooks by their names, and the claims read of accepted ones."""
+    root = scratch_folder(spark)
+    found = []
+    for part, (name, _) in enumerate(_BOOK_NAMES):
+        claims = inputs.claims_raw(spark, sf, part=(5, part))
+        folder = f"{root}/{part}"
+        write_one_workbook(claims, f"{folder}/{name}")
+        files = workbook_files(spark, folder)
+        verdict, count = "accepted", 0
+        try:
+            require_workbooks(files, folder)
+            count = claims_rows(read_workbooks(spark, folder)).count()
+        except (ValueError, FileNotFoundError) as error:
+            verdict = next(v for _, v in _BOOK_NAMES if v in str(error))
+        found.append(files.select("FILE", F.lit(verdict).alias("VERDICT"),
+                                  F.lit(count).cast("bigint").alias("CLAIMS")))
+    return reduce(DataFrame.unionAll, found)
 
 
 def _source_folders(spark: SparkSession, sf: str, root: str) -> layers.Paths:
@@ -577,3 +667,28 @@ def layered_run(spark: SparkSession, sf: str) -> DataFrame:
     paths = _source_folders(spark, sf, scratch_folder(spark))
     layers.run_layers(spark, paths, run_date=RUN_DATE)
     return spark.read.parquet(*report_paths(spark, paths.reports))
+
+
+# Layers and sources of a run, on an empty lake, one after the other; what each one makes.
+_RUNS = [(("silver", "gold"), ("core", "claims"), ()), (("bronze",), ("core",), ("bronze core",)),
+         (("silver",), ("core", "claims"), ("silver core",)),
+         (("gold",), ("core",), ("gold core",)),
+         (("bronze", "silver"), ("claims",), ("bronze claims", "silver claims")),
+         (("gold",), ("claims", "core"), ("gold claims", "gold core"))]
+_MADE = {"bronze core": f"SELECT count(*) FROM ({oracle.CORE_RAW})",
+         "bronze claims": f"SELECT count(*) FROM ({oracle.CLAIMS_RAW})",
+         **{f"{layer} {source}": f"SELECT count(*) FROM {source}" for layer in ("silver", "gold")
+            for source in ("core", "claims")}}
+
+
+@register(oracle.both(" UNION ALL ".join(
+    f"""SELECT {number} RUN, '{made.split()[0]}' LAYER, '{made.split()[1]}' SOURCE, ({_MADE[made]}) N"""
+    for number, (_, _, result) in enumerate(_RUNS) for made in result)))
+def run_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that runs of chosen layers and sources make; what an earlier layer lacks is skipped."""
+    paths = _source_folders(spark, sf, scratch_folder(spark))
+    rows = []
+    for number, (chosen, sources, _) in enumerate(_RUNS):
+        made = layers.run_layers(spark, paths, chosen, sources, RUN_DATE)
+        rows += [(number, layer, source, count) for (layer, source), count in made.items()]
+    return spark.createDataFrame(rows, "RUN int, LAYER string, SOURCE string, N bigint")
