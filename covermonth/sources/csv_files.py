@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.plans.barrier import stage_barrier
-from covermonth.sources.inventory import EMPTY, HIDDEN, MARK, OTHER, READ, source_files
+from covermonth.sources.inventory import EMPTY, HIDDEN, OTHER, READ, source_files
 from covermonth.sources.quoted_records import quoted_records
 
 log = logging.getLogger(__name__)
@@ -273,35 +273,46 @@ def core_files(spark: SparkSession, root: str) -> DataFrame:
     return _with_layout(files.withColumn("HEADER", header).drop("HEAD"))
 
 
-def require_core_files(files: DataFrame, root: str) -> None:
+def require_core_files(files: DataFrame, root: str) -> list[tuple[str, int]]:
     """Fail if a CSV file cannot be read as it is; warn of what is left aside.
 
     Files that start with _ or a dot, empty ones, ones without data rows and ones
-    with a width other than 18 or 20 are errors. Other files are only named.
+    with a width other than 18 or 20 are errors. Other files are only named. Returns the
+    delimiters and widths that occur.
     """
-    csv = files.where(~F.col("KIND").isin(OTHER, MARK))
-    if csv.isEmpty():
-        raise FileNotFoundError(f"no CSV files in the subfolders of {root}")
-    _report(files.where(F.col("KIND") == HIDDEN).select("PATH"),
-            "CSV files start with _ or a dot, rename them:")
-    _report(files.where(F.col("KIND") == EMPTY).select("PATH"), "empty CSV files:")
-    _report(files.where(~F.col("HAS_ROWS") | (F.trim("HEADER") == "")).select("PATH"),
-            "CSV files without data rows:")
     full = len(S.CORE_COLUMNS)
     allowed = [full - len(S.CORE_OPTIONAL_COLUMNS), full]
-    _report(
-        files.where((F.col("KIND") == READ) & ~F.col("WIDTH").isin(allowed))
-        .select("PATH", "WIDTH", "HEADER"),
-        f"CSV files without {allowed} columns (expected {S.CORE_COLUMNS}):",
-    )
-    without = files.groupBy("FOLDER").agg(
-        F.count_if(F.col("KIND") == READ).alias("csv"),
-        F.count_if(F.col("KIND") == OTHER).alias("other"))
-    for row in without.where("csv = 0 or other > 0").limit(_LISTED_FILES).collect():
-        if row.csv == 0:
-            log.warning("no CSV files in folder %s, skipped", row.FOLDER)
-        else:
-            log.warning("%d other files in folder %s, skipped", row.other, row.FOLDER)
+    is_read = F.col("KIND") == READ
+    problems = [
+        ("CSV files start with _ or a dot, rename them:", F.col("KIND") == HIDDEN, ["PATH"]),
+        ("empty CSV files:", F.col("KIND") == EMPTY, ["PATH"]),
+        ("CSV files without data rows:",
+         is_read & (~F.col("HAS_ROWS") | (F.trim("HEADER") == "")), ["PATH"]),
+        (f"CSV files without {allowed} columns (expected {S.CORE_COLUMNS}):",
+         is_read & ~F.col("WIDTH").isin(allowed), ["PATH", "WIDTH", "HEADER"]),
+    ]
+    # All guards in one pass; files are listed only if one of them finds some.
+    by_folder = files.groupBy("FOLDER").agg(
+        *[F.count_if(found).alias(f"problem{i}") for i, (_, found, _) in enumerate(problems)],
+        F.count_if(is_read).alias("csv"), F.count_if(F.col("KIND") == OTHER).alias("other"),
+        F.collect_set(F.when(is_read & F.col("WIDTH").isin(allowed),
+                             F.struct("DELIMITER", "WIDTH"))).alias("layouts"))
+    whole = by_folder.agg(
+        *[F.sum(f"problem{i}") for i in range(len(problems))], F.sum("csv"),
+        F.count_if((F.col("csv") == 0) | (F.col("other") > 0)), F.array_distinct(F.flatten(F.collect_set("layouts")))).first()
+    *counts, csv, aside, layouts = whole
+    if not csv and not any(counts):
+        raise FileNotFoundError(f"no CSV files in the subfolders of {root}")
+    for (message, found, columns), count in zip(problems, counts, strict=True):
+        if count:
+            _report(files.where(found).select(*columns), message)
+    if aside:
+        for row in by_folder.where("csv = 0 or other > 0").limit(_LISTED_FILES).collect():
+            if row.csv == 0:
+                log.warning("no CSV files in folder %s, skipped", row.FOLDER)
+            else:
+                log.warning("%d other files in folder %s, skipped", row.other, row.FOLDER)
+    return sorted(tuple(layout) for layout in layouts)
 
 
 # --- reading -------------------------------------------------------------
@@ -420,16 +431,14 @@ def read_core(
         _report(hidden.select("PATH"), "CSV files start with _ or a dot, rename them:")
         return read_layout(spark, [core_pattern(root)], layout, fail_fast)
     files = core_files(spark, root).cache()
-    require_core_files(files, root)
-    readable = files.where(F.col("KIND") == READ)
-    layouts = [tuple(row) for row in readable.select("DELIMITER", "WIDTH").distinct().collect()]
+    layouts = require_core_files(files, root)
     lines = _lines(spark, [core_pattern(root)], quoted_newlines)
     if len(layouts) == 1:
         delimiter, width = layouts[0]
     else:
         delimiter, width = F.col("DELIMITER"), F.col("WIDTH")
-        of_file = readable.select("FOLDER", "FILE", "DELIMITER", "WIDTH")
-        if readable.count() <= _BROADCAST_FILES:
+        of_file = files.where(F.col("KIND") == READ).select("FOLDER", "FILE", "DELIMITER", "WIDTH")
+        if of_file.count() <= _BROADCAST_FILES:
             of_file = F.broadcast(of_file)
         lines = lines.join(of_file, ["FOLDER", "FILE"])
     if not quoted_newlines:

@@ -27,6 +27,7 @@ log = logging.getLogger(__name__)
 # Reason given for a workbook that could be read, but has no row of claims.
 NO_CLAIMS = "no claims"
 _BATCH_ROWS = 10_000
+_MOST_ROWS = 1 << 20  # of a sheet, fixed by the workbook standard
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 _VALUE, _INLINE, _TEXT, _RUN = f"{_MAIN}v", f"{_MAIN}is", f"{_MAIN}t", f"{_MAIN}r"
@@ -149,31 +150,45 @@ def _sheet_rows(book: _Workbook, part: str) -> Iterator[list[str | None]]:
         yield [row.get(places[name]) for name in S.CLAIMS_COLUMNS]
 
 
-def _workbook_rows(path: str, content: bytes) -> Iterator[list[str | None]]:
-    nothing = [None] * len(S.CLAIMS_COLUMNS)
+def _error(name: str, sheet: str | None, reason: str) -> pa.RecordBatch:
+    return _to_batch([[*[None] * len(S.CLAIMS_COLUMNS), name, sheet, reason]])
+
+
+def _sheet_batches(book: _Workbook, part: str, name: str, sheet: str) -> list[pa.RecordBatch]:
+    """All rows of a sheet. They are held until its end, as a broken sheet is skipped as a
+    whole; the format allows no more than a million."""
+    batches, rows = [], []
+    for count, row in enumerate(_sheet_rows(book, part)):
+        if count == _MOST_ROWS:
+            raise ValueError("more rows than the format allows")
+        rows.append([*row, name, sheet, None])
+        if len(rows) == _BATCH_ROWS:
+            batches.append(_to_batch(rows))
+            rows = []
+    return [*batches, _to_batch(rows)] if rows else batches
+
+
+def _workbook_batches(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
     name = path.rsplit("/", 1)[-1]
     if not name.lower().endswith(".xlsx"):
-        yield [*nothing, name, None, "format not supported, save as .xlsx"]
+        yield _error(name, None, "format not supported, save as .xlsx")
         return
     try:
         book = _Workbook(content)
     except Exception as error:
-        yield [*nothing, name, None, f"workbook not readable: {error}"]
+        yield _error(name, None, f"workbook not readable: {error}")
         return
-    claims = 0
+    has_claims = False
     for sheet, part in book.sheets.items():
         try:
-            # Once to the end without a result: a broken sheet is skipped as a whole.
-            for _ in _sheet_rows(book, part):
-                pass
+            batches = _sheet_batches(book, part, name, sheet)
         except Exception as error:
-            yield [*nothing, name, sheet, f"sheet not readable: {error}"]
+            yield _error(name, sheet, f"sheet not readable: {error}")
             continue
-        for row in _sheet_rows(book, part):
-            claims += 1
-            yield [*row, name, sheet, None]
-    if not claims:
-        yield [*nothing, name, None, NO_CLAIMS]
+        has_claims = has_claims or bool(batches)
+        yield from batches
+    if not has_claims:
+        yield _error(name, None, NO_CLAIMS)
 
 
 def _to_batch(rows: list[list[str | None]]) -> pa.RecordBatch:
@@ -184,14 +199,7 @@ def _to_batch(rows: list[list[str | None]]) -> pa.RecordBatch:
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"], strict=True):
-            rows = []
-            for row in _workbook_rows(path.as_py(), content.as_py()):
-                rows.append(row)
-                if len(rows) == _BATCH_ROWS:
-                    yield _to_batch(rows)
-                    rows = []
-            if rows:
-                yield _to_batch(rows)
+            yield from _workbook_batches(path.as_py(), content.as_py())
 
 
 def workbook_files(spark: SparkSession, folder: str) -> DataFrame:
