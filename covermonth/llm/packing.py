@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -59,56 +61,87 @@ class Plan:
 
 
 def plan(counts: np.ndarray, size: int = SIZE) -> Plan:
-    """Patterns for counts[length] pieces of each length from 1 to size."""
+    """Patterns for counts[length] pieces of each length from 1 to size.
+
+    Pieces longer than half a sequence come first, each with the exact complement of its gap: they
+    need sequences of their own, and what is short is wanted there. What is left goes best-fit,
+    or exactly into sequences of short pieces first, whichever needs fewer; a plan never needs more
+    than best-fit decreasing alone.
+    """
+    plans = [_exact(counts, size, lowest) for lowest in (size // 2, 0)]
+    plain = Plan(size)
+    _best_fit(np.array([0, *counts[1:]], np.int64), plain)
+    return min([*plans, plain], key=lambda p: p.sequences)
+
+
+def _exact(counts: np.ndarray, size: int, lowest: int) -> Plan:
+    """Exact complements for all lengths above `lowest`, then best-fit."""
     left = np.array(counts, np.int64)
     left[0] = 0
     out = Plan(size)
     if left[size]:
         out.add((size,), int(left[size]))
         left[size] = 0
-    for length in range(size - 1, 0, -1):
-        while left[length] and (found := _complement(left, length, size - length)):
+    sums = Sums(left)
+    for length in range(size - 1, lowest, -1):
+        while left[length] and (found := sums.complement(length, size - length)):
             lengths, need = np.unique([length, *found], return_counts=True)
             times = int((left[lengths] // need).min())
             out.add((length, *found), times)
-            left[lengths] -= need * times
+            sums.take(lengths, need * times)
     _best_fit(left, out)
     return out
 
 
-def _complement(left: np.ndarray, length: int, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that add up to gap, the longest first."""
-    free = left.copy()
-    free[length] -= 1
-    if gap < 1:
+class Sums:
+    """Index of the sums of one, two and three lengths that are there.
+
+    Counts of pairs by their sum are made once and kept up to date as lengths are used up.
+    A triple is a length and a pair, so it is looked up in the same index.
+    """
+
+    def __init__(self, left: np.ndarray) -> None:
+        self.left = left
+        self.there = left > 0
+        flags = self.there.astype(np.int64)
+        self.pairs = np.convolve(flags, flags)  # ordered pairs of lengths, by sum
+
+    def take(self, lengths: np.ndarray, numbers: np.ndarray) -> None:
+        self.left[lengths] -= numbers
+        for gone in lengths[self.left[lengths] == 0].tolist():
+            self.there[gone] = False
+            self.pairs[gone + np.flatnonzero(self.there)] -= 2
+            self.pairs[2 * gone] -= 1
+
+    def complement(self, length: int, gap: int) -> tuple[int, ...] | None:
+        """One, two or three lengths that are there and add up to gap, beside one of `length`."""
+        if gap < 1:
+            return None
+        if self.left[gap] > (gap == length):
+            return (gap,)
+        if found := self._pair(gap, (length,)):
+            return found
+        firsts = np.arange(1, gap - 1)
+        likely = firsts[self.there[firsts] & (self.pairs[gap - firsts] > 0)]
+        for first in likely[::-1].tolist():
+            if first * 3 < gap:
+                break
+            if self.left[first] > (first == length) and (
+                    found := self._pair(gap - first, (length, first))):
+                return (first, *found)
         return None
-    if free[gap] > 0:
-        return (gap,)
-    there = free > 0
 
-    def pair(total: int, there: np.ndarray, free: np.ndarray) -> tuple[int, int] | None:
-        if total < 2:
+    def _pair(self, total: int, used: tuple[int, ...]) -> tuple[int, int] | None:
+        """Two lengths with a sum, beside those used; the most unlike ones."""
+        if total < 2 or not self.pairs[total]:
             return None
         low = np.arange(1, total // 2 + 1)
-        both = there[low] & there[total - low]
-        if total % 2 == 0 and free[total // 2] < 2:
-            both[-1] = False
-        hits = np.flatnonzero(both)
-        return (total - int(low[hits[0]]), int(low[hits[0]])) if len(hits) else None
-
-    if found := pair(gap, there, free):
-        return found
-    for first in np.flatnonzero(there[:gap])[::-1]:
-        if first * 3 < gap:
-            break
-        free[first] -= 1
-        there[first] = free[first] > 0
-        found = pair(gap - int(first), there, free)
-        free[first] += 1
-        there[first] = True
-        if found:
-            return (int(first), *found)
-    return None
+        for small in low[self.there[low] & self.there[total - low]].tolist():
+            large = total - small
+            if self.left[small] > used.count(small) + (small == large) and (
+                    self.left[large] > used.count(large)):
+                return (large, small)
+        return None
 
 
 def _best_fit(left: np.ndarray, out: Plan) -> None:
@@ -214,19 +247,52 @@ def _ranked(pieces: DataFrame) -> DataFrame:
 
 
 class _Numbers(dict):
-    """A number for each word, in the order in which they come up."""
+    """A number for each piece, in the order in which they come up."""
 
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
         return number
 
 
+# Characters below U+0180 are letters, numbers, white space or others whatever their neighbours; none
+# changes by composition, and all but one (U+0130) have one character in lower case.
+_SIMPLE = 0x180
+
+
+def _class_of(first: str) -> str:
+    """The characters below U+0180 whose Unicode category starts with a letter, for a regular expression."""
+    return "".join(re.escape(chr(c)) for c in range(_SIMPLE)
+                   if unicodedata.category(chr(c)).startswith(first))
+
+
+# The pattern by which the tokenizer cuts texts, and its white space.
+_SPACE = "\\t-\\r \\x85\\xa0"
+_PIECE = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[{_class_of('L')}]+|[{_class_of('N')}]"
+    f"|[^{_SPACE}{_class_of('L')}{_class_of('N')}]+")
+_NOT_SIMPLE = re.compile("[\u0130\u0180-\U0010ffff]|<\\|")
+_PROBE = "It's 12.5% of l'\u00c9cole <b>na\u00efve</b>; they'll, \u00bd \x1c\x07 don''t..."
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in the tokenizer's vocabulary: itself if it can be
+    printed, else one from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordIds:
-    """Token ids of whole texts, word by word.
+    """Token ids of whole texts, piece by piece.
 
-    The tokenizer never joins characters across ASCII white space, nor letters with the full stops and
-    commas after them, and it takes ASCII letters in lower case. So the ids of a text are those
-    of its words in order, and a word that was seen before is not tokenized again.
+    The tokenizer takes texts in lower case and cuts them into runs of letters, single digits and runs of other
+    characters, each of which is tokenized by itself. The same cut is made here, and a piece that was
+    seen before is not tokenized again. Words with characters of other scripts, or with
+    what may be a special token, go through the tokenizer as they are; it joins nothing
+    across ASCII white space.
     """
 
     def __init__(self, path: str) -> None:
@@ -235,56 +301,57 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self._empty()
+        whole = self.tokenizer.encode(_PROBE, add_special_tokens=False).ids
+        if self.of([_PROBE])[0].tolist() != whole:
+            raise ValueError(f"{path} does not cut texts as its pieces are cut here")
 
     def _empty(self) -> None:
         self.number = _Numbers()
-        self.parts: dict[bytes, list[int]] = {b"": []}
         self.flat = np.zeros(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.number) > REMEMBERED:
             self._empty()
-        split = [text.encode("utf-8", "surrogatepass").split() for text in texts]
         known = len(self.number)
-        places = [np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-                  for words in split]
+        places = []
+        for text in texts:
+            pieces = self._cut(text)
+            places.append(np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces)))
         self._learn(list(itertools.islice(self.number, known, None)))
         return [self._gather(p) for p in places]
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _cut(self, text: str) -> list[str]:
+        if not _NOT_SIMPLE.search(text):
+            return _PIECE.findall(text.lower())
+        pieces, simple = [], []
+        for word in re.split("[\t-\r ]+", text):
+            if _NOT_SIMPLE.search(word):
+                pieces += _PIECE.findall(" ".join(simple).lower())
+                pieces.append(" " + word)  # the blank marks it: no piece holds one
+                simple = []
+            else:
+                simple.append(word)
+        return pieces + _PIECE.findall(" ".join(simple).lower())
+
+    def _learn(self, new: list[str]) -> None:
         if not new:
             return
-        cut = [_stem(word) for word in new]
-        parts = self.parts
-        self._learn_parts({part for pair in cut for part in pair if part not in parts})
-        found = [parts[stem] + parts[ending] for stem, ending in cut]
+        tokenize = self.tokenizer.model.tokenize
+        found = []
+        for piece in new:
+            if piece[0] == " ":
+                found.append(self.tokenizer.encode(piece[1:], add_special_tokens=False).ids)
+            elif piece.isascii() and piece.isprintable():
+                found.append([token.id for token in tokenize(piece)])
+            else:
+                mapped = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                found.append([token.id for token in tokenize(mapped)])
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
         self.flat = np.concatenate([self.flat, flat])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
 
-    def _learn_parts(self, new: set[bytes]) -> None:
-        """Ids of parts of words: some hundred of them as one text, told apart by their places."""
-        model, others = self.tokenizer.model, []
-        for part in new:
-            if part.isalpha():
-                # ASCII letters in lower case pass the tokenizer's first steps unchanged.
-                self.parts[part] = [token.id for token in model.tokenize(part.decode())]
-            else:
-                others.append(part)
-        for at in range(0, len(others), 200):
-            some = others[at:at + 200]
-            words = [part.decode("utf-8", "replace") for part in some]
-            starts = np.cumsum([0] + [len(word) + 1 for word in words])
-            found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-            place = np.array([start for start, _ in found.offsets], np.int64)
-            owner = np.searchsorted(starts, place, side="right") - 1
-            ends = np.searchsorted(owner, np.arange(len(some)), side="right")
-            ids = found.ids
-            for part, start, end in zip(some, [0, *ends], ends, strict=False):
-                self.parts[part] = ids[start:end]
-
     def _gather(self, words: np.ndarray) -> np.ndarray:
         lengths = self.starts[words + 1] - self.starts[words]
         ends = np.cumsum(lengths)
@@ -292,17 +359,6 @@ class WordIds:
         return self.flat[np.arange(total) + np.repeat(self.starts[words] - ends + lengths, lengths)]
 
 
-def _stem(word: bytes) -> tuple[bytes, bytes]:
-    """A word of letters and the full stops and commas after it; any other word is whole."""
-    stem = word.rstrip(b".,")
-    if stem.isalpha():  # ASCII
-        return stem.lower(), word[len(stem):]
-    decoded = stem.decode("utf-8", "replace")
-    if stem and decoded.isalpha() and max(decoded) < "\u0250":
-        return stem, word[len(stem):]
-    return word, b""
-
-
 def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, size: int, end: int,
             keep_ids: bool = False) -> Iterator[pa.RecordBatch]:
     memory = WordIds(tokenizer)

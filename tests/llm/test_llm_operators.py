@@ -366,6 +366,59 @@ def test_ids_word_by_word_are_those_of_the_text(text):
     assert found.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_every_letter_beside_stops():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    letters = [chr(c) for c in range(1, 0x2100)]
+    texts = [f"ab{c}. x{c}, {c}'s {c}{c}1 A{c}B" for c in letters] + [
+        "SERBESTİ. İ, a<|endoftext|>b don''t l'été ½\x85\xa0\x1cx"]
+    found = packing.WordIds(tokenizer_path()).of(texts)
+    expected = tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [f.tolist() for f in found] == [e.ids for e in expected]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plans_need_no_more_than_best_fit(seed):
+    rng = np.random.default_rng(seed)
+    counts = np.zeros(513, np.int64)
+    chosen = rng.integers(1, 513, [600, 40, 300, 5, 200, 100][seed])
+    np.add.at(counts, chosen if seed != 2 else np.maximum(chosen, 160), rng.integers(1, 9))
+    plain = packing.Plan(512)
+    packing._best_fit(counts.copy(), plain)
+    found = packing.plan(counts, 512)
+    assert found.sequences <= plain.sequences
+    used = np.zeros(513, np.int64)
+    for lengths, times in found.patterns:
+        assert sum(lengths) <= 512
+        np.add.at(used, list(lengths), times)
+    assert (used == counts).all()
+
+
+def test_the_index_of_sums_is_kept_up_to_date():
+    rng = np.random.default_rng(1)
+    left = rng.integers(0, 3, 40)
+    left[0] = 0
+    sums = packing.Sums(left)
+    for _ in range(60):
+        there = np.flatnonzero(left)
+        if not len(there):
+            break
+        sums.take(np.array([rng.choice(there)]), np.array([1]))
+        flags = (left > 0).astype(int)
+        assert (sums.pairs == np.convolve(flags, flags)).all()
+        for gap in range(1, 39):
+            length = int(rng.choice(np.flatnonzero(left))) if left.any() else 1
+            free = left.copy()
+            free[length] -= 1
+            there = [k for k in range(1, 40) for _ in range(min(3, free[k]))]
+            possible = any(sum(c) == gap for r in (1, 2, 3) for c in itertools.combinations(there, r))
+            found = sums.complement(length, gap) if left[length] else None
+            if left[length]:
+                assert (found is not None) == possible, (gap, length)
+                assert found is None or sum(found) == gap
+
+
 # --- archives ---------------------------------------------------------------------
 
 PAGES = [(1, "http://a/\r\nX: y", "same"), (2, None, "same"), (2, None, "same"), (3, "http://b/é%", None),
