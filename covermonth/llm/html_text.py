@@ -9,6 +9,7 @@ small labelled table, says which blocks are main text.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -68,10 +69,10 @@ LISTING_NAMES = {
 # What an element says of its content
 MAIN, NEITHER, NAMED, LISTING, FURNITURE = 1, 0, -1, -2, -3
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?/][^>]*>", re.DOTALL | re.IGNORECASE)
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.DOTALL)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_ATTRIBUTES = re.compile(r"""((?:"[^"]*+"|'[^']*+'|[^'">]++)*+)>""")
+_QUOTED = re.compile(r""""[^"]*+"?|'[^']*+'?""")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE) for tag in RAW_TAGS}
 _UNQUOTED_END = re.compile(r"=[^\s\"'>]*/\Z")  # the slash belongs to the value
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -169,33 +170,32 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
 
     at = 0
-    for m, end in _visible(page):
-        if m.start() > at:
-            parts.append((html.unescape(page[at:m.start()]), anchors > 0))
-        at = end
-        tag = (m["tag"] or "").lower()
+    for token, end in _visible(page):
+        if token.start > at:
+            parts.append((html.unescape(page[at:token.start]), anchors > 0))
+        at, tag = end, token.tag
         if not tag or tag in RAW_TAGS or tag in SKIPPED_TAGS:
             continue
         if tag == "br":
             parts.append((" ", anchors > 0))
             continue
         if tag == "a":
-            anchors = max(0, anchors - 1) if m["close"] else anchors + 1
+            anchors = max(0, anchors - 1) if token.close else anchors + 1
             continue
         block = tag in BLOCK_TAGS
         if block:
             flush()
             anchors = 0
-        if m["close"]:
+        if token.close:
             if any(name == tag for name, _ in stack):
                 # What is still open inside ends with it.
                 while stack.pop()[0] != tag:
                     pass
             heading = heading and not block
-        elif tag not in VOID_TAGS and not m["attrs"].rstrip().endswith("/"):
+        elif tag not in VOID_TAGS:  # a slash closes nothing in HTML
             if block and stack and stack[-1][0] in ("p", "li", "td", "th", "tr", "dt", "dd"):
                 _close_implied(stack, tag)
-            marked = _context(tag, m["attrs"], context(), any(n in MAIN_TAGS for n, _ in stack))
+            marked = _context(tag, token.attrs, context(), any(n in MAIN_TAGS for n, _ in stack))
             if block or marked != context():
                 stack.append((tag, marked))
             if block:
@@ -206,30 +206,77 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def _visible(page: str) -> Iterator[tuple[re.Match, int]]:
+@dataclass
+class Token:
+    """A tag, or a comment or declaration (without a name)."""
+
+    start: int
+    end: int
+    tag: str = ""
+    close: bool = False
+    attrs: str = ""
+
+
+class _Unclosed:
+    """Places that are outside of quotes in a scan that found no end of a tag: a tag that began there
+    would have none either."""
+
+    def __init__(self, page: str, at: int) -> None:
+        spans = [m.span() for m in _QUOTED.finditer(page, at)]
+        self.at = at
+        self.starts, self.ends = [s for s, _ in spans], [e for _, e in spans]
+
+    def covers(self, place: int) -> bool:
+        k = bisect.bisect_right(self.starts, place) - 1
+        return place >= self.at and (k < 0 or place >= self.ends[k])
+
+
+def _tokens(page: str) -> Iterator[Token]:
+    """Tags and comments in order. Each part of the page is read a bounded number of times: a scan to its
+    end that fails is remembered, and there are no more of these than kinds of quotes."""
+    last = page.rfind(">")
+    unclosed: list[_Unclosed] = []
+    at = page.find("<")
+    while at >= 0:
+        token = None
+        if m := _COMMENT.match(page, at):
+            token = Token(at, m.end())
+        elif at > last:
+            break
+        elif m := not any(u.covers(at) for u in unclosed) and _NAME.match(page, at):
+            if rest := _ATTRIBUTES.match(page, m.end()):
+                token = Token(at, rest.end(), m[2].lower(), bool(m[1]), rest[1])
+            else:
+                unclosed.append(_Unclosed(page, m.end()))
+        elif page[at + 1] in "!?/":
+            token = Token(at, page.index(">", at) + 1)
+        if token is None:
+            at = page.find("<", at + 1)
+            continue
+        if token.tag in RAW_TAGS and not token.close and not _self_closed(token.attrs):
+            end = _RAW_END[token.tag].search(page, token.end, last + 1)
+            token.end = end.end() if end else len(page)
+        yield token
+        at = page.find("<", token.end)
+
+
+def _visible(page: str) -> Iterator[tuple[Token, int]]:
     """Tags and comments outside skipped elements, and the end of what each stands for."""
-    tokens, at = [], 0
-    while m := _TOKEN.search(page, at):
-        at, tag = m.end(), (m["tag"] or "").lower()
-        if tag in RAW_TAGS and not m["close"] and not _self_closed(m["attrs"]):
-            end = _RAW_END[tag].search(page, at)
-            at = end.end() if end else len(page)
-        tokens.append((m, at))
+    tokens = list(_tokens(page))
     open_tags: dict[str, list[int]] = {}
     ends: dict[int, int] = {}  # number of a skipped element's tag: of its end tag
-    for number, (m, _) in enumerate(tokens):
-        tag = (m["tag"] or "").lower()
-        if tag not in SKIPPED_TAGS:
+    for number, token in enumerate(tokens):
+        if token.tag not in SKIPPED_TAGS:
             continue
-        if not m["close"]:
-            if not _self_closed(m["attrs"]):
-                open_tags.setdefault(tag, []).append(number)
-        elif open_tags.get(tag):
-            ends[open_tags[tag].pop()] = number
+        if not token.close:
+            if not _self_closed(token.attrs):
+                open_tags.setdefault(token.tag, []).append(number)
+        elif open_tags.get(token.tag):
+            ends[open_tags[token.tag].pop()] = number
     number = 0
     while number < len(tokens):
         last = ends.get(number, number)
-        yield tokens[number][0], tokens[last][1]
+        yield tokens[number], tokens[last].end
         number = last + 1
 
 

@@ -12,13 +12,13 @@ only; it is broadcast.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +30,7 @@ PENALTY_PER_LOG = 1.0  # this times the logarithm of the number of words
 ROUNDS = 30
 UNKNOWN = "und"
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")  # no numerals, which \w takes for letters
 
 
 @dataclass

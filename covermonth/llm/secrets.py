@@ -27,13 +27,17 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal: shorter ones would be dropped
 
-# Where a credential stands: a name for it, a sign or word that gives it a value, the value. Without
-# quotes it goes on to the next white space, end tag or further assignment.
+# Where a credential stands: a name for it, at the beginning of a word or of a part of a compound, a
+# sign or word that gives it a value, the value. Without quotes it goes on to the next white space, end
+# tag or further assignment.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth|secret|client)[_-]?key|authorization|bearer)"""
-    r"""["']?\s{0,5}+[\x20\t]*+(?:=>|:=|[:=]|(?<=\s)(?:is|was)\s)\s{0,4}+[\x20\t]*+(?:bearer\s{1,4}+[\x20\t]*+)?"""
-    r"""(?:"([^"\n]{6,})"|'([^'\n]{6,})'|(?!["'`<])((?:(?!</)\S){6}(?:(?!</[a-z]|<br|[,;]["']?[a-z_][\w.-]{0,40}["']?[:=])\S)*+))""",
-    re.IGNORECASE | re.ASCII)
+    r"""(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))"""
+    r"""(?i:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth|secret|client)[_-]?key|authorization|bearer)"""
+    r"""["']?\s{0,5}+[\x20\t]*+(=>|:=|[:=]|(?<=\s)(?:is|was)\s)\s{0,4}+[\x20\t]*+(?:bearer\s{1,4}+[\x20\t]*+)?"""
+    r"""(?:"([^"\n]{6,})"|'([^'\n]{6,})'|(?!["'`<])((?:(?!</)\S){6}(?:(?!</[a-z]|<br|[,;]["']?[a-z_][\w.-]{0,40}["']?[:=])\S)*+)))""",
+    re.ASCII)
+# What prose says of a secret: a word as prose writes words.
+PROSE = re.compile(r"[^\W\d_]?[^\W\d_A-Z]+|[A-Z]+")
 
 _CLOSING = ",;:.)]}>\"'`"
 
@@ -85,13 +89,15 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
     masked = F.arrow_udf(_mask, "string")(F.col("text"))
     if "n_chars" not in docs.columns:
         return docs.withColumn("text", masked)
-    name = "n_chars"
+    name, new = "n_chars", "masked_text"
+    while new.lower() in {c.lower() for c in docs.columns}:
+        new += "_"
     kind = docs.schema[name].dataType
-    changed = docs.select(*docs.columns, masked.alias("__masked_text"))
-    same = F.col("__masked_text").eqNullSafe(F.col("text"))
+    changed = docs.select(*docs.columns, masked.alias(new))
+    same = F.col(new).eqNullSafe(F.col("text"))
     return changed.select(*[
-        F.col("__masked_text").alias("text") if c == "text"
-        else F.when(same, F.col(c)).otherwise(F.length("__masked_text").cast(kind)).alias(c)
+        F.col(new).alias("text") if c == "text"
+        else F.when(same, F.col(c)).otherwise(F.length(new).cast(kind)).alias(c)
         if c == name else F.col(c)
         for c in docs.columns])
 
@@ -102,14 +108,17 @@ def spans_of(text: str) -> list[tuple[str, int, int, float | None]]:
     found += [("hex", *m.span(), None) for m in HEX.finditer(text)]
     covered = [(start, end) for kind, start, end, _ in found if kind == "assign"]
     for m in CONTEXT.finditer(text):
-        group = next(g for g in (1, 2, 3) if m[g] is not None)
+        group = next(g for g in (2, 3, 4) if m[g] is not None)
         start, end = m.span(group)
-        if group == 3:
-            if m[3][0] == "(" and m[3].rstrip(",;:.").endswith(")"):
+        if group == 4:
+            if m[4][0] == "(" and m[4].rstrip(",;:.").endswith(")"):
                 continue  # a remark in place of a value
-            end = start + len(m[3].rstrip(_CLOSING))
+            end = start + len(m[4].rstrip(_CLOSING))
             if end - start < 6:
                 continue
+            if m[1].strip() in (":", "is", "was", "IS", "WAS", "Is", "Was") and all(
+                    PROSE.fullmatch(part) for part in re.split("[-'’]", text[start:end]) if part):
+                continue
         if any(a < end and start < b for a, b in covered):
             continue
         cost = guess_cost(text[start:end])

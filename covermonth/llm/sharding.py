@@ -1,8 +1,8 @@
 """Shards of near-equal bytes by a k-d tree over metadata.
 
 Everything here is DataFrame functions. A point of the tree is a group of equal
-texts, weighted with the bytes of all its copies, so that copies stay together. A
-group heavier than `grain` of a shard is cut into several points by a hash of the
+texts, weighted with the bytes of all its copies, so that copies stay together. Only a
+group that outweighs a whole shard is cut, into points of `grain` of a shard, by a hash of the
 document id: one text that makes up a third of all rows is spread like any others.
 
 Each level of the tree cuts all its nodes at once. The widest dimension of a node is
@@ -44,8 +44,8 @@ def kd_shards(
 
     Give the number of shards, or the bytes that a shard should have. Dimensions of
     the tree are the size of the text, `numbers` and `categories` (hashed); columns that the
-    table lacks are left out, nulls count as one more value. Equal texts share a point,
-    with the metadata of the smallest doc_id, up to `grain` of a shard.
+    table lacks are left out, nulls count as one more value. Equal texts share a point and a shard,
+    with the metadata of the smallest doc_id, unless they outweigh a shard: then they are spread.
 
     Null texts are one group of size 1 each and checksum 0. Repeated rows get a slot each. An
     empty table gives an empty result. Further columns are ignored.
@@ -98,11 +98,12 @@ def _points(docs, shards, target_bytes, numbers, categories, grain, scratch):
         return None, empty
     if shards is None:
         shards = max(1, -(-whole["bytes"] // target_bytes))
-    limit = max(1.0, grain * whole["bytes"] / shards)
+    shard_bytes = whole["bytes"] / shards
+    limit = max(1.0, grain * shard_bytes)
 
-    # At most shards / grain groups can be over the limit.
+    # Fewer groups than shards can outweigh one.
     heavy = (rows.groupBy("g").agg(F.sum("size").alias("bytes"))
-             .where(F.col("bytes") > limit)
+             .where(F.col("bytes") > shard_bytes)
              .select("g", F.ceil(F.col("bytes") / limit).alias("cells")))
     heavy = scratch.save(heavy, "heavy")
     cell = F.when(F.col("cells").isNotNull(),

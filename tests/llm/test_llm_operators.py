@@ -7,6 +7,7 @@ import gzip
 import io
 import itertools
 import random
+import time
 from fractions import Fraction
 
 import numpy as np
@@ -604,3 +605,75 @@ def test_stages_on_odd_rows(spark, docs, nothing):
         corpus_pipeline.STAGES[-1][1](spark, df, sf_dir).collect()
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir)
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 7, 9]
+
+
+# --- found in review --------------------------------------------------------------
+
+@pytest.mark.parametrize("part", ["<a ", "<a \"", "<a '\"", "<!", "<a", "<script ", "</script ", "<a x='<b \""])
+def test_broken_pages_take_linear_time(part):
+    tree = html_text.grow(*html_text.labelled())
+    for tail in ("", ">", "\">", "'>"):
+        start = time.process_time()
+        html_text.extract(part * (1_000_000 // len(part)) + tail, tree)
+        assert time.process_time() - start < 5
+
+
+def test_a_slash_closes_no_element():
+    page = ("<html><body><article><h1>Head of it</h1><p>One two three four five six seven eight nine ten.</p>"
+            "<div/><p>Second paragraph with quite a lot of words in it, more than ten.</p></div>"
+            "<p>Third paragraph with quite a lot of words in it, more than ten.</p></article></body></html>")
+    text = "\n".join(b.text for b in html_text.blocks(page))
+    assert all(word in text for word in ("One", "Second", "Third"))
+
+
+def test_quoted_attributes_hold_angle_brackets():
+    found = html_text.blocks('<p title="a<b>c">one</p><p title=\'>\'>two</p><p x="y>three</p>')
+    assert [b.text for b in found] == ["one", "two", '<p x="y>three']
+
+
+@pytest.mark.parametrize("text", [
+    "The secret is understanding your customers. A token was introduced last year.",
+    "The password is responsible for access.", "compass: northwestern winds prevailed",
+    "His passport: international travel", "Secret: Fundamentals of cooking"])
+def test_prose_is_no_secret(text):
+    assert [s for s in secrets.spans_of(text) if s[0] == "guess"] == []
+
+
+@pytest.mark.parametrize("text,value", [
+    ("db_pwd = Xk29#vQ!7zLm", "Xk29#vQ!7zLm"), ("userPwd: 'Xk29#vQ!7zLm'", "Xk29#vQ!7zLm"),
+    ("The passphrase is Xk29vQ7zLmQ2 now", "Xk29vQ7zLmQ2"), ("pwd=qzjxkvwpmr", "qzjxkvwpmr")])
+def test_credentials_are_secrets(text, value):
+    assert value in [text[a:b] for kind, a, b, _ in secrets.spans_of(text) if kind == "guess"]
+
+
+@pytest.mark.parametrize("text", ["½ ² ③ Ⅷ", "12 34", "☃ _ __"])
+def test_numerals_are_no_letters(text):
+    assert langid._WORD.findall(text) == []
+
+
+def test_equal_texts_share_a_shard_unless_they_outweigh_one(spark):
+    rows = [(i, f"text {i % 60} " + "x" * (i % 60 * 7)) for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = kd_shards(df, shards=8)
+    apart = (found.groupBy("text_crc32").agg(F.count_distinct("shard").alias("n")).where("n > 1"))
+    assert apart.count() == 0
+    heavy = df.unionAll(spark.range(400).selectExpr("id + 1000", "repeat('heavy ', 30)"))
+    found = kd_shards(heavy, shards=8)
+    assert found.where("size = 181").select("shard").distinct().count() > 3
+
+
+def test_rows_that_share_an_id_lose_no_text(spark):
+    rows = [(1, sentence(1)), (1, sentence(2)), (2, sentence(1)), (None, sentence(3)), (None, sentence(3)),
+            (3, sentence(2)), (4, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").select(
+        F.lit(1).alias("row"), "*", F.lit(2).alias("c0"), F.lit(3).alias("component_id"))
+    found = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert found.columns == df.columns
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in found.collect()))) == sorted(map(repr, [
+        (1, sentence(1)), (1, sentence(2)), (None, sentence(3)), (4, ""), (None, None)]))
+
+
+def test_masking_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([("secret=abcdef123", 16, "kept")], "text string, n_chars long, masked_text string")
+    (row,) = secrets.mask_secrets(df).collect()
+    assert (row.text, row.n_chars, row.masked_text) == ("[secret]", 8, "kept")
