@@ -35,15 +35,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest doc_id.
+    """One row of each group of near duplicates: that with the smallest doc_id, rows without one last.
 
-    Rows that repeat a doc_id are one document if their texts are linked; one of them stays. Rows
-    without doc_id stay.
+    Rows are told apart by their own numbers, so rows that share a doc_id but not their text
+    all stay, and rows without doc_id are compared like others.
     """
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    known = docs.where(F.col("doc_id").isNotNull())
-    found = known.join(kept, known["doc_id"].cast("long") == kept["kept_id"], "left_semi")
-    return found.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    scratch = Scratch(spark, "near-rows")
+    columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    text = f"c{docs.columns.index('text')}"
+    # Numbers of rows are fixed once they are written.
+    rows = scratch.save(docs.select(F.monotonically_increasing_id().alias("row"), *columns), "rows")
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), F.col(text).alias("text")))
+    order = F.struct(*([F.col("c_id").isNull().alias("none"), "c_id"]), "row")
+    ids = rows.select("row", F.col(f"c{docs.columns.index('doc_id')}").alias("c_id"))
+    kept = (found.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row")
+            .groupBy("component_id").agg(F.min(order)["row"].alias("row")).select("row"))
+    return rows.join(kept, "row", "left_semi").select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
