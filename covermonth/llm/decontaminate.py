@@ -6,9 +6,9 @@ documents by hash. Around each hit the item is laid over the document without ga
 overlap with the best score counts if enough of its words agree, or else all that the item covers, so a
 passage is found although words of it were replaced.
 
-A bitmap of fixed size holds the test seeds: what a document keeps of its millions of seeds is
-decided in the task that reads it, and only documents with such a seed are shuffled, once for all copies
-of a text.
+Bitmaps of fixed size hold the words and the seeds of the tests. Windows with other words are not even
+hashed; what a document keeps of its millions of seeds is decided in the task that reads it, and only
+documents with such a seed are shuffled, once for all copies of a text.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ SHORTEST = 8  # if that is so many words at least
 AGREEING = 0.75  # share of an overlap's words that agree
 PENALTY = 2  # for a word that differs, where one that agrees counts 1
 
-_MARKS = 6
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _STRIPPED = b".,;:!?\"'()[]{}<>*_`-"
 
@@ -87,7 +86,9 @@ def _hits_and_overlaps(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, Da
         tests.select("item_id", F.explode(F.arrays_zip("place", "seed")).alias("z"))
         .select("item_id", F.col("z.place").alias("item_place"), F.col("z.seed").alias("seed")),
         "seeds")
-    known = spark.sparkContext.broadcast(bitmap(seeds, "seed", probes=3))
+    item_words = tests.select(F.explode("item_words").alias("word")).distinct()
+    known = spark.sparkContext.broadcast(
+        (bitmap(item_words, "word"), bitmap(seeds, "seed", probes=3)))
     hits = scratch.save(
         docs.mapInArrow(lambda batches: _document_seeds(batches, known),
                         "doc_id long, digest string, node binary, words array<long>, "
@@ -117,13 +118,26 @@ def _hits_and_overlaps(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, Da
 
 
 class PlainHashes(WordHashes):
-    """Hash of each word without the punctuation at its ends; 0 if nothing else is left."""
+    """Hash of each word without the punctuation at its ends; 0 if nothing else is left.
+
+    The last bit tells whether the word may be one of an item, by a bitmap of the items' hashes; of
+    items, all are.
+    """
+
+    def __init__(self, known: np.ndarray | None = None) -> None:
+        super().__init__()
+        self.known = known
+        self.last = 0 if known is None else len(known) * 64 - 1
 
     def __missing__(self, word: bytes) -> int:
         plain = word.strip(_STRIPPED)
         if plain == word:
-            return super().__missing__(word)
-        value = self[plain] if plain else 0
+            value = super().__missing__(word) | 1
+            if self.known is not None:
+                place = value & self.last
+                value ^= ~int(self.known[place >> 6]) >> (place & 63) & 1
+        else:
+            value = self[plain] if plain else 0
         self[word] = value
         return value
 
@@ -134,20 +148,24 @@ def _tokens(text: str | None, memory: PlainHashes) -> np.ndarray:
 
 
 def _seeds(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places and hashes of all windows, mask by mask."""
-    # A hash is a polynomial of the marked words; the products are the same for all masks.
-    products = [tokens]
-    for _ in range(_MARKS - 1):
-        products.append(products[-1] * _FACTOR)
+    """Places and hashes of the windows whose marked words may all be words of items, mask by mask."""
+    likely = (tokens & np.uint64(1)).astype(bool)
     for number, mask in enumerate(MASKS):
         windows = len(tokens) - len(mask) + 1
         if windows <= 0:
             continue
-        value = np.full(windows, (number + 1) * int(_FACTOR) ** _MARKS % 2**64, np.uint64)
-        places = [k for k, mark in enumerate(mask) if mark == "1"]
-        for product, k in zip(reversed(products), places, strict=True):
-            value += product[k:k + windows]
-        yield np.arange(windows, dtype=np.int32), mix(value)
+        marks = [k for k, mark in enumerate(mask) if mark == "1"]
+        whole = likely[marks[0]:marks[0] + windows]
+        for k in marks[1:]:
+            whole = whole & likely[k:k + windows]
+        places = np.flatnonzero(whole)
+        if not len(places):
+            continue
+        # A polynomial of the marked words.
+        value = np.full(len(places), number + 1, np.uint64)
+        for k in marks:
+            value = value * _FACTOR + tokens[places + k]
+        yield places.astype(np.int32), mix(value)
 
 
 def _columns(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[pa.Array]:
@@ -183,7 +201,8 @@ def _test_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _document_seeds(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
-    memory, bits = PlainHashes(), known.value
+    words_of_items, bits = known.value
+    memory = PlainHashes(words_of_items)
     for whole in batches:
         for start in range(0, whole.num_rows, 500):
             batch = whole.slice(start, 500)

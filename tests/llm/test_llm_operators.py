@@ -677,3 +677,23 @@ def test_masking_keeps_columns_of_any_name(spark):
     df = spark.createDataFrame([("secret=abcdef123", 16, "kept")], "text string, n_chars long, masked_text string")
     (row,) = secrets.mask_secrets(df).collect()
     assert (row.text, row.n_chars, row.masked_text) == ("[secret]", 8, "kept")
+
+
+def test_words_of_no_item_are_marked_and_all_of_items_found():
+    from covermonth.llm.decontaminate import PlainHashes, _seeds, _tokens
+
+    known = PlainHashes()
+    item = _tokens("one, two three four five six seven eight nine ten eleven", known)
+    bits = np.zeros(1 << 18, np.uint64)
+    for value in item.tolist():
+        place = value & ((1 << 24) - 1)
+        bits[place >> 6] |= np.uint64(1 << (place & 63))
+    memory = PlainHashes(bits)
+    text = _tokens("zero one two 'three' four five six seven eight other nine ten eleven -- words", memory)
+    assert (text[1:9] == item[:8]).all() and (text[10:13] == item[8:]).all()
+    assert not text[[0, 9, 13]].astype(np.uint64).__and__(np.uint64(1)).any()
+    of_item = {int(s) for _, seeds in _seeds(item) for s in seeds}
+    of_text = {int(s) for _, seeds in _seeds(text) for s in seeds}
+    # Those windows of the text that stand in the item as well, by every mask.
+    assert of_item & of_text == {
+        int(s) for _, seeds in _seeds(item[:8]) for s in seeds}
