@@ -31,6 +31,7 @@ MASKS = ("11101101", "110110011", "1101001011", "11001010101", "111111", "110101
 MIN_WORDS = 13  # words that agree in an overlap,
 MIN_SHARE = 0.8  # or this share of the item's words,
 SHORTEST = 8  # if that is so many words at least
+TOGETHER = 300_000  # words looked through at once
 AGREEING = 0.75  # share of an overlap's words that agree
 PENALTY = 2  # for a word that differs, where one that agrees counts 1
 
@@ -203,27 +204,49 @@ def _test_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _document_seeds(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
     words_of_items, bits = known.value
     memory = PlainHashes(words_of_items)
-    for whole in batches:
-        for start in range(0, whole.num_rows, 500):
-            batch = whole.slice(start, 500)
-            ids, digests, nodes, rows = [], [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(),
-                                 batch.column("text").to_pylist(), strict=True):
-                tokens = _tokens(text, memory)
-                kept = []
-                for places, seeds in _seeds(tokens):
-                    likely = possible(bits, seeds, probes=3)
-                    if likely.any():
-                        kept.append((places[likely], seeds[likely]))
-                if kept:
-                    ids.append(doc)
-                    digests.append(hashlib.sha256(text.encode()).hexdigest())
-                    nodes.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
-                    rows.append((tokens, *_joined(kept)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(digests, pa.string()),
-                 pa.array(nodes, pa.binary()), *_columns(rows)],
-                ["doc_id", "digest", "node", "words", "place", "seed"])
+    for batch in batches:
+        held, size = [], 0
+        for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+            text = text.as_py()
+            tokens = _tokens(text, memory)
+            held.append((doc.as_py(), text, tokens))
+            size += len(tokens)
+            if size >= TOGETHER:
+                yield _likely_documents(held, bits)
+                held, size = [], 0
+        if held:
+            yield _likely_documents(held, bits)
+
+
+def _likely_documents(docs: list[tuple[int | None, str, np.ndarray]], bits: np.ndarray) -> pa.RecordBatch:
+    """The documents that have a seed of an item, looked through together.
+
+    Between two documents lie words of no item, as many as the longest mask: all masks begin
+    and end with a mark, so no window goes over them.
+    """
+    gap = np.zeros(max(map(len, MASKS)), np.uint64)
+    parts = [part for _, _, tokens in docs for part in (tokens, gap)]
+    lengths = np.array([len(tokens) + len(gap) for _, _, tokens in docs])
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    places, seeds = _joined(list(_seeds(np.concatenate(parts))))
+    likely = possible(bits, seeds, probes=3)
+    places, seeds = places[likely], seeds[likely]
+    owner = np.searchsorted(starts, places, side="right") - 1
+    order = np.argsort(owner, kind="stable")
+    owner, places, seeds = owner[order], places[order], seeds[order]
+    found, firsts = np.unique(owner, return_index=True)
+    ends = np.append(firsts, len(owner))[1:]
+    ids, digests, nodes, rows = [], [], [], []
+    for k, first, end in zip(found.tolist(), firsts, ends, strict=True):
+        doc, text, tokens = docs[k]
+        ids.append(doc)
+        digests.append(hashlib.sha256(text.encode()).hexdigest())
+        nodes.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+        rows.append((tokens, (places[first:end] - starts[k]).astype(np.int32), seeds[first:end]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array(digests, pa.string()),
+         pa.array(nodes, pa.binary()), *_columns(rows)],
+        ["doc_id", "digest", "node", "words", "place", "seed"])
 
 
 def best_overlap(same: np.ndarray) -> tuple[int, int, int]:
