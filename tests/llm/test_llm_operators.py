@@ -3,15 +3,18 @@ tables, clashing names; and what single functions promise."""
 
 from __future__ import annotations
 
+import collections
 import gzip
 import io
 import itertools
+import math
 import random
 import time
 from fractions import Fraction
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -205,7 +208,8 @@ def test_scores_of_odd_rows(docs, nothing):
     assert brown.score(nothing, F.lit(False)).count() == 0
     untrained = rows(brown.score(docs, F.lit(True)))
     assert {(r["n_known"], r["train_tokens"]) for r in untrained} == {(0, 0)}
-    assert all(r["score"] < 0 or r["n_tokens"] == 1 for r in untrained)
+    # All that is left is the share of unseen words, which is all.
+    assert all(r["score"] == pytest.approx(r["base_score"]) == 0 for r in untrained)
 
 
 def test_words_outside_the_dictionary_are_joined(docs, monkeypatch):
@@ -216,23 +220,101 @@ def test_words_outside_the_dictionary_are_joined(docs, monkeypatch):
     assert small == pytest.approx(whole)
 
 
-def test_moves_raise_the_likelihood(spark):
-    """Two kinds of words that alternate end in different classes."""
+def _kinds(spark, core, dictionary, monkeypatch):
+    """Texts in which words of two kinds alternate, each kind with frequent and rare words; their model."""
     choose = random.Random(1)
-    texts = [(" ".join(choose.choice(["a1", "a2", "a3"] if k % 2 else ["b1", "b2", "b3"])
-                       for k in range(50)),) for _ in range(40)]
-    training = spark.createDataFrame(texts, "text string")
+    kinds = [[*[f"{k}{i}" for i in range(3)] * 9, *[f"{k}x{i}" for i in range(9)]] for k in "ab"]
+    texts = [(n, " ".join(choose.choice(kinds[k % 2]) for k in range(50)), n >= 180)
+             for n in range(200)]
+    monkeypatch.setattr(brown, "CORE", core)
+    monkeypatch.setattr(brown, "DICTIONARY", dictionary)
     scratch = Scratch(spark, "t")
-    counts = scratch.save(training.mapInArrow(brown._count_words, "word binary, n long")
-                          .groupBy("word").agg(F.sum("n").alias("n")), "counts")
-    model = brown.train(training, counts, scratch)
-    units = brown.Units(model.dictionary[:brown.OWN_UNITS])
-    kinds = [{model.class_of[units[w]] for w in ws} for ws in
-             ((b"a1", b"a2", b"a3"), (b"b1", b"b2", b"b3"))]
-    assert not kinds[0] & kinds[1]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, held_out boolean")
+    words, counts, outside, codes = brown.encode(docs, scratch)
+    model, others = brown.train(codes.where("NOT held_out"), counts, outside, scratch)
+    classes = dict(zip(words, model.class_of, strict=False))
+    by_hash = {r["hash"]: r for r in others.collect()}
+    assert len(by_hash) == outside
+    for word in {w.encode() for ws in kinds for w in ws} - set(words):
+        row = by_hash[int(np.uint64(xxhash.xxh64_intdigest(word)).view(np.int64))]
+        classes[word] = row["class"]
+    return docs, model, classes, [{w.encode() for w in ws} for ws in kinds]
+
+
+@pytest.mark.parametrize(("core", "dictionary"), [(2048, 1 << 18), (7, 1 << 18), (7, 12)])
+def test_every_word_is_classed_by_its_neighbours(spark, monkeypatch, core, dictionary):
+    """In rounds, placed in tasks, and outside the dictionary: the kinds never share a class."""
+    _, model, classes, kinds = _kinds(spark, core, dictionary, monkeypatch)
+    found = [{classes[w] for w in ws} for ws in kinds]
+    assert not found[0] & found[1]
     assert (10 ** model.transitions).sum(axis=1) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("dictionary", [1 << 18, 12])
+def test_scores_are_those_of_the_counts(spark, monkeypatch, dictionary):
+    """Scores from plain counts over the training texts, given each word's class."""
+    docs, model, classes, _ = _kinds(spark, 7, dictionary, monkeypatch)
+    texts = [(r.doc_id, [*r.text.encode().split(), brown.END], r.held_out) for r in docs.collect()]
+    inside = {w for w, n in zip(classes, model.counts, strict=False)}
+    counts, cells = collections.Counter(), collections.Counter()
+
+    def pairs(tokens):
+        for before, word in zip([brown.END, *tokens], tokens, strict=False):
+            yield classes[before] if before in inside else brown.REST, word
+
+    for _, tokens, held_out in texts:
+        if not held_out:
+            counts.update(tokens)
+            cells.update((state, classes[word]) for state, word in pairs(tokens))
+    total = sum(counts.values())
+    of_class, distinct, of_state = (collections.Counter() for _ in range(3))
+    for word, n in counts.items():
+        of_class[classes[word]] += n
+        distinct[classes[word]] += 1
+    for (state, _), n in cells.items():
+        of_state[state] += n
+
+    def chance(state, word):
+        c = classes[word]
+        prior = (of_class[c] + 1) / (total + brown.CLASSES)
+        return ((cells[state, c] + 10 * prior) / (of_state[state] + 10)
+                * (counts[word] + 0.1) / (of_class[c] + 0.1 * (distinct[c] + 1)))
+
+    monkeypatch.setattr(brown, "train", lambda *_: _trained(model, classes, counts, spark))
+    found = {r["doc_id"]: r["score"] for r in brown.score(docs, F.col("held_out")).collect()}
+    for doc, tokens, _ in texts:
+        assert found[doc] == pytest.approx(sum(math.log10(chance(*p)) for p in pairs(tokens)))
+
+
+def _trained(model, classes, counts, spark):
+    words = [w for w in classes][len(model.counts):]
+    return model, spark.createDataFrame(
+        [(int(np.uint64(xxhash.xxh64_intdigest(w)).view(np.int64)), int(classes[w]), counts[w])
+         for w in words], "hash long, class int, n long")
+
+
+def test_best_class_is_that_of_the_likelihood():
+    """Against the whole likelihood after each possible move, by the classes before a word."""
+    choose = np.random.default_rng(3)
+    for own in (brown.REST, 5):
+        before = np.zeros(brown.STATES, np.int64)
+        before[choose.integers(0, brown.STATES, 6)] = choose.integers(1, 50, 6)
+        cells = choose.integers(0, 200, (brown.STATES, brown.CLASSES)).astype(float)
+        if own < brown.CLASSES:
+            cells[:, own] += before
+        kinds = np.flatnonzero(before)
+        found = brown.best_classes(cells, np.array([0]), kinds, before[kinds], np.array([own]))
+
+        def value(c, cells=cells, before=before, own=own):
+            moved = cells.copy()
+            if own < brown.CLASSES:
+                moved[:, own] -= before
+            moved[:, c] += before
+            return brown._xlogx(moved).sum() - brown._xlogx(moved.sum(axis=0)).sum()
+
+        assert found[0] == max(range(brown.CLASSES), key=value)
+
+
 # --- html ---------------------------------------------------------------------
 
 def test_main_text_of_odd_pages(spark):
