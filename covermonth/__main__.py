@@ -39,11 +39,16 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--lake", required=True, help="folder of the layer tables")
             job.add_argument("--layers", nargs="+", default=layers.ALL_LAYERS,
                              choices=layers.ALL_LAYERS)
+            job.add_argument("--keep-rejects", action="store_true",
+                             help="with strict dates: a table of the policies that break them")
             job.add_argument("--fmt", default="parquet", help="format of the layer tables")
     for name in ("reprocess", "sort"):
         job = jobs.add_parser(name)
         job.add_argument("--reports", required=True)
         job.add_argument("--target", required=True)
+        if name == "sort":
+            job.add_argument("--lookup", action="store_true",
+                             help="prepare the report for looking up documents")
     return parser
 
 
@@ -54,7 +59,8 @@ def main(arguments: list[str] | None = None) -> None:
     if options.job == "reprocess":
         result = layers.reprocess_reports(spark, options.reports, options.target)
     elif options.job == "sort":
-        result = layers.sort_reports(spark, options.reports, options.target)
+        result = layers.sort_reports(spark, options.reports, options.target,
+                                     lookup=options.lookup)
     else:
         paths = layers.Paths(
             options.core, options.claims, getattr(options, "lake", None), options.reports)

@@ -77,13 +77,17 @@ def with_parsed_dates(
     return df.drop(*[f"_swapped_{c}" for c in columns])
 
 
-def parse_date_strict(text: Column) -> Column:
-    """Date in the one format d/m/Y; any other text fails the query."""
+def day_first_date(text: Column) -> Column:
+    """Date in the one format d/m/Y; NULL for any other text."""
     text = _date_text(text)
     iso = _reversed_parts(F.replace(text, F.lit("/"), F.lit("-")))
-    parsed = F.when(text.rlike(_DAY_FIRST_SHAPE), iso.try_cast("date"))
-    failure = F.raise_error(F.concat(F.lit("not a d/m/Y date: "), text)).cast("date")
-    return F.coalesce(parsed, F.when(text.isNotNull(), failure))
+    return F.when(text.rlike(_DAY_FIRST_SHAPE), iso.try_cast("date"))
+
+
+def parse_date_strict(text: Column) -> Column:
+    """Date in the one format d/m/Y; any other text fails the query."""
+    failure = F.raise_error(F.concat(F.lit("not a d/m/Y date: "), _date_text(text))).cast("date")
+    return F.coalesce(day_first_date(text), F.when(text.isNotNull(), failure))
 
 
 def is_placeholder(date: Column) -> Column:

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.functions.dates import (
     DEFAULT_YEAR_PIVOT,
     coverage_bounds,
+    day_first_date,
     is_placeholder,
     is_valid_date,
     parse_date_strict,
     whole_months_between,
     with_parsed_dates,
 )
+from covermonth.plans.barrier import stage_barrier
 
 
 def parse_dates(
@@ -35,20 +37,45 @@ def parse_dates(
     raise ValueError(f"unknown date mode: {mode}")
 
 
+def split_off_date_faults(
+    df: DataFrame, columns: list[str] = S.CORE_DATE_COLUMNS
+) -> DataFrame:
+    """Strict dates that do not fail: each row tells which of its texts are no d/m/Y dates.
+
+    FAULTS has bit i set if the i-th of ``columns`` is not NULL and does not fit (0: a good
+    row). FAULTY_DATES holds the texts of a row with a fault and is NULL otherwise; where a
+    text does not fit, its date is NULL. No row is added or dropped.
+    """
+    parsed = {f"_date_{c}": day_first_date(F.col(c)) for c in columns}
+    df = stage_barrier(df.withColumns(parsed))
+    faults = F.lit(0)
+    for i, name in enumerate(columns):
+        no_date = F.col(name).isNotNull() & F.col(f"_date_{name}").isNull()
+        faults = faults.bitwiseOR(F.when(no_date, F.lit(1 << i)).otherwise(F.lit(0)))
+    df = df.withColumn("FAULTS", faults)
+    df = df.withColumn("FAULTY_DATES", F.when(F.col("FAULTS") != 0, F.struct(*columns)))
+    df = df.withColumns({c: F.col(f"_date_{c}") for c in columns})
+    return df.drop(*parsed)
+
+
 def clear_placeholder_ends(df: DataFrame) -> DataFrame:
     """Far-future placeholder end dates become NULL."""
     end = F.col("F_FIN_COBERT")
     return df.withColumn("F_FIN_COBERT", F.when(~is_placeholder(end), end))
 
 
-def date_range_filter(df: DataFrame) -> DataFrame:
-    """Require a valid start; end and cancellation may be missing."""
+def date_range_filter(df: DataFrame, spared: Column | None = None) -> DataFrame:
+    """Require a valid start; end and cancellation may be missing.
+
+    Rows for which ``spared`` is true stay whatever their dates.
+    """
     end, cancelled = F.col("F_FIN_COBERT"), F.col("F_ANULACION_CERT")
-    return df.where(
+    in_range = (
         is_valid_date(F.col("F_INI_COBER"))
         & (end.isNull() | is_valid_date(end))
         & (cancelled.isNull() | is_valid_date(cancelled))
     )
+    return df.where(in_range if spared is None else spared | in_range)
 
 
 def add_coverage_bounds(df: DataFrame) -> DataFrame:
@@ -57,14 +84,20 @@ def add_coverage_bounds(df: DataFrame) -> DataFrame:
     return df.withColumns({"_FIRST": first, "_LAST": last})
 
 
-def expand_months(df: DataFrame) -> DataFrame:
+def expand_months(df: DataFrame, unbounded: Column | None = None) -> DataFrame:
     """One row per month from _FIRST to _LAST, dated F_OCURRENCIA.
 
+    Rows for which ``unbounded`` is true stay one row, without a date.
+
     Month numbers are generated and added to the first day: a sequence of
     integers is much cheaper than one of dates, which goes through time-zone
     arithmetic for each element.
     """
     months = whole_months_between(F.col("_FIRST"), F.col("_LAST"))
-    df = df.withColumn("_month", F.explode(F.sequence(F.lit(0), months)))
+    if unbounded is None:
+        df = df.withColumn("_month", F.explode(F.sequence(F.lit(0), months)))
+    else:
+        steps = F.when(~unbounded, F.sequence(F.lit(0), months))
+        df = df.where(unbounded | months.isNotNull()).withColumn("_month", F.explode_outer(steps))
     occurrence = F.add_months(F.col("_FIRST"), F.col("_month"))
     return df.withColumn("F_OCURRENCIA", occurrence).drop("_FIRST", "_LAST", "_month")

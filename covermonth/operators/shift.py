@@ -9,9 +9,11 @@ from covermonth import schemas as S
 from covermonth.functions.text import is_integer, is_text_only, strip
 
 
-def strip_all(df: DataFrame) -> DataFrame:
-    """Strip white space from both ends of every column."""
-    return df.select(*[strip(F.col(name)).alias(name) for name in df.columns])
+def strip_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Strip white space from both ends of every column, or of ``columns`` only."""
+    stripped = df.columns if columns is None else columns
+    return df.select(*[
+        strip(F.col(name)).alias(name) if name in stripped else name for name in df.columns])
 
 
 def _shift_flags(blank_ruc_is_null: bool) -> tuple[Column, Column]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from covermonth import schemas as S
 from covermonth.functions.dates import DEFAULT_YEAR_PIVOT
 from covermonth.operators.claims import consolidate_claims
-from covermonth.operators.core import consolidate_core
+from covermonth.operators.core import consolidate_core, consolidate_core_strict
 from covermonth.operators.reports import add_last_digit, order_by_document
 from covermonth.sinks.storage import discard, require_path, staging_path
 from covermonth.sinks.tables import (
@@ -41,6 +41,10 @@ _SKIPPED = "SKIPPED"
 # Rows of a sort task before compression, and the size of one in memory.
 _RANGE_BYTES = 1024 * 1024 * 1024
 _RAW_ROW_BYTES = 300
+# Policies that break strict dates: their layer, the partition column, where they come from.
+REJECTS = "rejects"
+_REJECTED = "REJECTED"
+_ORIGIN = ("FILE", "BRONZE_FILE", "BRONZE_ROW")
 # Number of a row within its Parquet file, while rows are put in order.
 _ROW = "_row"
 _BASES = {CORE: S.BASE_CORE, CLAIMS: S.BASE_CLAIMS}
@@ -52,6 +56,7 @@ class Options:
 
     ``fmt`` is the format of the layer tables, any that the session knows.
     ``by_log`` publishes tables and reports by a commit log (None: on object stores).
+    ``keep_rejects`` is for strict dates in layers: see build_silver.
     """
 
     always_clean: bool = False
@@ -60,6 +65,7 @@ class Options:
     date_mode: str = "lenient"
     year_pivot: int = DEFAULT_YEAR_PIVOT
     blank_ruc_is_null: bool = False
+    keep_rejects: bool = False
     drop_optional: bool = False
     fmt: str = "parquet"
     by_log: bool | None = None
@@ -126,11 +132,26 @@ def load_claims(spark: SparkSession, lake: str, fmt: str = "parquet") -> DataFra
 
 # --- silver and gold -----------------------------------------------------
 
+class RejectedRows(ValueError):
+    """Policies break strict dates; ``counts`` has them by column, and all as ``policies``."""
+
+    def __init__(self, counts: dict[str, int], where: str):
+        super().__init__(f"dates that are not d/m/Y, see {where}: {counts}")
+        self.counts = counts
+
+
 def build_silver(
     spark: SparkSession, lake: str, source: str,
     run_date: datetime.date | str | None = None, options: Options = Options(),
 ) -> int:
-    """Consolidated rows from the bronze table of ``source``."""
+    """Consolidated rows from the bronze table of ``source``.
+
+    With ``keep_rejects``, the policies that break strict dates are written to the table
+    ``rejects/core`` with their texts, one fault bit per column and their place in the bronze
+    table, and RejectedRows tells how many there are. The silver table stays as it was.
+    """
+    if options.keep_rejects and source == CORE:
+        return _silver_or_rejects(spark, lake, run_date, options)
     if source == CLAIMS:
         raw = load_claims(spark, lake, options.fmt)
     else:
@@ -139,6 +160,36 @@ def build_silver(
     return save_layer(df, lake, SILVER, source, options.fmt, by_log=options.by_log)
 
 
+def _silver_or_rejects(
+    spark: SparkSession, lake: str, run_date: datetime.date | str | None, options: Options
+) -> int:
+    """Silver policies, or else the table of rejects: one pass over the bronze table writes both
+    to the staged table, in partitions of their own."""
+    if options.date_mode != "strict":
+        raise ValueError("rejects are kept of strict dates only")
+    raw = load_layer(spark, lake, BRONZE, CORE, options.fmt)
+    file, row = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    if options.fmt == "parquet":
+        file, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    raw = raw.withColumns({"BRONZE_FILE": file, "BRONZE_ROW": row})
+    df = consolidate_core_strict(raw, run_date, options.blank_ruc_is_null, _ORIGIN)
+    df = df.withColumn(_REJECTED, F.col("FAULTS") != 0)
+
+    def refuse_rejects(written: DataFrame, _: int) -> None:
+        rejected = written.where(F.col(_REJECTED).cast("boolean")).select(
+            *[c for c in S.CONSOLIDATED_COLUMNS if c not in (*S.CORE_DATE_COLUMNS, "F_OCURRENCIA")],
+            "FAULTY_DATES.*", "FAULTS", *_ORIGIN)
+        bits = [F.sum(F.getbit("FAULTS", F.lit(i)).cast("bigint")).alias(name)
+                for i, name in enumerate(S.CORE_DATE_COLUMNS)]
+        counts = rejected.agg(F.count(F.lit(1)).alias("policies"), *bits).first().asDict()
+        if counts["policies"]:
+            save_layer(rejected, lake, REJECTS, CORE, options.fmt, by_log=options.by_log)
+            raise RejectedRows(counts, layer_path(lake, REJECTS, CORE))
+
+    return save_layer(df, lake, SILVER, CORE, options.fmt, refuse_rejects, _REJECTED,
+                      options.by_log)
+
+
 def export_gold(
     spark: SparkSession, lake: str, reports: str, source: str,
     run_date: datetime.date | str, options: Options = Options(),
@@ -148,7 +199,7 @@ def export_gold(
     # Parquet knows the number of a row; other formats give the session's.
     row = (F.col("_metadata.row_index") if options.fmt == "parquet"
            else F.monotonically_increasing_id())
-    df = df.withColumn(_ROW, row)
+    df = df.withColumn(_ROW, row).select(*S.CONSOLIDATED_COLUMNS, _ROW)
     df = _in_document_order(df, _sort_ranges(df))
     path = f"{reports.rstrip('/')}/{report_name(_BASES[source], run_date)}"
     return write_report(df, path, options.drop_optional, by_log=options.by_log)
@@ -229,6 +280,8 @@ def run_direct(
 ) -> dict[str, int]:
     """Reports straight from the source folders; rows by source."""
     _check_choice(sources, ALL_SOURCES)
+    if options.keep_rejects:
+        raise ValueError("rejects are kept by layered runs only")
     run_date = run_date or datetime.date.today()
     for source in sources:
         require_path(spark, getattr(paths, source), f"{source} folder")
@@ -268,14 +321,16 @@ def reprocess_reports(spark: SparkSession, reports: str, target: str) -> int:
 
 
 def sort_reports(
-    spark: SparkSession, reports: str, target: str, partitions: int | None = None
+    spark: SparkSession, reports: str, target: str, partitions: int | None = None,
+    lookup: bool = False,
 ) -> int:
     """All consolidated reports as one, in document order.
 
     ``partitions`` is the number of ranges; by default it follows from the
-    rows of the reports.
+    rows of the reports. ``lookup`` prepares the report for find_documents.
     """
     df = read_reports(spark, reports, row_number=_ROW)
     df = _in_document_order(df, partitions or _sort_ranges(df))
     path = f"{target.rstrip('/')}/{SORTED_REPORT_NAME}"
-    return write_report(df, path, row_group_rows=S.ROW_GROUP_ROWS_SORTED)
+    return write_report(df, path, row_group_rows=S.ROW_GROUP_ROWS_SORTED,
+                        lookup_by="NRO_DOCUMENTO" if lookup else None)

@@ -28,6 +28,7 @@ REPORT_NAMES = {
     S.BASE_CORE: "Consolidado_Emision_Core",
     S.BASE_CLAIMS: "Consolidado_Emision_Siniestros",
 }
+FILE_INDEX = "_file_index"
 SORTED_REPORT_NAME = "Archivo_Consolidado_Ordenado.parquet"
 
 
@@ -65,6 +66,7 @@ def write_report(
     row_group_rows: int = S.ROW_GROUP_ROWS_REPORT,
     max_rows_per_file: int = S.FILE_ROWS_REPORT,
     by_log: bool | None = None,
+    lookup_by: str | None = None,
 ) -> int:
     """Write a ZSTD Parquet report and return its number of rows.
 
@@ -72,13 +74,31 @@ def write_report(
     would be empty, an older report stays as it was. ``by_log`` publishes it by
     a commit log instead of a rename; see ``published``. ``drop_optional`` leaves
     out PARENTESCO and FI. A task that has more than ``max_rows_per_file`` rows
-    writes several files.
+    writes several files. ``lookup_by`` names a text column by which rows are to be
+    found again: its row groups get Bloom filters, and the data an index of its files
+    (see sources/lookup.py), which is published with it.
     """
     if drop_optional:
         df = df.drop(*S.CORE_OPTIONAL_COLUMNS)
     options = parquet_options(row_group_rows)
     options["maxRecordsPerFile"] = str(max_rows_per_file)
-    return _write_and_publish(df, path, "parquet", options, _check_row_count, by_log=by_log)
+    if lookup_by is not None:
+        options[f"parquet.bloom.filter.enabled#{lookup_by}"] = "true"
+    return _write_and_publish(
+        df, path, "parquet", options, _check_row_count, by_log=by_log, lookup_by=lookup_by)
+
+
+def _write_file_index(spark: SparkSession, folder: str, column: str) -> None:
+    """Smallest and largest value of ``column`` in each file, in a folder within the data.
+
+    Readers of the data do not see the folder, and it moves with the data. One column is
+    read for it, and a row per file is written.
+    """
+    files = spark.read.parquet(folder).groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.min(column).alias("first"), F.max(column).alias("last"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(column).isNull()).alias("without"))
+    files.coalesce(1).write.parquet(f"{folder}/{FILE_INDEX}")
 
 
 def _check_row_count(written: DataFrame, rows: int) -> None:
@@ -90,13 +110,14 @@ def _check_row_count(written: DataFrame, rows: int) -> None:
 
 def _write_and_publish(
     df: DataFrame, path: str, fmt: str, options: dict, check=None, partition_by: str | None = None,
-    by_log: bool | None = None,
+    by_log: bool | None = None, lookup_by: str | None = None,
 ) -> int:
     spark = df.sparkSession
     if by_log is None:
         by_log = is_object_store(path) or has_commits(spark, path)
     if by_log:
-        return _write_and_commit(df, path, fmt, options, check, partition_by)
+        return _write_and_commit(
+            df, path, fmt, options, check, partition_by, lookup_by=lookup_by)
     staged = staging_path(path)
     log.info("%s: %s", path, df.schema.simpleString())
     try:
@@ -105,6 +126,8 @@ def _write_and_publish(
             raise ValueError(f"no rows for {path}")
         if check is not None:
             check(spark.read.format(fmt).load(staged), rows)
+        if lookup_by is not None:
+            _write_file_index(spark, staged, lookup_by)
         publish(spark, staged, path)
     except Exception:
         discard(spark, staged)
@@ -115,7 +138,7 @@ def _write_and_publish(
 
 def _write_and_commit(
     df: DataFrame, path: str, fmt: str, options: dict, check=None, partition_by: str | None = None,
-    only_after: int | None = None,
+    only_after: int | None = None, lookup_by: str | None = None,
 ) -> int:
     """Write a new version and publish it by one entry of the log.
 
@@ -130,6 +153,8 @@ def _write_and_commit(
         raise ValueError(f"no rows for {path}")
     if check is not None:
         check(spark.read.format(fmt).load(version), rows)
+    if lookup_by is not None:
+        _write_file_index(spark, version, lookup_by)
     commit = commit_version(spark, path, version, rows, only_after)
     log.info("%s: %d rows, commit %d", path, rows, commit.number)
     sweep(spark, path)

@@ -26,6 +26,7 @@ from covermonth.operators.coverage import (
     parse_dates,
 )
 from covermonth.operators.documents import pad_documents, quality_filter, resolve_documents
+from covermonth.operators.duplicates import duplicate_members, one_of_each
 from covermonth.operators.reports import add_last_digit, union_bases
 from covermonth.operators.shift import shift_repair, strip_all
 from covermonth.plans import layers
@@ -37,6 +38,7 @@ from covermonth.sinks.tables import (
     load_layer,
     published,
     replace_if_unchanged,
+    save_layer,
     write_report,
 )
 from covermonth.sources.csv_files import (
@@ -47,6 +49,7 @@ from covermonth.sources.csv_files import (
     require_core_files,
 )
 from covermonth.sources.inventory import MARK, unread_files
+from covermonth.sources.lookup import find_documents
 from covermonth.sources.parquet_files import check_report, read_consolidated, report_paths
 from covermonth.sources.workbooks import (
     claims_rows,
@@ -247,6 +250,33 @@ def dedup_exact(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_rows(_claims_with_copies(spark, sf))
 
 
+@register(oracle.claims_until("claims_clean", """SELECT * FROM (SELECT *, count(*) OVER (
+  PARTITION BY NRO_DOCUMENTO, COD_RAMO, POLIZA, CERTIFICADO, ASEGURADO, F_INI_COBER) COPIES
+  FROM claims_clean) WHERE COPIES > 1"""), name="duplicate_members")
+def duplicated_claims(spark: SparkSession, sf: str) -> DataFrame:
+    """Claims that are reported more than once, each time they are."""
+    return duplicate_members(clean_claims(inputs.claims_raw(spark, sf)))
+
+
+@register(oracle.claims_until("claims_clean", """SELECT * FROM (SELECT *, count(*) OVER (
+  PARTITION BY NRO_DOCUMENTO, POLIZA, CERTIFICADO) COPIES FROM claims_clean)
+  WHERE COPIES > 1"""))
+def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Claims that share document, policy and certificate with another one."""
+    return duplicate_members(clean_claims(inputs.claims_raw(spark, sf)),
+                             ["NRO_DOCUMENTO", "POLIZA", "CERTIFICADO"])
+
+
+@register(oracle.claims_until("claims_clean", """SELECT * FROM claims_clean QUALIFY
+  row_number() OVER (PARTITION BY NRO_DOCUMENTO, ASEGURADO, POLIZA ORDER BY
+    NRO_DOCUMENTO, COD_RAMO, POLIZA, CERTIFICADO, ASEGURADO, F_INI_COBER) = 1"""))
+def unique_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The first claim of each document, person and policy."""
+    df = clean_claims(inputs.claims_raw(spark, sf)).select(
+        "NRO_DOCUMENTO", "COD_RAMO", "POLIZA", "CERTIFICADO", "ASEGURADO", "F_INI_COBER")
+    return one_of_each(df, ["NRO_DOCUMENTO", "ASEGURADO", "POLIZA"])
+
+
 @register(oracle.both(oracle.BOTH), name="union_bases")
 def union_of_bases(spark: SparkSession, sf: str) -> DataFrame:
     return union_bases(core_consolidate(spark, sf), claims_consolidate(spark, sf))
@@ -285,6 +315,18 @@ def ordered_consolidate(spark: SparkSession, sf: str) -> DataFrame:
     return _with_order(df).select(*S.CONSOLIDATED_COLUMNS, "IN_ORDER")
 
 
+@register(oracle.both(f"""SELECT * FROM ({oracle.BOTH}) WHERE NRO_DOCUMENTO IN (
+  SELECT NRO_DOCUMENTO FROM ({oracle.BOTH}) GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 20)"""))
+def document_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """All months of the 20 documents that have most of them, from the sorted report."""
+    folder = _reports(spark, sf)
+    layers.sort_reports(spark, folder, f"{folder}_sorted", lookup=True)
+    (path,) = report_paths(spark, f"{folder}_sorted")
+    top = (spark.read.parquet(path).groupBy("NRO_DOCUMENTO").count()
+           .orderBy(F.desc("count"), "NRO_DOCUMENTO").limit(20))
+    return find_documents(spark, path, [r.NRO_DOCUMENTO for r in top.collect()])
+
+
 def _with_order(df: DataFrame) -> DataFrame:
     """Compare rows within a file, and files by their first and last keys."""
     def key(column: str) -> Column:
@@ -534,6 +576,42 @@ def bronze_core(spark: SparkSession, sf: str) -> DataFrame:
     return _with_lineage_flags(df, S.CORE_COLUMNS, "%.csv")
 
 
+def _no_day_first(column: str) -> str:
+    text = f"substr({column}, 1, 10)"
+    return (f"({column} IS NOT NULL AND NOT coalesce(regexp_full_match({text}, "
+            f"'[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}') AND try_strptime({text}, '%d/%m/%Y') "
+            "IS NOT NULL, false))")
+
+
+@register(oracle.core_until("good", f"""SELECT *, sum(1) OVER ()::bigint ALL_POLICIES,
+  (sum(FAULTS & 1) OVER ())::bigint ALL_CANCELLED, (sum((FAULTS >> 1) & 1) OVER ())::bigint ALL_STARTS,
+  (sum((FAULTS >> 2) & 1) OVER ())::bigint ALL_ENDS, true FOUND
+  FROM (SELECT POLIZA, F_ANULACION_CERT, F_INI_COBER, F_FIN_COBERT, cast(
+    {_no_day_first('F_ANULACION_CERT')}::int + 2 * {_no_day_first('F_INI_COBER')}::int
+    + 4 * {_no_day_first('F_FIN_COBERT')}::int AS int) FAULTS FROM good) WHERE FAULTS > 0"""))
+def strict_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Policies that break strict dates, the totals the job reports, and whether each is
+    found again in the bronze table by its file and row."""
+    lake = f"{scratch_folder(spark)}/lake"
+    raw = inputs.core_raw(spark, sf).withColumn("FILE", F.lit("orders"))
+    save_layer(layers.with_load_time(raw), lake, layers.BRONZE, layers.CORE)
+    options = layers.Options(date_mode="strict", keep_rejects=True)
+    counts = dict.fromkeys(["policies", *S.CORE_DATE_COLUMNS], 0)
+    try:
+        layers.build_silver(spark, lake, layers.CORE, RUN_DATE, options)
+    except layers.RejectedRows as error:
+        counts = error.counts
+    rejects = load_layer(spark, lake, layers.REJECTS, layers.CORE)
+    bronze = load_layer(spark, lake, layers.BRONZE, layers.CORE).select(
+        F.col("POLIZA").alias("RAW"), F.col("_metadata.file_name").alias("BRONZE_FILE"),
+        F.col("_metadata.row_index").alias("BRONZE_ROW"))
+    names = ["ALL_POLICIES", "ALL_CANCELLED", "ALL_STARTS", "ALL_ENDS"]
+    return rejects.join(bronze, ["BRONZE_FILE", "BRONZE_ROW"], "left").select(
+        "POLIZA", "F_ANULACION_CERT", "F_INI_COBER", "F_FIN_COBERT", "FAULTS",
+        *[F.lit(n).cast("bigint").alias(a) for a, n in zip(names, counts.values())],
+        F.col("POLIZA").eqNullSafe(F.col("RAW")).alias("FOUND"))
+
+
 def _with_lineage_flags(df: DataFrame, columns: list[str], names: str) -> DataFrame:
     return df.select(*columns, F.col("FILE").like(names).alias("HAS_FILE"),
                      F.col("FECHA_CARGA").isNotNull().alias("HAS_LOAD_TIME"))
