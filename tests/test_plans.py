@@ -7,7 +7,7 @@ import time
 import pytest
 
 from covermonth.operators.claims import consolidate_claims
-from covermonth.operators.core import consolidate_core
+from covermonth.operators.core import consolidate_core, consolidate_core_strict
 from covermonth.sources.csv_files import audit_csv_files, core_pattern
 from verification.files import write_csv
 from verification.inputs import claims_raw, core_raw
@@ -63,10 +63,12 @@ def test_generated_code_is_small_enough_to_compile(spark, tables):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         core = largest_method(spark, consolidate_core(tables[0], "2024-01-01"))
+        strict = largest_method(spark, consolidate_core_strict(tables[0], "2024-01-01"))
         claims = largest_method(spark, consolidate_claims(tables[1], "2024-01-01"))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert 0 < core < COMPILED_METHOD_BYTES
+    assert 0 < strict < COMPILED_METHOD_BYTES
     assert 0 < claims < COMPILED_METHOD_BYTES
 
 
