@@ -7,11 +7,14 @@ import itertools
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.sax.saxutils import escape
 
+import numpy as np
+import pyarrow as pa
 from pyarrow import fs as pa_fs
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
@@ -91,10 +94,10 @@ def _write_bytes(path: str, content: bytes) -> None:
         stream.write(content)
 
 
-def write_workbook(path: str, sheets: dict[str, Iterator[list[str | None]]]) -> None:
-    """A minimal workbook with text cells."""
+def _write_book(path: str, sheets: dict[str, Iterator[bytes | pa.Buffer]]) -> None:
+    """A minimal workbook; the rows of its sheets are given as XML."""
     content = io.BytesIO()
-    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as book:
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as book:
         names = list(sheets)
         entries = "".join(
             f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(names, 1))
@@ -106,43 +109,97 @@ def write_workbook(path: str, sheets: dict[str, Iterator[list[str | None]]]) ->
         book.writestr("xl/_rels/workbook.xml.rels",
                       f'<Relationships xmlns="{_PACKAGE}">{links}</Relationships>')
         for i, name in enumerate(names, 1):
-            with book.open(f"xl/worksheets/sheet{i}.xml", "w") as sheet:
+            with book.open(f"xl/worksheets/sheet{i}.xml", "w", force_zip64=True) as sheet:
                 sheet.write(f'<worksheet xmlns="{_MAIN}"><sheetData>'.encode())
-                for values in sheets[name]:
-                    sheet.write(_row_xml(values).encode())
+                for rows in sheets[name]:
+                    sheet.write(rows)
                 sheet.write(b"</sheetData></worksheet>")
     _write_bytes(path, content.getvalue())
 
 
-def write_claims_workbooks(df: DataFrame, folder: str) -> None:
-    """Workbooks with a sheet of claims, a sheet of notes and an empty sheet."""
-    workbooks = df.count() // ROWS_PER_WORKBOOK + 1
-    columns = S.CLAIMS_COLUMNS
+def write_workbook(path: str, sheets: dict[str, Iterator[list[str | None]]]) -> None:
+    """A minimal workbook with text cells."""
+    def rows(sheet: Iterator[list[str | None]]) -> Iterator[bytes]:
+        return (_row_xml(values).encode() for values in sheet)
+
+    _write_book(path, {name: rows(sheet) for name, sheet in sheets.items()})
+
+
+def _row_column(values: list[Column]) -> Column:
+    """What _row_xml makes, as a column."""
+    def cell(place: int, value: Column) -> Column:
+        for character, reference in (("&", "&amp;"), (">", "&gt;"), ("<", "&lt;")):
+            value = F.replace(value, F.lit(character), F.lit(reference))
+        return F.coalesce(F.concat(
+            F.lit(f'<c r="{chr(65 + place)}1" t="inlineStr"><is><t xml:space="preserve">'),
+            value, F.lit("</t></is></c>")), F.lit(""))
+
+    cells = [cell(i, value) for i, value in enumerate(values)]
+    return F.concat(F.lit("<row>"), *cells, F.lit("</row>"))
+
 
-    def write_partition(rows: Iterator[Row]) -> None:
-        first = next(rows, None)
+def _texts_end_to_end(texts: pa.StringArray) -> pa.Buffer:
+    """The bytes of all texts of a column, one after the other, as Arrow holds them."""
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    return data.slice(int(ends[0]), int(ends[-1] - ends[0]))
+
+
+def _write_books(
+    df: DataFrame, row: Column, header: list[str], path_of: Callable[[int], str],
+    more_sheets: Callable[[], tuple[dict, dict]], left_out: str = "",
+) -> None:
+    """A workbook from each partition with rows, ROWS_PER_WORKBOOK of them on average.
+
+    The claims are made once: they are counted from a written table. Workbooks are named after
+    partitions, so a repeated task leaves no second one.
+    """
+    staged = f"{scratch_folder(df.sparkSession)}/claims"
+    df.select(*S.CLAIMS_COLUMNS).write.parquet(staged)
+    claims = df.sparkSession.read.parquet(staged)
+    workbooks = claims.count() // ROWS_PER_WORKBOOK + 1
+
+    def write_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled = (batch for batch in batches if batch.num_rows)
+        first = next(filled, None)
         if first is None:
             return
 
-        def claims() -> Iterator[list[str | None]]:
-            # Column order and surplus columns must not matter.
-            yield ["NOTA", *reversed(columns)]
-            yield [None, *reversed(first)]
-            for row in rows:
-                yield ["x", *reversed(row)]
+        def sheet() -> Iterator[bytes | pa.Buffer]:
+            yield _row_xml(header).encode()
+            # One cell of the first row is left out.
+            yield first["row"][0].as_py().replace(left_out, "", 1).encode()
+            for batch in itertools.chain([first.slice(1)], filled):
+                if batch.num_rows:
+                    yield _texts_end_to_end(batch["row"])
 
-        write_workbook(f"{folder}/{uuid.uuid4().hex}.xlsx", {
-            "Notas": iter([["RAMO", "TEXTO"], ["1", "x"]]),
-            "Siniestros": claims(),
-            "Vacia": iter([]),
-        })
+        before, after = more_sheets()
+        _write_book(path_of(TaskContext.get().partitionId()),
+                    {**before, "Siniestros": sheet(), **after})
+        yield pa.RecordBatch.from_pydict({"books": pa.array([1], pa.int64())})
 
-    df.select(*columns).repartition(workbooks).foreachPartition(write_partition)
+    rows = claims.repartition(workbooks).select(row.alias("row"))
+    rows.mapInArrow(write_partition, "books long").agg(F.sum("books")).collect()
 
 
-def write_one_workbook(df: DataFrame, path: str) -> None:
-    """A workbook with one sheet of claims."""
-    def write_all(rows: Iterator[Row]) -> None:
-        write_workbook(path, {"Siniestros": itertools.chain([S.CLAIMS_COLUMNS], rows)})
+def write_claims_workbooks(df: DataFrame, folder: str) -> None:
+    """Workbooks with a sheet of claims, a sheet of notes and an empty sheet."""
+    # Column order and surplus columns must not matter.
+    columns = S.CLAIMS_COLUMNS[::-1]
 
-    df.select(*S.CLAIMS_COLUMNS).coalesce(1).foreachPartition(write_all)
+    def more_sheets() -> tuple[dict, dict]:
+        notes = [_row_xml(values).encode() for values in (["RAMO", "TEXTO"], ["1", "x"])]
+        return {"Notas": iter(notes)}, {"Vacia": iter([])}
+
+    row = _row_column([F.lit("x"), *[F.col(c) for c in columns]])
+    note = _row_xml(["x"]).removeprefix("<row>").removesuffix("</row>")
+    _write_books(df, row, ["NOTA", *columns], lambda i: f"{folder}/{i:06}.xlsx", more_sheets, note)
+
+
+def write_named_workbooks(df: DataFrame, folder: str, name: str) -> None:
+    """Workbooks of one name with one sheet of claims, each in a subfolder of its own.
+
+    A sheet cannot hold more than a million rows, so their number follows from the rows.
+    """
+    row = _row_column([F.col(c) for c in S.CLAIMS_COLUMNS])
+    _write_books(df, row, S.CLAIMS_COLUMNS, lambda i: f"{folder}/{i:06}/{name}", lambda: ({}, {}))
