@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
@@ -70,6 +70,7 @@ from verification.files import (
     write_lines,
     write_named_workbooks,
 )
+from verification.order import with_order
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -312,7 +313,7 @@ def ordered_consolidate(spark: SparkSession, sf: str) -> DataFrame:
     folder = _reports(spark, sf)
     layers.sort_reports(spark, folder, f"{folder}_sorted")
     df = spark.read.parquet(*report_paths(spark, f"{folder}_sorted"))
-    return _with_order(df).select(*S.CONSOLIDATED_COLUMNS, "IN_ORDER")
+    return with_order(spark, df).select(*S.CONSOLIDATED_COLUMNS, "IN_ORDER")
 
 
 @register(oracle.both(f"""SELECT * FROM ({oracle.BOTH}) WHERE NRO_DOCUMENTO IN (
@@ -327,24 +328,6 @@ def document_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return find_documents(spark, path, [r.NRO_DOCUMENTO for r in top.collect()])
 
 
-def _with_order(df: DataFrame) -> DataFrame:
-    """Compare rows within a file, and files by their first and last keys."""
-    def key(column: str) -> Column:
-        # Missing values come last.
-        return F.struct(F.col(column).isNull().alias("none"), F.col(column).alias("value"))
-
-    keyed = df.select(
-        "*", F.struct(key("NRO_DOCUMENTO").alias("a"), key("F_OCURRENCIA").alias("b")).alias("k"),
-        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
-    files = keyed.groupBy("file").agg(F.min("k").alias("first"), F.max("k").alias("last"))
-    # A row per file of the report.
-    files = files.select("file", (F.col("first") >= F.coalesce(
-        F.lag("last").over(Window.orderBy("file")), F.col("first"))).alias("file_in_order"))
-    before = F.lag("k").over(Window.partitionBy("file").orderBy("place"))
-    in_order = (F.col("k") >= F.coalesce(before, F.col("k"))) & F.col("file_in_order")
-    return keyed.join(files, "file").withColumn("IN_ORDER", in_order)
-
-
 @register(oracle.core_until("core", """SELECT * EXCLUDE (PARENTESCO, FI) FROM core"""))
 def export_ap(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/ap.parquet"
