@@ -27,7 +27,9 @@ from covermonth.llm.scratch import Scratch
 
 SIZE = 4096
 END = 1
-REMEMBERED = 500_000  # words whose ids a task keeps; then it starts anew
+REMEMBERED = 24 << 20  # bytes of words and ids that a task keeps; then it starts anew
+_TEXTS = 250  # whose words are looked up together
+_WORD_BYTES = 150  # of a word in a dictionary, beside its characters and ids
 
 
 @dataclass
@@ -309,9 +311,10 @@ class WordIds:
         self.number = _Numbers()
         self.flat = np.zeros(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
+        self.held = 0  # bytes, about
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.number) > REMEMBERED:
+        if self.held > REMEMBERED:
             self._empty()
         known = len(self.number)
         places = []
@@ -351,6 +354,7 @@ class WordIds:
         flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
         self.flat = np.concatenate([self.flat, flat])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.held += sum(map(len, new)) + _WORD_BYTES * len(new) + flat.nbytes
 
     def _gather(self, words: np.ndarray) -> np.ndarray:
         lengths = self.starts[words + 1] - self.starts[words]
@@ -367,8 +371,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, size: int, end: i
     if keep_ids:
         names, kinds = [*names, "ids"], [*kinds, pa.list_(pa.int32())]
     for whole in batches:
-        for at in range(0, whole.num_rows, 1000):
-            batch = whole.slice(at, 1000)
+        for at in range(0, whole.num_rows, _TEXTS):
+            batch = whole.slice(at, _TEXTS)
             rows = []
             texts = [text or "" for text in batch.column("text").to_pylist()]
             for doc, ids in zip(batch.column("doc_id").to_pylist(), memory.of(texts), strict=True):

@@ -461,6 +461,19 @@ def test_ids_of_every_letter_beside_stops():
     assert [f.tolist() for f in found] == [e.ids for e in expected]
 
 
+def test_the_memory_of_long_words_is_bounded(monkeypatch):
+    """Words count by their bytes, however few they are."""
+    monkeypatch.setattr(packing, "REMEMBERED", 1 << 18)
+    words = packing.WordIds(tokenizer_path())
+    texts = [chr(97 + i % 26) * (2000 + i) for i in range(300)]
+    for text in texts:
+        words.of([text])
+        assert sum(map(len, words.number)) + words.flat.nbytes < packing.REMEMBERED + 20_000
+    again = packing.WordIds(tokenizer_path()).of(texts[-3:])
+    assert [x.tolist() for x in words.of(texts[-3:])] == [x.tolist() for x in again]
+
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plans_need_no_more_than_best_fit(seed):
     rng = np.random.default_rng(seed)
