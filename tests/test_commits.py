@@ -108,6 +108,26 @@ def test_many_writers_at_once_get_numbers_of_their_own(spark, tmp_path):
     assert sorted(found) == list(range(2, 10))
 
 
+def test_of_writers_that_meet_at_a_number_one_wins(spark, tmp_path):
+    meet, won = threading.Barrier(4), []
+
+    def race(writer):
+        for number in range(100):
+            meet.wait()
+            if commits._create(spark, f"{tmp_path}/r/_commits/{number}", f"{writer}"):
+                won.append((number, writer))
+
+    threads = [threading.Thread(target=race, args=(i,)) for i in range(4)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(n for n, _ in won) == list(range(100))
+    folder = tmp_path / "r/_commits"
+    assert all((folder / f"{n}").read_text() == f"{writer}" for n, writer in won)
+    assert len(list(folder.iterdir())) == 100
+
+
 def test_sweeping_keeps_what_commits_name_and_what_may_be_in_writing(spark, tmp_path):
     path = f"{tmp_path}/r.parquet"
     for rows in (1, 2, 3, 4):
