@@ -7,6 +7,7 @@ import subprocess
 import sys
 import zipfile
 from pathlib import Path
+from xml.etree import ElementTree
 
 import pytest
 
@@ -179,6 +180,43 @@ _CELLS = ('<row r="1"><c r="A1" t="str"><v>a</v></c><c r="AB1" t="inlineStr"><is
           '<c r="C1" s="0"/></row>')
 
 
+@pytest.mark.parametrize("cell", [
+    "a&b", "&nbsp;", "&#0;", "&#xFFFF;", "a]]>b", "a\x01b", "a\x0cb", "\ufffe", "\uffff"])
+def test_texts_that_break_a_sheet_are_not_plain(tmp_path, cell):
+    """The parser refuses them; so must the reader of plain sheets, which does not call it for rows."""
+    path = f"{tmp_path}/uno.xlsx"
+    for text, where in ((_CELLS.replace(">a<", f">{cell}<"), "value"), (_CELLS + cell, "between"),
+                        (_CELLS.replace("<row ", f'<row s="{cell}" '), "row")):
+        if where == "row" and "]]>" in cell:
+            continue
+        write_workbook(path, {"Ok": iter([])})
+        with zipfile.ZipFile(path) as book:
+            parts = {name: book.read(name) for name in book.namelist()}
+        parts["xl/worksheets/sheet1.xml"] = (
+            _HEAD + _CELLS + text + _CELLS + "</sheetData></worksheet>").encode()
+        with zipfile.ZipFile(path, "w") as book:
+            for name, content in parts.items():
+                book.writestr(name, content)
+        book = workbooks._Workbook(Path(path).read_bytes())
+        (part,) = book.sheets.values()
+        with pytest.raises(workbooks._NotPlain):
+            list(book.plain_cells(part))
+        with pytest.raises(ElementTree.ParseError):
+            list(book.rows(part))
+
+
+def test_cells_of_plain_sheets_are_read_by_columns(tmp_path, monkeypatch):
+    """No row of a plain sheet is put together; values are changed once for each different one."""
+    monkeypatch.setattr(workbooks, "_BLOCK", 3000)
+    path = f"{tmp_path}/uno.xlsx"
+    claims = [[f"{i % 40:08}", None if i % 3 else f"{i}&<>", *CLAIM[2:]] for i in range(900)]
+    write_workbook(path, {"Ok": iter([S.CLAIMS_COLUMNS, *claims])})
+    monkeypatch.setattr(workbooks._Cells, "rows", None)
+    batches = list(workbooks._workbook_batches(path, Path(path).read_bytes()))
+    found = [list(row.values())[:6] for batch in batches for row in batch.to_pylist()]
+    assert found == claims
+
+
 @pytest.mark.parametrize(("sheet", "plain"), [
     (_HEAD + _CELLS * 3 + "</sheetData></worksheet>", True),
     ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\r\n' + _HEAD + _CELLS

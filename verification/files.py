@@ -12,6 +12,7 @@ from xml.sax.saxutils import escape
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pa_fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,17 +126,18 @@ def write_workbook(path: str, sheets: dict[str, Iterator[list[str | None]]]) ->
     _write_book(path, {name: rows(sheet) for name, sheet in sheets.items()})
 
 
-def _row_column(values: list[Column]) -> Column:
-    """What _row_xml makes, as a column."""
-    def cell(place: int, value: Column) -> Column:
+def _rows_xml(columns: list[pa.Array | pa.Scalar]) -> pa.StringArray:
+    """What _row_xml makes of each row."""
+    def cell(place: int, value: pa.Array | pa.Scalar) -> pa.Array | pa.Scalar:
         for character, reference in (("&", "&amp;"), (">", "&gt;"), ("<", "&lt;")):
-            value = F.replace(value, F.lit(character), F.lit(reference))
-        return F.coalesce(F.concat(
-            F.lit(f'<c r="{chr(65 + place)}1" t="inlineStr"><is><t xml:space="preserve">'),
-            value, F.lit("</t></is></c>")), F.lit(""))
+            value = pc.replace_substring(value, character, reference)
+        found = pc.binary_join_element_wise(
+            f'<c r="{chr(65 + place)}1" t="inlineStr"><is><t xml:space="preserve">', value,
+            "</t></is></c>", "")
+        return pc.fill_null(found, "")
 
-    cells = [cell(i, value) for i, value in enumerate(values)]
-    return F.concat(F.lit("<row>"), *cells, F.lit("</row>"))
+    cells = [cell(i, value) for i, value in enumerate(columns)]
+    return pc.binary_join_element_wise("<row>", *cells, "</row>", "")
 
 
 def _texts_end_to_end(texts: pa.StringArray) -> pa.Buffer:
@@ -146,18 +148,20 @@ def _texts_end_to_end(texts: pa.StringArray) -> pa.Buffer:
 
 
 def _write_books(
-    df: DataFrame, row: Column, header: list[str], path_of: Callable[[int], str],
-    more_sheets: Callable[[], tuple[dict, dict]], left_out: str = "",
+    df: DataFrame, columns: list[str], path_of: Callable[[int], str],
+    more_sheets: Callable[[], tuple[dict, dict]], note: str | None = None,
 ) -> None:
     """A workbook from each partition with rows, ROWS_PER_WORKBOOK of them on average.
 
-    The claims are made once: they are counted from a written table. Workbooks are named after
-    partitions, so a repeated task leaves no second one.
+    The claims are made once: they are counted from a written table, and each written file is
+    dealt to all workbooks in turn. Workbooks are named after partitions, so a repeated task leaves
+    no second one. With ``note`` there is a column of it before the others, in all rows but the first.
     """
     staged = f"{scratch_folder(df.sparkSession)}/claims"
     df.select(*S.CLAIMS_COLUMNS).write.parquet(staged)
     claims = df.sparkSession.read.parquet(staged)
     workbooks = claims.count() // ROWS_PER_WORKBOOK + 1
+    header = columns if note is None else ["NOTA", *columns]
 
     def write_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = (batch for batch in batches if batch.num_rows)
@@ -165,35 +169,35 @@ def _write_books(
         if first is None:
             return
 
+        def xml(batch: pa.RecordBatch, text: str | None) -> pa.Buffer:
+            before = [] if note is None else [pa.scalar(text, pa.string())]
+            return _texts_end_to_end(_rows_xml([*before, *(batch[c] for c in columns)]))
+
         def sheet() -> Iterator[bytes | pa.Buffer]:
             yield _row_xml(header).encode()
-            # One cell of the first row is left out.
-            yield first["row"][0].as_py().replace(left_out, "", 1).encode()
+            yield xml(first.slice(0, 1), None)
             for batch in itertools.chain([first.slice(1)], filled):
                 if batch.num_rows:
-                    yield _texts_end_to_end(batch["row"])
+                    yield xml(batch, note)
 
         before, after = more_sheets()
         _write_book(path_of(TaskContext.get().partitionId()),
                     {**before, "Siniestros": sheet(), **after})
         yield pa.RecordBatch.from_pydict({"books": pa.array([1], pa.int64())})
 
-    rows = claims.repartition(workbooks).select(row.alias("row"))
+    turn = (F.col("_metadata.row_index") % workbooks).cast("int")
+    rows = claims.repartitionById(workbooks, turn)
     rows.mapInArrow(write_partition, "books long").agg(F.sum("books")).collect()
 
 
 def write_claims_workbooks(df: DataFrame, folder: str) -> None:
     """Workbooks with a sheet of claims, a sheet of notes and an empty sheet."""
-    # Column order and surplus columns must not matter.
-    columns = S.CLAIMS_COLUMNS[::-1]
-
     def more_sheets() -> tuple[dict, dict]:
         notes = [_row_xml(values).encode() for values in (["RAMO", "TEXTO"], ["1", "x"])]
         return {"Notas": iter(notes)}, {"Vacia": iter([])}
 
-    row = _row_column([F.lit("x"), *[F.col(c) for c in columns]])
-    note = _row_xml(["x"]).removeprefix("<row>").removesuffix("</row>")
-    _write_books(df, row, ["NOTA", *columns], lambda i: f"{folder}/{i:06}.xlsx", more_sheets, note)
+    # Column order and surplus columns must not matter.
+    _write_books(df, S.CLAIMS_COLUMNS[::-1], lambda i: f"{folder}/{i:06}.xlsx", more_sheets, "x")
 
 
 def write_named_workbooks(df: DataFrame, folder: str, name: str) -> None:
@@ -201,5 +205,4 @@ def write_named_workbooks(df: DataFrame, folder: str, name: str) -> None:
 
     A sheet cannot hold more than a million rows, so their number follows from the rows.
     """
-    row = _row_column([F.col(c) for c in S.CLAIMS_COLUMNS])
-    _write_books(df, row, S.CLAIMS_COLUMNS, lambda i: f"{folder}/{i:06}/{name}", lambda: ({}, {}))
+    _write_books(df, S.CLAIMS_COLUMNS, lambda i: f"{folder}/{i:06}/{name}", lambda: ({}, {}))

@@ -8,6 +8,7 @@ class of order key exercises one rule; see FIXTURES.md.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from covermonth.plans.barrier import stage_barrier
 
@@ -101,10 +102,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, always dealt to all cores.
 
     The given files are single row groups, which one task reads, and a row
-    expands to very many. This shuffle belongs to the queries' input, not to the engine.
+    expands to very many. This shuffle belongs to the queries' input, not to the engine. Rows are
+    dealt in turn by their numbers in the files; without numbers Spark would sort them first.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    tasks = spark.sparkContext.defaultParallelism
+    return df.repartitionById(tasks, (F.col("_metadata.row_index") % tasks).cast("int"))
 
 
 def core_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
