@@ -46,6 +46,9 @@ ADDED = 0.1  # to each word's count
 PRIOR = 10.0  # weight of the class frequencies in the transitions of a class
 END = b"\n"  # no word contains white space
 STEP = 16  # words of a bucket that move at the same time
+ROWS = 1000  # texts that a task works on at once
+PIECE = 256  # counts of neighbours in a row, so that an Arrow batch of 10,000 rows is 20 MB at most
+CELLS = 1 << 16  # counted cells that a task hands on at once
 
 
 @dataclass
@@ -395,6 +398,22 @@ def _with(function, training: DataFrame, class_of: np.ndarray):
     return lambda batches: function(batches, shared.value)
 
 
+def _some_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ROWS rows, which bound what numpy holds besides them."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
+def _counted(table: np.ndarray, name: str) -> Iterator[pa.RecordBatch]:
+    """Cells with a count, in small batches: Spark's side holds a whole one outside of its heap."""
+    there = np.flatnonzero(table)
+    for first in range(0, len(there), CELLS):
+        some = there[first:first + CELLS]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array(table[some], pa.int64())], [name, "n"])
+
+
 def _tokens(text: str | None) -> list[bytes]:
     return [*words(text), END]
 
@@ -408,7 +427,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [longs(hashes), pa.array(counts.keys(), pa.binary()),
              pa.array(counts.values(), pa.int64())], ["hash", "word", "n"])
 
-    for batch in batches:
+    for batch in _some_rows(batches):
         for text in batch.column("text").to_pylist():
             counts.update(_tokens(text))
             if len(counts) > HELD:
@@ -421,7 +440,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _encode(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     place = {word: k for k, word in enumerate(shared.value)}
     hashes = WordHashes()
-    for batch in batches:
+    for batch in _some_rows(batches):
         codes, others = [], []
         for text in batch.column("text").to_pylist():
             tokens = _tokens(text)
@@ -439,26 +458,24 @@ def _numbers(column: pa.Array, kind) -> np.ndarray:
 
 def _before(states: np.ndarray, end: int) -> np.ndarray:
     """What comes before each token of whole texts in a row: each begins after an end, and ends with one."""
-    return np.concatenate([[end], states[:-1]])
+    return np.concatenate([np.array([end], states.dtype), states[:-1]])
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     # A task's pairs are as many as units times units at most.
     table = np.zeros((CORE + 1) ** 2, np.int64)
-    for batch in batches:
+    for batch in _some_rows(batches):
         code = _numbers(batch.column("codes"), np.int32).astype(np.int64)
         unit = np.where((code >= 0) & (code < CORE), code, CORE)
         np.add.at(table, _before(unit, 0) * (CORE + 1) + unit, 1)
-    there = np.flatnonzero(table)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(there, pa.int32()), pa.array(table[there])], ["pair", "n"])
+    yield from _counted(table, "pair")
 
 
 def _dictionary_cells(batches: Iterator[pa.RecordBatch], class_of: np.ndarray
                       ) -> Iterator[pa.RecordBatch]:
     """Counts of states after states; behind them, of the states before and after each core word."""
     table = np.zeros(STATES * STATES + CORE * 2 * STATES, np.int64)
-    for batch in batches:
+    for batch in _some_rows(batches):
         code = _numbers(batch.column("codes"), np.int32)
         state = class_of[code]
         before, after = _before(state, class_of[0]), np.roll(state, -1)
@@ -467,33 +484,34 @@ def _dictionary_cells(batches: Iterator[pa.RecordBatch], class_of: np.ndarray
         first = STATES * STATES + code[at].astype(np.int64) * (2 * STATES)
         np.add.at(table, first + before[at], 1)
         np.add.at(table, first + STATES + after[at], 1)
-    there = np.flatnonzero(table)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(there, pa.int32()), pa.array(table[there])], ["cell", "n"])
+    yield from _counted(table, "cell")
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], class_of: np.ndarray
                 ) -> Iterator[pa.RecordBatch]:
-    """Counts of the states before and after each word beyond the core, a row per bucket of words."""
+    """Counts of the states before and after each word beyond the core, in rows of PIECE of a bucket's."""
     held: list[np.ndarray] = []
     total = 0
 
     def batch_of() -> pa.RecordBatch:
         keys, times = np.unique(np.concatenate(held), return_counts=True)
-        bucket = keys // (2 * STATES) % BUCKETS
-        parts = [np.flatnonzero(bucket == b) for b in range(BUCKETS)]
+        bucket = (keys // (2 * STATES) % BUCKETS).astype(np.int8)
+        pieces = []
+        for b in range(BUCKETS):
+            part = np.flatnonzero(bucket == b)
+            pieces += [(b, part[k:k + PIECE]) for k in range(0, len(part), PIECE)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(range(BUCKETS), pa.int32()),
-             pa.array([keys[p].astype(np.int32).tobytes() for p in parts], pa.binary()),
-             pa.array([times[p].astype(np.int32).tobytes() for p in parts], pa.binary())],
+            [pa.array([b for b, _ in pieces], pa.int32()),
+             pa.array([keys[p].tobytes() for _, p in pieces], pa.binary()),
+             pa.array([times[p].astype(np.int32).tobytes() for _, p in pieces], pa.binary())],
             ["bucket", "keys", "times"])
 
-    for batch in batches:
+    for batch in _some_rows(batches):
         code = _numbers(batch.column("codes"), np.int32)
-        state = class_of[code]
+        state = class_of[code].astype(np.int32)
         at = np.flatnonzero(code >= CORE)  # never the end, which closes each text
-        key = code[at].astype(np.int64) * (2 * STATES)
-        held += [key + _before(state, class_of[0])[at], key + STATES + state[at + 1]]
+        key = code[at] * np.int32(2 * STATES)  # below 2 ** 31, by the size of the dictionary
+        held += [key + _before(state, class_of[0])[at], key + np.int32(STATES) + state[at + 1]]
         total += 2 * len(at)
         if total >= 4_000_000:
             yield batch_of()
@@ -574,7 +592,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     gain = model.transitions - model.emission_total
     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()),
              pa.list_(pa.int32()), pa.list_(pa.int64()))
-    for batch in batches:
+    for batch in _some_rows(batches):
         columns: list[list] = [[] for _ in kinds]
         for codes, others in zip(batch.column("codes").to_pylist(),
                                  batch.column("others").to_pylist(), strict=True):

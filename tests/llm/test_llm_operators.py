@@ -13,6 +13,7 @@ import time
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -241,6 +242,25 @@ def _kinds(spark, core, dictionary, monkeypatch):
     return docs, model, classes, [{w.encode() for w in ws} for ws in kinds]
 
 
+def test_tasks_of_the_class_model_hand_on_small_batches():
+    """An Arrow batch of Spark holds 10,000 rows, which lie outside of its heap."""
+    rng = np.random.default_rng(1)
+    codes = [rng.integers(0, brown.DICTIONARY, 400, np.int32) for _ in range(1500)]
+    texts = pa.RecordBatch.from_pydict({
+        "codes": pa.array([np.append(c, np.int32(0)).tobytes() for c in codes], pa.binary())})
+    class_of = np.append(np.arange(brown.DICTIONARY) % brown.CLASSES, brown.REST)
+    found = list(brown._neighbours(iter([texts]), class_of))
+    rows = [row for batch in found for row in batch.to_pylist()]
+    assert max(len(row["keys"]) for row in rows) <= 4 * brown.PIECE
+    beyond = sum(int((c >= brown.CORE).sum()) for c in codes)
+    assert sum(int(np.frombuffer(row["times"], np.int32).sum()) for row in rows) == 2 * beyond
+    pairs = [rng.integers(0, brown.CORE, 400, np.int32) for _ in range(1500)]
+    texts = pa.RecordBatch.from_pydict({"codes": pa.array([c.tobytes() for c in pairs], pa.binary())})
+    counted = list(brown._count_pairs(iter([texts])))
+    assert max(batch.num_rows for batch in counted) <= brown.CELLS
+    assert sum(sum(batch.column("n").to_pylist()) for batch in counted) == 1500 * 400
+
+
 @pytest.mark.parametrize(("core", "dictionary"), [(2048, 1 << 18), (7, 1 << 18), (7, 12)])
 def test_every_word_is_classed_by_its_neighbours(spark, monkeypatch, core, dictionary):
     """In rounds, placed in tasks, and outside the dictionary: the kinds never share a class."""
