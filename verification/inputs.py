@@ -103,11 +103,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     The given files are single row groups, which one task reads, and a row
     expands to very many. This shuffle belongs to the queries' input, not to the engine. Rows are
-    dealt in turn by their numbers in the files; without numbers Spark would sort them first.
+    dealt by hashes of their numbers in the files; without numbers Spark would sort them first.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     tasks = spark.sparkContext.defaultParallelism
-    return df.repartitionById(tasks, (F.col("_metadata.row_index") % tasks).cast("int"))
+    place = F.pmod(F.xxhash64("_metadata.row_index"), F.lit(tasks))
+    return df.repartitionById(tasks, place.cast("int"))
 
 
 def core_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
