@@ -8,6 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from covermonth.operators.duplicates import duplicate_members, one_of_each
+from verification import inputs
+from verification.queries import QUERIES
+from conftest import SF_DIR
 
 SCHEMA = "a string, b string, n int"
 
@@ -66,3 +69,17 @@ def test_one_of_each_is_the_smallest_row(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert found(one_of_each(df, ["a"])) == Counter([("a", None, 2), (None, "x", 4)])
     assert one_of_each(df.limit(0), ["a"]).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["duplicate_members", "duplicate_keys"])
+def test_registered_queries_make_their_claims_once(spark, name):
+    """Several passes go over them, so they are read from a written table."""
+    files = QUERIES[name](spark, SF_DIR).inputFiles()
+    assert files and not any("lineitem" in file or "orders" in file for file in files)
+
+
+def test_tables_are_dealt_to_more_tasks_the_more_rows_they_have(spark, monkeypatch):
+    monkeypatch.setattr(inputs, "ROWS_PER_TASK", 100)
+    df = inputs.table(spark, SF_DIR, "orders")
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 250 and sum(sizes) == 1500

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from covermonth.plans.barrier import stage_barrier
 
 RUN_DATE = "2024-01-01"
+ROWS_PER_TASK = 500_000
 
 CORE_RAW_SQL = """
 WITH b AS (
@@ -99,14 +100,14 @@ FROM t
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, always dealt to all cores.
+    """One of the given tables, always dealt to all cores, and to more tasks the more rows it has.
 
     The given files are single row groups, which one task reads, and a row
     expands to very many. This shuffle belongs to the queries' input, not to the engine. Rows are
     dealt by hashes of their numbers in the files; without numbers Spark would sort them first.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    tasks = spark.sparkContext.defaultParallelism
+    tasks = max(spark.sparkContext.defaultParallelism, df.count() // ROWS_PER_TASK + 1)
     place = F.pmod(F.xxhash64("_metadata.row_index"), F.lit(tasks))
     return df.repartitionById(tasks, place.cast("int"))
 

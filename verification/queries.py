@@ -251,12 +251,19 @@ def dedup_exact(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_rows(_claims_with_copies(spark, sf))
 
 
+def _written_claims(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned claims from a table: duplicates are looked for in several passes over them."""
+    path = f"{scratch_folder(spark)}/claims"
+    clean_claims(inputs.claims_raw(spark, sf)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register(oracle.claims_until("claims_clean", """SELECT * FROM (SELECT *, count(*) OVER (
   PARTITION BY NRO_DOCUMENTO, COD_RAMO, POLIZA, CERTIFICADO, ASEGURADO, F_INI_COBER) COPIES
   FROM claims_clean) WHERE COPIES > 1"""), name="duplicate_members")
 def duplicated_claims(spark: SparkSession, sf: str) -> DataFrame:
     """Claims that are reported more than once, each time they are."""
-    return duplicate_members(clean_claims(inputs.claims_raw(spark, sf)))
+    return duplicate_members(_written_claims(spark, sf))
 
 
 @register(oracle.claims_until("claims_clean", """SELECT * FROM (SELECT *, count(*) OVER (
@@ -264,7 +271,7 @@ def duplicated_claims(spark: SparkSession, sf: str) -> DataFrame:
   WHERE COPIES > 1"""))
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Claims that share document, policy and certificate with another one."""
-    return duplicate_members(clean_claims(inputs.claims_raw(spark, sf)),
+    return duplicate_members(_written_claims(spark, sf),
                              ["NRO_DOCUMENTO", "POLIZA", "CERTIFICADO"])
 
 
