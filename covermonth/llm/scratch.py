@@ -4,10 +4,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+# Spark's limit of rows alone lets a batch grow with the length of texts.
+BATCH_BYTES = 4 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Inside, Python tasks get their rows in Arrow batches of about BATCH_BYTES, unless the session
+    sets a size. Both sides hold whole batches, Spark outside of its heap."""
+    if spark.conf.get(_BATCH_BYTES, None) is not None:
+        yield
+        return
+    spark.conf.set(_BATCH_BYTES, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH_BYTES)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir, or that of setCheckpointDir.
@@ -38,7 +58,8 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        with small_batches(self.spark):
+            df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def read(self, name: str, schema: StructType) -> DataFrame:

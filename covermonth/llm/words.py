@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 
 # Words remembered in one task. A full memory is emptied: only time is lost.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)

@@ -36,7 +36,7 @@ from covermonth.llm.quality import (
     repeated_words,
 )
 from covermonth.llm.queries import tokenizer_path
-from covermonth.llm.scratch import Scratch
+from covermonth.llm.scratch import BATCH_BYTES, Scratch
 from covermonth.llm.sharding import kd_shards
 
 # Names that operators use inside: as further columns they must not matter.
@@ -125,6 +125,19 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components(edges.where("false"), Scratch(spark, "t"), "c").count() == 0
 
 
+def test_python_tasks_get_batches_bounded_by_bytes(spark):
+    """Batches of a row limit alone grow with the texts, in memory outside of Spark's heap."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    texts = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("x"), 500_000).alias("text"))
+    found = Scratch(spark, "t").save(texts.mapInArrow(sizes, "rows long, bytes long"), "sizes").collect()
+    assert sum(r.rows for r in found) == 60
+    assert max(r.bytes for r in found) <= BATCH_BYTES + 600_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
 def test_bitmap(spark):
     values = [0, 1, -1, 2**62, -2**63, 123456789123]
     df = spark.createDataFrame([(v,) for v in [*values, None]], "v long")
