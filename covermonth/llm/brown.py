@@ -20,6 +20,7 @@ and to write their words as numbers; all passes after that read the numbers.
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -119,7 +120,9 @@ def encode(rows: DataFrame, scratch: Scratch
     counts = scratch.save(
         rows.where(~F.col("held_out")).select("text")
         .mapInArrow(_count_words, "hash long, word binary, n long")
-        .groupBy("hash").agg(F.min("word").alias("word"), F.sum("n").alias("n")), "counts")
+        # Tasks have added up theirs, so rows are not added up again before the shuffle. As a
+        # key a word can stand in a hash table, as a minimum its rows would be sorted.
+        .repartition("hash").groupBy("hash", "word").agg(F.sum("n").alias("n")), "counts")
     dictionary, known, outside = _most_frequent(counts)
     shared = rows.sparkSession.sparkContext.broadcast(dictionary)
     codes = rows.mapInArrow(lambda batches: _encode(batches, shared),
@@ -181,7 +184,7 @@ def _most_frequent(counts: DataFrame) -> tuple[list[bytes], np.ndarray, int]:
 def core_pairs(training: DataFrame) -> DataFrame:
     """How often core word b follows core word a; all other words are one, number CORE."""
     units = CORE + 1
-    return (training.mapInArrow(_count_pairs, "pair int, n long")
+    return (training.select("codes").mapInArrow(_count_pairs, "pair int, n long")
             .groupBy("pair").agg(F.sum("n").alias("n"))
             .select(F.floor(F.col("pair") / units).cast("int").alias("a"),
                     (F.col("pair") % units).alias("b"), "n"))
@@ -274,32 +277,44 @@ def move(class_of: np.ndarray, order: np.ndarray, table: np.ndarray, right: np.n
 # --- all other words ----------------------------------------------------------------
 
 def best_classes(cells: np.ndarray, starts: np.ndarray, place: np.ndarray, n: np.ndarray,
-                 own: np.ndarray) -> np.ndarray:
+                 own: np.ndarray, logs: np.ndarray | None = None) -> np.ndarray:
     """The class in which each word raises the likelihood most: its own on ties, then the first.
 
     cells has a row per kind of neighbour, STATES to a side, with that neighbour's counts next to
     each class. Word k has n[j] neighbours of the kind place[j], j from starts[k] on, and is in
     the class own[k] (REST: in none), whose counts are taken without it. Classes without words
-    are left to the core: to words that move at the same time all of them look alike.
+    are left to the core: to words that move at the same time all of them look alike. logs is
+    _xlogx(cells), if the caller keeps it.
     """
-    near = cells[place]
-    gains = _xlogx(near + n[:, None]) - _xlogx(near)
-    member = np.repeat(own, np.diff(starts, append=len(n)))
-    at = np.flatnonzero(member < CLASSES)
-    here = near[at, member[at]]
-    gains[at, member[at]] = _xlogx(here) - _xlogx(np.maximum(here - n[at], 0))
-    gains = np.add.reduceat(gains, starts)
-    side = place // STATES
+    if logs is None:
+        logs = _xlogx(cells)
+    now = cells[place]
+    now += n[:, None]
+    gains = np.log(now)
+    gains *= now
+    gains -= logs[place]
     word = np.flatnonzero(own < CLASSES)
-    for k in range(len(cells) // STATES):
+    if len(word):
+        member = np.repeat(own, np.diff(starts, append=len(n)))
+        at = np.flatnonzero(member < CLASSES)
+        here = cells[place[at], member[at]]
+        gains[at, member[at]] = _xlogx(here) - _xlogx(np.maximum(here - n[at], 0))
+    gains = np.add.reduceat(gains, starts)
+    sides = len(cells) // STATES
+    for k in range(sides):
         total = cells[k * STATES:(k + 1) * STATES].sum(axis=0)
-        size = np.add.reduceat(np.where(side == k, n, 0), starts)
+        if k == 0:
+            filled = total > 0
+        size = np.add.reduceat(n if sides == 1 else np.where(place // STATES == k, n, 0), starts)
         change = _xlogx(total + size[:, None]) - _xlogx(total)
-        here = total[own[word]]
-        change[word, own[word]] = _xlogx(here) - _xlogx(np.maximum(here - size[word], 0))
+        if len(word):
+            here = total[own[word]]
+            change[word, own[word]] = _xlogx(here) - _xlogx(np.maximum(here - size[word], 0))
         gains -= change
-    gains[word, own[word]] += 1e-9
-    gains[:, cells[:STATES].sum(axis=0) <= 0] = -np.inf
+    if len(word):
+        gains[word, own[word]] += 1e-9
+    if not filled.all():
+        gains[:, ~filled] = -np.inf
     return gains.argmax(axis=1)
 
 
@@ -311,21 +326,25 @@ def place(cells: np.ndarray, starts: np.ndarray, kinds: np.ndarray, n: np.ndarra
     counted as 1 / share moves. Without this, words of one kind would all find the same class best.
     """
     out = own.copy()
+    logs = _xlogx(cells)
     ends = np.append(starts[1:], len(n))
     for first in range(0, len(starts), STEP):
         last = min(first + STEP, len(starts))
         entries = slice(starts[first], ends[last - 1])
         found = best_classes(cells, starts[first:last] - starts[first], kinds[entries],
-                             n[entries], own[first:last])
+                             n[entries], own[first:last], logs)
         length = ends[first:last] - starts[first:last]
         old, new = np.repeat(own[first:last], length), np.repeat(found, length)
         moved = old != new
         kind, times = kinds[entries][moved], n[entries][moved] / share
         old, new = old[moved], new[moved]
         there = old < CLASSES
-        np.subtract.at(cells, (kind[there], old[there]), times[there])
-        np.add.at(cells, (kind, new), times)
-        np.maximum(cells, 0, out=cells)
+        left, entered = (kind[there], old[there]), (kind, new)
+        np.subtract.at(cells, left, times[there])
+        np.add.at(cells, entered, times)
+        for changed in (left, entered):
+            cells[changed] = np.maximum(cells[changed], 0)
+            logs[changed] = _xlogx(cells[changed])
         out[first:last] = found
     return out
 
@@ -340,7 +359,7 @@ def refine(training: DataFrame, class_of: np.ndarray, same: np.ndarray
     core = min(CORE, len(class_of) - 1)
     best = None
     for done in range(PLACEMENTS + 1):
-        counted = _cells(training.mapInArrow(_with(_dictionary_cells, training, class_of),
+        counted = _cells(training.select("codes").mapInArrow(_with(_dictionary_cells, training, class_of),
                                              "cell int, n long"),
                          STATES * STATES + CORE * 2 * STATES)
         table = counted[:STATES * STATES].reshape(STATES, STATES)
@@ -362,7 +381,7 @@ def place_dictionary(training: DataFrame, class_of: np.ndarray, table: np.ndarra
     """The classes, with the words beyond the core in those that gain most by both their neighbours."""
     size = len(class_of) - 1
     cells = np.concatenate([table[:, :CLASSES], table[:CLASSES].T])
-    found = (training.mapInArrow(_with(_neighbours, training, class_of),
+    found = (training.select("codes").mapInArrow(_with(_neighbours, training, class_of),
                                  "bucket int, keys binary, times binary")
              .repartition(BUCKETS, "bucket")
              .mapInArrow(lambda batches: _place(batches, cells, class_of),
@@ -375,7 +394,7 @@ def place_dictionary(training: DataFrame, class_of: np.ndarray, table: np.ndarra
 def place_others(training: DataFrame, class_of: np.ndarray, cells: np.ndarray, others: int,
                  scratch: Scratch) -> DataFrame:
     """hash, class and n of each word outside the dictionary; rows without hash count cells of states and classes."""
-    found = (training.mapInArrow(_with(_other_words, training, class_of),
+    found = (training.select("codes", "others").mapInArrow(_with(_other_words, training, class_of),
                                  "hash long, state int, n long")
              .repartition("hash").groupBy("hash", "state").agg(F.sum("n").alias("n"))
              .groupBy("hash").agg(F.collect_list(F.struct("state", "n")).alias("before")))
@@ -444,9 +463,10 @@ def _encode(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
         codes, others = [], []
         for text in batch.column("text").to_pylist():
             tokens = _tokens(text)
-            code = np.fromiter((place.get(w, -1) for w in tokens), np.int32, len(tokens))
+            code = np.fromiter(map(place.get, tokens, itertools.repeat(-1)), np.int32, len(tokens))
             codes.append(code.tobytes())
-            others.append(hashes.of([tokens[k] for k in np.flatnonzero(code < 0)]).tobytes())
+            outside = np.flatnonzero(code < 0).tolist()
+            others.append(hashes.of([tokens[k] for k in outside]).tobytes() if outside else b"")
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("held_out"), pa.array(codes, pa.binary()),
              pa.array(others, pa.binary())], ["doc_id", "held_out", "codes", "others"])
@@ -527,7 +547,9 @@ def _place(batches: Iterator[pa.RecordBatch], cells: np.ndarray, class_of: np.nd
     rows = -(-len(class_of) // BUCKETS)
     for batch in batches:
         for bucket, keys, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            table = tables.setdefault(bucket, np.zeros((rows, 2 * STATES), np.int64))
+            table = tables.get(bucket)
+            if table is None:
+                table = tables[bucket] = np.zeros((rows, 2 * STATES), np.int64)
             word, kind = np.divmod(np.frombuffer(keys, np.int32), 2 * STATES)
             table[word // BUCKETS, kind] += np.frombuffer(times, np.int32)
     for bucket, table in tables.items():

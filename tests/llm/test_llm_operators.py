@@ -226,6 +226,20 @@ def test_scores_of_odd_rows(docs, nothing):
     assert all(r["score"] == pytest.approx(r["base_score"]) == 0 for r in untrained)
 
 
+def test_words_are_counted_without_sorting_and_passes_read_numbers_only(docs, monkeypatch):
+    plans, save = {}, Scratch.save
+
+    def keep_plan(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return save(self, df, name)
+
+    monkeypatch.setattr(Scratch, "save", keep_plan)
+    brown.score(docs, F.coalesce(F.col("doc_id") == 6, F.lit(False)))
+    assert "SortAggregate" not in plans["counts"]
+    scan = plans["pairs"][plans["pairs"].index("ReadSchema"):]
+    assert "codes" in scan and "others" not in scan and "doc_id" not in scan
+
+
 def test_words_outside_the_dictionary_are_joined(docs, monkeypatch):
     held_out = F.coalesce(F.col("doc_id") == 6, F.lit(False))
     whole = {r["n_tokens"]: r["base_score"] for r in rows(brown.score(docs, held_out))}
