@@ -7,6 +7,7 @@ import logging
 
 import pytest
 
+from conftest import SF_DIR
 from covermonth import schemas as S
 from covermonth.sources.csv_files import (
     CsvLayout,
@@ -327,3 +328,19 @@ def test_policy_rows_with_line_breaks_are_read_in_splits(spark, tmp_path):
     assert found == {
         **{str(i): f'ANA\n"{i}", X' if i % 2 else "ANA" for i in range(400)},
         **{str(1000 + i): "Ñ\r\n" for i in range(50)}}
+
+
+def test_guarded_sources_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One file for a sixth of all policies would be one task's, however many they are."""
+    from verification import queries
+
+    def guards(name):
+        root = str(tmp_path / name)
+        monkeypatch.setattr(queries, "scratch_folder", lambda _: root)
+        return sorted(queries.source_guards(spark, SF_DIR).collect())
+
+    one = guards("one")
+    monkeypatch.setattr(queries, "ROWS_PER_DELIVERY", 50)
+    assert guards("many") == one and len(one) == 8
+    for case, file in (("good", "1.csv"), ("hidden", "_3.csv"), ("narrow", "7.csv")):
+        assert len(list((tmp_path / "many" / case).glob(f"*/{file}"))) > 1

@@ -35,15 +35,18 @@ def scratch_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="covermonth-")
 
 
-def move_only_file(spark: SparkSession, folder: str, target: str) -> None:
-    """The one data file of a written folder, under a name of its own."""
+def write_deliveries(df: DataFrame, root: str, name: str, number: int) -> None:
+    """CSV files of one name in as many subfolders, each written by a task of its own."""
+    spark, made = df.sparkSession, f"{root}/made"
+    write_csv(df.coalesce(number), made)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    (file,) = [s.getPath() for s in system.listStatus(path(folder))
-               if s.getPath().getName().startswith("part-")]
-    system.mkdirs(path(target).getParent())
-    system.rename(file, path(target))
-    system.delete(path(folder), True)
+    system = path(made).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [s.getPath() for s in system.listStatus(path(made))
+             if s.getPath().getName().startswith("part-")]
+    for i, file in enumerate(files):
+        system.mkdirs(path(f"{root}/delivery {i}"))
+        system.rename(file, path(f"{root}/delivery {i}/{name}"))
+    system.delete(path(made), True)
 
 
 def write_csv(df: DataFrame, folder: str, **options) -> None:

@@ -112,8 +112,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartitionById(tasks, place.cast("int"))
 
 
-def core_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_barrier(spark.sql(CORE_RAW_SQL, orders=table(spark, sf_dir, "orders")))
+def core_raw(
+    spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None
+) -> DataFrame:
+    """Raw policies; with ``part`` (n, i), the i-th of n parts by order: no other rows are made."""
+    orders = table(spark, sf_dir, "orders")
+    if part is not None:
+        orders = orders.where(f"o_orderkey % {part[0]} = {part[1]}")
+    return stage_barrier(spark.sql(CORE_RAW_SQL, orders=orders))
 
 
 def claims_raw(
