@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covermonth import schemas as S
+from covermonth.plans.barrier import stage_barrier
 
 # A value is worth parsing if it is year-first with a four-digit year, or has
 # three short parts whose last one may be a year; one separator throughout.
@@ -30,6 +31,25 @@ def _reversed_parts(dashed: Column) -> Column:
     return F.concat_ws("-", last, middle, first)
 
 
+def _full_dates(text: Column) -> tuple[Column, Column]:
+    """Dates of texts that begin like ``YYYY-mm-dd`` and like ``dd/mm/YYYY``; NULL for any other text.
+
+    No regular expression is needed: the separators stand in their places, and the cast takes
+    digits only, except after the day, where it would end at a blank or a T.
+    """
+    def at(place: int, length: int = 1) -> Column:
+        return F.substring(text, place, length)
+
+    def ends_in_digit(place: int) -> Column:
+        return at(place).between("0", "9")
+
+    year_first = (at(5) == "-") & (at(8) == "-") & ends_in_digit(10)
+    day_first = (at(3) == "/") & (at(6) == "/") & ends_in_digit(2)
+    turned = F.concat(at(7, 4), F.lit("-"), at(4, 2), F.lit("-"), at(1, 2))
+    return (F.when(year_first, at(1, 10).try_cast("date")),
+            F.when(day_first, turned.try_cast("date")))
+
+
 def _has_four_digit_year(iso: Column) -> Column:
     return F.instr(iso, "-") == 5
 
@@ -48,8 +68,9 @@ def with_parsed_dates(
     inside the JVM for each format that does not fit. The formats differ in
     shape, so the text is instead brought into ISO order and cast. Only
     two-digit years leave a choice (day or year first), made by position in
-    the list above. The steps are separate projections so that shared parts
-    are computed once and the generated code stays small enough to compile.
+    the list above. Texts of the two usual forms with all their digits take none
+    of these steps. The steps are separate projections so that shared parts
+    are computed once, and a barrier keeps the generated code small enough to compile.
     """
 
     def full_year(iso: Column) -> Column:
@@ -65,23 +86,31 @@ def with_parsed_dates(
             .otherwise(full_year(swapped))
         )
         year_first = F.when(~has_year, full_year(dashed).try_cast("date"))
-        return F.coalesce(iso.try_cast("date"), year_first)
+        found = F.when(dashed.isNotNull(), F.coalesce(iso.try_cast("date"), year_first))
+        return F.coalesce(F.col(f"_full_{name}"), found)
 
     def dashed_text(name: str) -> Column:
         text = _date_text(F.col(name))
-        return F.when(text.rlike(_DATE_SHAPE), F.replace(text, F.lit("/"), F.lit("-")))
+        fits = F.col(f"_full_{name}").isNull() & text.rlike(_DATE_SHAPE)
+        return F.when(fits, F.replace(text, F.lit("/"), F.lit("-")))
+
+    def swapped_text(name: str) -> Column:
+        return F.when(F.col(name).isNotNull(), _reversed_parts(F.col(name)))
 
+    full = {f"_full_{c}": F.coalesce(*_full_dates(F.col(c))) for c in columns}
+    df = stage_barrier(df.withColumns(full))
     df = df.withColumns({c: dashed_text(c) for c in columns})
-    df = df.withColumns({f"_swapped_{c}": _reversed_parts(F.col(c)) for c in columns})
+    df = df.withColumns({f"_swapped_{c}": swapped_text(c) for c in columns})
     df = df.withColumns({c: cast(c) for c in columns})
-    return df.drop(*[f"_swapped_{c}" for c in columns])
+    return df.drop(*[f"_{step}_{c}" for step in ("full", "swapped") for c in columns])
 
 
 def day_first_date(text: Column) -> Column:
     """Date in the one format d/m/Y; NULL for any other text."""
+    _, full = _full_dates(text)
     text = _date_text(text)
     iso = _reversed_parts(F.replace(text, F.lit("/"), F.lit("-")))
-    return F.when(text.rlike(_DAY_FIRST_SHAPE), iso.try_cast("date"))
+    return F.coalesce(full, F.when(text.rlike(_DAY_FIRST_SHAPE), iso.try_cast("date")))
 
 
 def parse_date_strict(text: Column) -> Column:

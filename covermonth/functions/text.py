@@ -14,6 +14,9 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The first and the last visible ASCII character.
+_VISIBLE = ("!", "~")
+
 SIGNS = ["+", "-"]
 
 
@@ -29,8 +32,12 @@ def strip(text: Column) -> Column:
 
     ``trim`` with a character list looks at the ends only, whereas the
     equivalent regular expression is retried at every position of the text.
+    It searches the whole list for each end, so texts that begin and end with
+    a visible ASCII character, which are nearly all, pass without it.
     """
-    return F.trim(text, F.lit(WHITESPACE))
+    last = F.substring(text, -1, 1)
+    kept = text.between(*_VISIBLE) & last.between(*_VISIBLE)
+    return F.when(kept, text).otherwise(F.trim(text, F.lit(WHITESPACE)))
 
 
 def is_text_only(text: Column) -> Column:
@@ -75,7 +82,9 @@ def blank_to_null(text: Column) -> Column:
 
 def drop_document_noise(text: Column) -> Column:
     """Remove punctuation from a document number, then strip it."""
-    return strip(F.regexp_replace(text, unicode_pattern(S.DOCUMENT_NOISE_PATTERN), ""))
+    noise = unicode_pattern(S.DOCUMENT_NOISE_PATTERN)
+    cleaned = F.trim(F.regexp_replace(text, noise, ""), F.lit(WHITESPACE))
+    return F.when(text.rlike(noise), cleaned).otherwise(strip(text))
 
 
 def last_digit(number: Column) -> Column:

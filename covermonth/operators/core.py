@@ -25,6 +25,8 @@ _DOCUMENT_STAGE_COLUMNS = [
     "COD_RAMO", "POLIZA", "CERTIFICADO", "ASEGURADO", "TIPO_DOC", "NRO_DOCUMENTO",
     "F_INI_COBER", "F_FIN_COBERT", "F_ANULACION_CERT", "PARENTESCO", "FI",
 ]
+# Even a shift moves these into columns only that the result does not have.
+_UNREAD_COLUMNS = ["CONTRATANTE", "F_INI_POLIZA", "F_FIN_POLIZA"]
 
 
 def registration_date(run_date: datetime.date | str | None) -> Column:
@@ -34,7 +36,8 @@ def registration_date(run_date: datetime.date | str | None) -> Column:
 
 def clean_core(df: DataFrame, blank_ruc_is_null: bool = False) -> DataFrame:
     """Raw policy rows with fields repaired and documents resolved."""
-    df = strip_all(df.drop(*S.CORE_UNUSED_COLUMNS), S.CORE_COLUMNS)
+    unread = {name: F.lit(None).cast("string") for name in _UNREAD_COLUMNS}
+    df = strip_all(df.drop(*S.CORE_UNUSED_COLUMNS).withColumns(unread), S.CORE_COLUMNS)
     df = resolve_documents(pad_documents(shift_repair(df, blank_ruc_is_null)))
     extra = [c for c in df.columns if c not in S.CORE_COLUMNS + _DOCUMENT_STAGE_COLUMNS]
     return stage_barrier(df.select(*_DOCUMENT_STAGE_COLUMNS, *extra))

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from covermonth import schemas as S
 from covermonth.functions.text import is_integer, is_text_only, strip
+from covermonth.plans.barrier import stage_barrier
 
 
 def strip_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Strip white space from both ends of every column, or of ``columns`` only."""
+    """Strip white space from both ends of every column, or of ``columns`` only.
+
+    A barrier follows, because the code of this step and the next one together would be too long
+    to compile. Columns are not pruned through it.
+    """
     stripped = df.columns if columns is None else columns
-    return df.select(*[
-        strip(F.col(name)).alias(name) if name in stripped else name for name in df.columns])
+    return stage_barrier(df.select(*[
+        strip(F.col(name)).alias(name) if name in stripped else name for name in df.columns]))
 
 
 def _shift_flags(blank_ruc_is_null: bool) -> tuple[Column, Column]:

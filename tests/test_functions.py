@@ -5,9 +5,15 @@ from __future__ import annotations
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from covermonth.functions import text as T
-from covermonth.functions.dates import parse_date_strict, with_parsed_dates
+from covermonth.functions.dates import (
+    _full_dates,
+    day_first_date,
+    parse_date_strict,
+    with_parsed_dates,
+)
 
 
 def test_strip_removes_any_white_space(values):
@@ -87,3 +93,30 @@ def test_strict_dates(values):
 def test_strict_dates_fail(values, text):
     with pytest.raises(Exception, match="not a d/m/Y date"):
         values([text], parse_date_strict)
+
+
+def test_visible_ends_are_kept_without_a_search(values):
+    texts = ["x", "", None, "ñ", "a　", "\x1ca", "a b", "~", "\x7f", " !", " x\x85"]
+    kept = ["x", "", None, "ñ", "a", "\x1ca", "a b", "~", "\x7f", "!", "x"]
+    assert values(texts, T.strip) == kept
+    # The list of all blanks is searched only for texts that need it.
+    assert "CASE WHEN" in T.strip(F.col("x"))._jc.toString()
+    assert values(["1.2-3", " 7. ", None, "12"], T.drop_document_noise) == ["123", "7", None, "12"]
+
+
+def test_full_dates_take_no_regular_expression(spark):
+    days = {"2020-01-05": 5, "05/01/2020": 5, "05/01/2020 10:00": 5, "2020-01-05T": 5,
+            "5 /01/2020": None, "1T/01/2020": None, "2020-01-5 ": None, "2020-01-5T": None,
+            " 5/01/2020": None, "05/ 1/2020": None, "05//1/2020": None, "-5/01/2020": None,
+            "05/01/-020": None, "+020-01-05": None, "31/02/2020": None, "05/01/20": 5, "": None,
+            "2020-1 -05": None, "05/01/20 x": None, "0٥/01/2020": None}
+    df = spark.createDataFrame([(t, t, d) for t, d in days.items()], "x string, t string, d int")
+    found = with_parsed_dates(df, ["x"])
+    assert found.where("NOT (day(x) <=> d)").collect() == []
+    strict = df.select("t", "d", day_first_date(F.col("t")).alias("x"))
+    day_first = F.col("t").rlike(r"^\d{2}/\d{2}/\d{4}") & F.col("d").isNotNull()
+    assert strict.where(~F.expr("day(x)").eqNullSafe(F.when(day_first, F.col("d")))).collect() == []
+    # Both usual forms are read without the regular expression of the others.
+    usual = df.where("t IN ('2020-01-05', '05/01/2020')").select(F.coalesce(*_full_dates(F.col("t"))))
+    assert [r[0].day for r in usual.collect()] == [5, 5]
+    assert "RLIKE" not in str(_full_dates(F.col("t")))
