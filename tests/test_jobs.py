@@ -13,8 +13,10 @@ from covermonth.plans import layers
 from covermonth.plans.layers import Paths
 from covermonth.sinks.storage import publish, staging_path
 from covermonth.sinks.tables import report_name, reprocessed_name, write_report
+from covermonth.sources.csv_files import read_core
 from covermonth.sources.parquet_files import check_report, read_consolidated, report_paths
-from verification.files import write_claims_workbooks, write_core_folders
+from verification import queries
+from verification.files import in_parts, write_claims_workbooks, write_core_folders
 from verification.inputs import RUN_DATE, claims_raw, core_raw
 from conftest import SF_DIR
 
@@ -241,3 +243,31 @@ def test_sort_of_reports_with_and_without_optional_columns(spark, reports, tmp_p
     layers.sort_reports(spark, f"{tmp_path}/in", f"{tmp_path}/out")
     (path,) = report_paths(spark, f"{tmp_path}/out")
     assert same_rows(spark.read.parquet(path), source)
+
+
+def test_policy_folders_make_each_row_once(spark, tmp_path, monkeypatch):
+    """The rows of a folder are made for it alone, and are those the whole is cut into."""
+    keys = [*range(200), 1, 2, None, None, -1, -2]
+    days = "timestamp'2020-01-31' + make_interval(0, 0, 0, i)"
+    orders = spark.createDataFrame([*enumerate(keys)], "i int, o_orderkey bigint").selectExpr(
+        "o_orderkey", "if(i = 4, null, cast(i AS bigint)) o_custkey", f"{days} o_orderdate",
+        "'1-URGENT' o_orderpriority")
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    made = []
+
+    def recorded(spark, sf, part=None):
+        made.append(part)
+        return core_raw(spark, sf, part)
+
+    monkeypatch.setattr(queries.inputs, "core_raw", recorded)
+    monkeypatch.setattr(queries, "write_claims_workbooks", lambda *_: None)
+    monkeypatch.setattr(queries.inputs, "claims_raw", lambda *_: None)
+    paths = queries._source_folders(spark, str(tmp_path), f"{tmp_path}/sources")
+    assert made == [(2, 0), (2, 1)]
+    found = read_core(spark, paths.core)
+    for i, part in enumerate(in_parts(core_raw(spark, str(tmp_path)), 2)):
+        ids = sorted(row.ID for row in part.select("ID").collect())
+        folder = found.where(F.col("FOLDER") == f"carpeta {i}")
+        assert sorted(row.ID for row in folder.select("ID").collect()) == ids != []
+        alone = core_raw(spark, str(tmp_path), (2, i))
+        assert same_rows(alone, part)

@@ -261,3 +261,14 @@ def test_plain_blocks_that_cut_rows(tmp_path, monkeypatch):
     book = workbooks._Workbook(Path(path).read_bytes())
     found = list(book._plain_rows("xl/worksheets/sheet1.xml"))
     assert [[row.get(i) for i in range(3)] for row in found] == rows
+
+
+def test_files_without_claims_are_found_without_a_sort(spark):
+    rows = [("a.xlsx", None), ("a.xlsx", "x"), ("b.xlsx", "x"), ("b.xlsx", "y"), (None, "z")]
+    df = spark.createDataFrame(rows, "FILE string, ERROR string").selectExpr("*", "'S' SHEET")
+    found = workbooks._without_claims(df)
+    assert sorted(row.FILE or "" for row in found.collect()) == ["", "b.xlsx"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    with pytest.raises(ValueError, match=r"(?s)2 workbooks without claims:.*b\.xlsx \| y"):
+        workbooks.require_claims(df)

@@ -68,9 +68,16 @@ def in_parts(df: DataFrame, number: int) -> list[DataFrame]:
     return [df.where(part == i) for i in range(number)]
 
 
-def write_core_folders(df: DataFrame, root: str, options: list[dict]) -> None:
-    """Policy rows spread over one folder per set of CSV options."""
-    for i, part in enumerate(in_parts(df, len(options))):
+def write_core_folders(
+    df: DataFrame | list[DataFrame], root: str, options: list[dict]
+) -> None:
+    """Policy rows spread over one folder per set of CSV options.
+
+    A frame is cut into parts, and all its rows are made for each of them; parts that are made
+    on their own can be given as a list.
+    """
+    parts = df if isinstance(df, list) else in_parts(df, len(options))
+    for i, part in enumerate(parts):
         write_csv(part, f"{root}/carpeta {i}", **options[i])
 
 

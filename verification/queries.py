@@ -728,7 +728,9 @@ def workbook_guards(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _source_folders(spark: SparkSession, sf: str, root: str) -> layers.Paths:
-    write_core_folders(inputs.core_raw(spark, sf), f"{root}/core", [{}, {"sep": ";"}])
+    options = [{}, {"sep": ";"}]
+    parts = [inputs.core_raw(spark, sf, part=(len(options), i)) for i in range(len(options))]
+    write_core_folders(parts, f"{root}/core", options)
     write_claims_workbooks(inputs.claims_raw(spark, sf), f"{root}/claims")
     return layers.Paths(f"{root}/core", f"{root}/claims", f"{root}/lake", f"{root}/reports")
 
