@@ -188,6 +188,11 @@ def test_sort_of_one_row_copied_many_times(spark, tmp_path):
     assert max(sizes) < 10_000
 
 
+def test_sort_ranges_fit_into_the_memory_of_a_task(spark):
+    rows = 40_000_000
+    assert layers._sort_ranges(spark.range(rows)) * 2_000_000 >= rows
+
+
 def test_number_of_sort_ranges_follows_from_the_rows(spark, reports, monkeypatch):
     df = read_consolidated(spark, str(reports))
     assert layers._sort_ranges(df) == spark.sparkContext.defaultParallelism
